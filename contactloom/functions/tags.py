@@ -24,10 +24,14 @@ def first_match(tags: Column, table: list[tuple[str, str]]) -> Column:
     return out
 
 
+def _matching(pattern: str):
+    return lambda tag: F.rlike(tag, F.lit(pattern))
+
+
 def first_pattern(tags: Column, table: list[tuple[str, str]]) -> Column:
     out = None
     for pattern, value in table:
-        hit = F.exists(tags, lambda t, p=pattern: F.rlike(t, F.lit(p)))
+        hit = F.exists(tags, _matching(pattern))
         out = F.when(hit, F.lit(value)) if out is None else out.when(hit, F.lit(value))
     return out
 

@@ -20,50 +20,65 @@ ISO_DATETIME = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}T"
 US_DATE = r"\A([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})\z"
 
 
-def scalar_text(v: Column) -> Column:
-    return F.variant_get(v, "$", "string")
+def scalar_text(x: str) -> Column:
+    return F.expr(f"variant_get({x}, '$', 'string')")
 
 
-def value_kind(schema: Column) -> Column:
-    """'string', 'number', 'array' or 'other' from ``schema_of_variant``; null when absent."""
-    return F.when(schema == "STRING", F.lit("string")).when(
-        F.rlike(schema, F.lit("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")), F.lit("number")
-    ).when(F.startswith(schema, F.lit("ARRAY")), F.lit("array")).when(schema != "VOID", F.lit("other"))
+def list_members(x: str) -> Column:
+    return F.expr(f"try_variant_get({x}, '$', 'array<string>')")
 
 
-def to_integer(text: Column, strict: bool = False) -> Column:
+def value_kind(x: str) -> Column:
+    """'string', 'number', 'array' or 'other' for a VARIANT; null when absent."""
+    return F.expr(
+        f"CASE WHEN schema_of_variant({x}) = 'STRING' THEN 'string' "
+        f"WHEN schema_of_variant({x}) RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)' THEN 'number' "
+        f"WHEN startswith(schema_of_variant({x}), 'ARRAY') THEN 'array' "
+        f"WHEN schema_of_variant({x}) <> 'VOID' THEN 'other' END"
+    )
+
+
+# The transforms below take column names and are written as SQL text: one call
+# per field keeps building a 67-column projection cheap.
+
+
+def _trimmed(x: str) -> str:
+    return f"trim(BOTH '{T.SPACE_CHARS}' FROM {x})"
+
+
+def to_integer(text: str, strict: bool = False) -> Column:
     """Keep digits and '-', then parse the numeric prefix ('3.7' gives 37).
 
     ``strict=True`` parses a decimal and truncates it instead ('3.7' gives 3).
     """
     if strict:
         return to_decimal(text).cast("bigint")
-    kept = F.regexp_replace(text, "[^0-9-]", "")
-    return T.blank_to_null(F.regexp_extract(kept, INTEGER_PREFIX, 0)).try_cast("bigint")
-
-
-def to_decimal(text: Column) -> Column:
-    kept = F.regexp_replace(text, "[^0-9.-]", "")
-    return T.blank_to_null(F.regexp_extract(kept, DECIMAL_PREFIX, 0)).try_cast("double")
-
-
-def to_iso_date(text: Column, kind: Column) -> Column:
-    """``YYYY-MM-DD`` text; calendar validity is not checked (see ``is_calendar_date``)."""
-    s = T.trim(text)
-    days = F.floor(text.try_cast("double") / F.lit(86400000)).cast("int")
-    epoch = F.date_add(F.lit("1970-01-01").cast("date"), days).cast("string")
-    us = F.concat(
-        F.regexp_extract(s, US_DATE, 3),
-        F.lit("-"),
-        F.lpad(F.regexp_extract(s, US_DATE, 1), 2, "0"),
-        F.lit("-"),
-        F.lpad(F.regexp_extract(s, US_DATE, 2), 2, "0"),
-    )
-    return (
-        F.when(kind == "number", epoch)
-        .when(F.rlike(s, F.lit(ISO_DATE)), s)
-        .when(F.rlike(s, F.lit(ISO_DATETIME)), F.substring(s, 1, 10))
-        .when(F.rlike(s, F.lit(US_DATE)), us)
+    kept = f"regexp_replace({text}, '[^0-9-]', '')"
+    return F.expr(f"try_cast(nullif(regexp_extract({kept}, r'{INTEGER_PREFIX}', 0), '') AS BIGINT)")
+
+
+def to_decimal(text: str) -> Column:
+    kept = f"regexp_replace({text}, '[^0-9.-]', '')"
+    return F.expr(f"try_cast(nullif(regexp_extract({kept}, r'{DECIMAL_PREFIX}', 0), '') AS DOUBLE)")
+
+
+def to_iso_date(text: str, kind: str) -> Column:
+    """``YYYY-MM-DD`` text; calendar validity is not checked (see ``is_calendar_date``).
+
+    A number is epoch milliseconds; the same digits as text are not a date.
+    """
+    s = _trimmed(text)
+    days = f"CAST(floor(try_cast({text} AS DOUBLE) / 86400000) AS INT)"
+
+    def part(i: int) -> str:
+        return f"regexp_extract({s}, r'{US_DATE}', {i})"
+
+    return F.expr(
+        f"CASE WHEN {kind} = 'number' THEN CAST(date_add(DATE '1970-01-01', {days}) AS STRING) "
+        f"WHEN {s} RLIKE r'{ISO_DATE}' THEN {s} "
+        f"WHEN {s} RLIKE r'{ISO_DATETIME}' THEN substring({s}, 1, 10) "
+        f"WHEN {s} RLIKE r'{US_DATE}' THEN "
+        f"{part(3)} || '-' || lpad({part(1)}, 2, '0') || '-' || lpad({part(2)}, 2, '0') END"
     )
 
 
@@ -71,16 +86,14 @@ def is_calendar_date(text: Column) -> Column:
     return F.try_to_date(text, "yyyy-MM-dd").isNotNull()
 
 
-def to_multi_select(text: Column, kind: Column, items: Column) -> Column:
+def to_multi_select(text: str, kind: str, items: str) -> Column:
     """Semicolon list: arrays drop empty members, text is split at commas."""
-    from_array = F.array_join(
-        F.filter(items, lambda x: x.isNotNull() & (x != "") & (x != "0") & (x != "false")), ";"
-    )
-    from_text = F.array_join(
-        F.filter(F.transform(F.split(text, ","), T.trim), lambda x: x != ""), ";"
+    from_array = f"array_join(filter({items}, x -> x IS NOT NULL AND x NOT IN ('', '0', 'false')), ';')"
+    from_text = (
+        f"array_join(filter(transform(split({text}, ','), x -> {_trimmed('x')}), x -> x <> ''), ';')"
     )
-    return T.blank_to_null(
-        F.when(kind == "array", from_array).when(kind == "string", from_text)
+    return F.expr(
+        f"nullif(CASE WHEN {kind} = 'array' THEN {from_array} WHEN {kind} = 'string' THEN {from_text} END, '')"
     )
 
 

@@ -53,12 +53,16 @@ def without_fields(df: DataFrame, bad_fields: str) -> DataFrame:
     )
 
 
+def _one_of(legal: list[str]):
+    return lambda member: member.isin(*legal)
+
+
 def invalid_fields(options: dict[str, list[str]], multi: set[str] = frozenset()):
     """Array of enumeration properties whose value is not a legal option."""
     checks = []
     for prop, legal in options.items():
         if prop in multi:
-            ok = F.forall(F.split(F.col(prop), ";"), lambda x, legal=legal: x.isin(*legal))
+            ok = F.forall(F.split(F.col(prop), ";"), _one_of(legal))
         else:
             ok = F.col(prop).isin(*legal)
         checks.append(F.when(F.col(prop).isNotNull() & ~ok, F.lit(prop)))

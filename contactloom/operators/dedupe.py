@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from contactloom import rules
 from contactloom.functions import text as T
+from contactloom.sources.staging import stage
 
 AUTO, REVIEW = "auto-merge", "manual-review"  # fixed values
 BLOCK_LIMIT = 2000
@@ -181,34 +182,44 @@ def _pair_columns() -> list[Column]:
     ]
 
 
-def profile_pairs(profs: DataFrame, block_limit: int = BLOCK_LIMIT) -> DataFrame:
-    """Qualifying pairs of different profiles: ``name_key, e1, p1, e2, p2, reason``."""
+def sized_profiles(profs: DataFrame) -> DataFrame:
+    """Profiles with the size of their name block, staged: four joins read them."""
     at_signs = F.length("e") - F.length(F.replace(F.col("e"), F.lit("@"), F.lit("")))
     sizes = profs.groupBy("name_key").agg(
         F.count(F.lit(1)).alias("_block"),
         F.max((F.col("e") != "") & (at_signs != 1)).alias("_malformed"),
     )
-    sized = profs.join(sizes.where(F.col("_block") > 1), "name_key")
-    small = sized.where(F.col("_block") <= block_limit).drop("_block", "_malformed")
-    large = sized.where(F.col("_block") > block_limit).drop("_block")
+    return stage(profs.join(sizes, "name_key"))
+
 
-    reason = pair_reason("a", "b")
-    in_block = (
+def _pairs_in_blocks(small: DataFrame) -> DataFrame:
+    return (
         small.alias("a")
         .join(small.alias("b"), (F.col("a.name_key") == F.col("b.name_key")) & _ordered("a", "b"))
-        .select(*_pair_columns(), reason.alias("reason"))
+        .select(*_pair_columns(), pair_reason("a", "b").alias("reason"))
         .where(F.col("reason").isNotNull())
     )
+
+
+def _pairs_by_keys(large: DataFrame) -> DataFrame:
     keyed = _shared_keys(large)
     same_key = (F.col("a.name_key") == F.col("b.name_key")) & (F.col("a.k") == F.col("b.k"))
-    by_key = (
+    return (
         keyed.alias("a")
         .join(keyed.alias("b"), same_key & _ordered("a", "b"))
-        .select(*_pair_columns(), reason.alias("reason"))
+        .select(*_pair_columns(), pair_reason("a", "b").alias("reason"))
         .where(F.col("reason").isNotNull())
         .distinct()
     )
-    return in_block.unionByName(by_key)
+
+
+def profile_pairs(sized: DataFrame, block_limit: int = BLOCK_LIMIT) -> DataFrame:
+    """Qualifying pairs of different profiles: ``name_key, e1, p1, e2, p2, reason``."""
+    largest = sized.agg(F.max("_block")).first()[0] or 0  # one number decides the plan
+    in_block = _pairs_in_blocks(sized.where(F.col("_block").between(2, block_limit)).drop("_block", "_malformed"))
+    if largest <= block_limit:
+        return in_block
+    return in_block.unionByName(_pairs_by_keys(sized.where(F.col("_block") > block_limit).drop("_block")))
 
 
 def copy_groups(profs: DataFrame) -> DataFrame:
@@ -228,7 +239,7 @@ def duplicate_profiles(target: DataFrame, block_limit: int = BLOCK_LIMIT) -> Dat
 
     A group of n copies stays one row here, whereas record pairs grow with n*n.
     """
-    profs = profiles(records(target))
+    profs = sized_profiles(profiles(records(target)))
     pairs = profile_pairs(profs, block_limit).unionByName(copy_groups(profs))
     m = profs.select("name_key", "e", "p", "members")
     m1 = m.toDF("name_key", "e1", "p1", "members1")
@@ -265,7 +276,7 @@ def first_survives(a: str, b: str) -> Column:
 def duplicate_pairs(target: DataFrame, block_limit: int = BLOCK_LIMIT) -> DataFrame:
     """Record pairs with survivor choice, reason and classification."""
     recs = records(target)
-    profs = profiles(recs)
+    profs = sized_profiles(profiles(recs))
     pairs = profile_pairs(profs, block_limit).unionByName(copy_groups(profs))
     side = F.struct(
         "hs_id", "ord", "e", "email", "firstname", "lastname", "createdate", "hs_last_activity_date"

@@ -34,8 +34,8 @@ def field_values(fields: Column) -> Column:
     return F.map_from_entries(last_only)
 
 
-def transform_value(name: str, text: Column, kind: Column, items: Column) -> Column:
-    """Apply a named transform to a custom-field value (its text, kind and list members)."""
+def transform_value(name: str, text: str, kind: str, items: str) -> Column:
+    """Apply a named transform; arguments are the columns with text, kind and list members."""
     if name == "integer":
         return V.to_integer(text)
     if name == "decimal":
@@ -44,7 +44,7 @@ def transform_value(name: str, text: Column, kind: Column, items: Column) -> Col
         return V.to_iso_date(text, kind)
     if name == "multi_select":
         return V.to_multi_select(text, kind, items)
-    return text
+    return F.col(text)
 
 
 def custom_properties(df: DataFrame, fields_col: str = "customFields") -> DataFrame:
@@ -54,22 +54,21 @@ def custom_properties(df: DataFrame, fields_col: str = "customFields") -> DataFr
 
     # value, text and kind are named columns, so nothing is looked up or parsed twice
     found = looked_up.select(
-        *keep, *[F.try_element_at(F.col("_cf"), F.lit(i)).alias(f"_v_{p}") for i, p, _ in rules.CUSTOM_FIELDS]
+        *keep, *[F.expr(f"try_element_at(_cf, '{i}') AS _v_{p}") for i, p, _ in rules.CUSTOM_FIELDS]
     )
     typed = [p for _, p, t in rules.CUSTOM_FIELDS if t in ("date", "multi_select")]
     lists = [p for _, p, t in rules.CUSTOM_FIELDS if t == "multi_select"]
     parsed = found.select(
         *keep,
-        *[V.scalar_text(F.col(f"_v_{p}")).alias(f"_t_{p}") for _, p, _ in rules.CUSTOM_FIELDS],
-        *[V.value_kind(F.schema_of_variant(F.col(f"_v_{p}"))).alias(f"_k_{p}") for p in typed],
-        *[F.try_variant_get(F.col(f"_v_{p}"), "$", "array<string>").alias(f"_a_{p}") for p in lists],
+        *[V.scalar_text(f"_v_{p}").alias(f"_t_{p}") for _, p, _ in rules.CUSTOM_FIELDS],
+        *[V.value_kind(f"_v_{p}").alias(f"_k_{p}") for p in typed],
+        *[V.list_members(f"_v_{p}").alias(f"_a_{p}") for p in lists],
     )
     outs = []
     for _, prop, name in rules.CUSTOM_FIELDS:
-        text = F.col(f"_t_{prop}")
-        value = F.when(
-            ~text.isin("", " "), transform_value(name, text, F.col(f"_k_{prop}"), F.col(f"_a_{prop}"))
-        )
+        text = f"_t_{prop}"
+        filled = F.expr(f"{text} NOT IN ('', ' ')")
+        value = F.when(filled, transform_value(name, text, f"_k_{prop}", f"_a_{prop}"))
         if prop.startswith("_"):
             value = T.blank_to_null(T.trim(value))
         outs.append(value.alias(prop))
@@ -133,9 +132,9 @@ def custom_fields_long(df: DataFrame, lookup: DataFrame, fields_col: str = "cust
     one = df.select(
         F.col("id").alias("contact_id"), F.posexplode(fields_col).alias("pos", "cf")
     ).select("contact_id", "pos", F.col("cf.id").alias("id"), F.col("cf.value").alias("value"))
-    text = V.scalar_text(F.col("value"))
+    text = V.scalar_text("value")
     last = one.groupBy("contact_id", "id").agg(
-        F.max_by(F.struct(text.alias("text"), V.value_kind(F.schema_of_variant(F.col("value"))).alias("kind")), "pos").alias("v")
+        F.max_by(F.struct(text.alias("text"), V.value_kind("value").alias("kind")), "pos").alias("v")
     )
     return (
         last.join(lookup, "id")

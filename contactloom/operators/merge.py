@@ -9,26 +9,17 @@ one round.  Each round is written through ``checkpoint()``.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactloom.operators.upsert import PROPS
+from contactloom.sources.staging import shared_root
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; only a local session gets its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return
-    if folder:
-        spark.sparkContext.setCheckpointDir(folder)
-    elif spark.sparkContext.master.startswith("local"):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="contactloom-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    """Use the folder the cluster names when none is set yet."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(f"{shared_root(spark)}/contactloom-checkpoints")
 
 
 def ordered_pairs(dup: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def key_presence(df: DataFrame, json_col: str, fields: list[str], ord_col: str)
 def custom_field_population(df: DataFrame) -> DataFrame:
     """Filled values per custom field and percentage of contacts."""
     total = df.agg(F.count(F.lit(1))).scalar()
-    value = V.scalar_text(F.col("cf.value"))
+    value = V.scalar_text("cf.value")
     return (
         df.select(F.explode("customFields").alias("cf"))
         .where(value.isNotNull() & (value != ""))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +21,7 @@ from contactloom.plans import oracle_views as O
 from contactloom.plans.views import oracle, table, view
 from contactloom.sources import contacts as reader
 from contactloom.sources import sinks
+from contactloom.sources.staging import shared_folder, stage
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -38,16 +37,6 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster names; local sessions use a temp folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return f"{root.rstrip('/')}/contactloom-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="contactloom-")
-
-
 def flag(c) -> "F.Column":
     return c.cast("bigint")
 
@@ -315,21 +304,23 @@ def rejected_records(spark, sf):
 
 @query("unknown_target_updates", "SELECT id, hs_id, 'target record not found' AS reason FROM matched_v WHERE action = 'update' AND hs_id NOT IN (SELECT hs_id FROM target_v)")
 def unknown_target_updates(spark, sf):
-    return upsert.unknown_targets(inputs.target(spark, sf), conflict.plan_writes(_matched(spark, sf), None))
+    return upsert.unknown_targets(inputs.target(spark, sf), _planned(spark, sf, None))
 
 
 SNAPSHOT_COLS = ["hs_id", "email", "phone", "engager_contact_id", *O.FILLED]
 
 
 def _planned(spark, sf, allowlist):
-    return jobs.plan_updates(
-        inputs.contacts(spark, sf), inputs.target(spark, sf), inputs.owner_map(spark, sf), allowlist
+    return stage(
+        jobs.plan_updates(
+            inputs.contacts(spark, sf), inputs.target(spark, sf), inputs.owner_map(spark, sf), allowlist
+        )
     )
 
 
 @query("upsert_snapshot", O.snapshot(O.FILLED))
 def upsert_snapshot(spark, sf):
-    """Snapshot after a migration, planned and applied in one lazy plan."""
+    """Snapshot after a migration without a conflict filter."""
     writes = _planned(spark, sf, None)
     return upsert.upsert(inputs.target(spark, sf), writes).select(*SNAPSHOT_COLS)
 

@@ -105,7 +105,8 @@ def duplicate_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned contacts as target records (for pair detection)."""
     from contactloom.operators.clean import clean_contacts
 
-    cleaned = clean_contacts(plain_contacts(spark, sf_dir), keep_issues=False)
+    needed = ["firstName", "lastName", "email", "phone", "companyName", "website", "ord"]
+    cleaned = clean_contacts(plain_contacts(spark, sf_dir).select(*needed), keep_issues=False)
     second = F.lit(1577836800) + F.col("ord") * 86400
     active = F.lit(1609459200) + (F.col("ord") % 9) * 86400
     return cleaned.select(

@@ -11,6 +11,7 @@ from contactloom.operators.clean import clean_contacts
 from contactloom.operators.mapping import map_contacts
 from contactloom.operators.owners import assign_owners
 from contactloom.operators.rows import keep_first
+from contactloom.sources.staging import stage
 
 
 def prepare(contacts: DataFrame, owner_map: DataFrame | None = None) -> DataFrame:
@@ -39,8 +40,7 @@ def migrate(
 
     The plan is written to ``stage_path`` once; snapshot and counters read it back.
     """
-    plan_updates(contacts, target, owner_map).write.mode("overwrite").parquet(stage_path)
-    writes = contacts.sparkSession.read.parquet(stage_path)
+    writes = stage(plan_updates(contacts, target, owner_map), stage_path)
     return upsert.upsert(target, writes), upsert.write_counts(target, writes)
 
 

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contactloom import rules
-from contactloom.operators import conflict, runs, upsert, windows
+from contactloom.operators import runs, upsert, windows
 from contactloom.plans import jobs
+from contactloom.sources.staging import stage
 from contactloom.streaming.state import SyncState, resolve_window
 
 
@@ -35,9 +36,7 @@ def _process(state: SyncState, delta: DataFrame, owner_map: DataFrame | None, se
     staged = f"{state.root}/staged/run={seq}"
     target = state.target()
     planned = jobs.plan_updates(delta, target, owner_map, allowlist=rules.UPDATE_ALLOWLIST)
-    # written once, read three times: cuts the lineage and survives lost executors
-    planned.write.mode("overwrite").parquet(staged)
-    writes = state.spark.read.parquet(staged)
+    writes = stage(planned, staged)
     _write_changes(target, writes, state.change_path(seq))
     return runs.judged(upsert.write_counts(target, writes)).first().asDict()
 
