@@ -26,11 +26,12 @@ def _clean_custom_fields(fields: Column) -> Column:
 
 def clean_contacts(df: DataFrame, keep_issues: bool = True) -> DataFrame:
     """Add cleaned values and an ``issues`` array of codes, in rule order."""
-    present = [c for c in rules.CONTACT_STRING_FIELDS if c in df.columns]
-    others = [c for c in df.columns if c not in present and c != "customFields"]
+    columns = df.columns
+    present = [c for c in rules.CONTACT_STRING_FIELDS if c in columns]
+    others = [c for c in columns if c not in present and c != "customFields"]
     fields = (
         [_clean_custom_fields(F.col("customFields")).alias("customFields")]
-        if "customFields" in df.columns
+        if "customFields" in columns
         else []
     )
     # each stage names its results, so no later rule repeats an earlier expression
@@ -46,7 +47,7 @@ def clean_contacts(df: DataFrame, keep_issues: bool = True) -> DataFrame:
     stage = bare.select(
         *others,
         *[v.alias(c) for c, v in unchanged.items()],
-        *[f.name for f in df.schema if f.name == "customFields"],
+        *[c for c in columns if c == "customFields"],
         F.array_compact(F.array(*issues)).alias("_placeholder_issues"),
     )
     html = [c for c in rules.HTML_FIELDS if c in present]
@@ -82,7 +83,7 @@ def clean_contacts(df: DataFrame, keep_issues: bool = True) -> DataFrame:
                 filled & ~ok, F.lit("phone_unparseable")
             )
         )
-    result = [out[c].alias(c) if c in out else F.col(c) for c in df.columns]
+    result = [out[c].alias(c) if c in out else F.col(c) for c in columns]
     if keep_issues:
         result.append(
             F.concat(F.col("_placeholder_issues"), F.array_compact(F.array(*codes))).alias("issues")

@@ -17,25 +17,26 @@ def plan_writes(
     update with nothing left).  ``allowlist=None`` is the one-time migration:
     only identity fields are held back and nothing is reported as withheld.
     """
-    props = [p for p in rules.PROPERTIES if p in matched.columns]
+    columns = matched.columns
+    props = [p for p in rules.PROPERTIES if p in columns]
     is_update = F.col("action") == "update"
     writable = [
         p
         for p in props
-        if p not in rules.IDENTITY_PROPERTIES and (allowlist is None or p in set(allowlist))
+        if p not in rules.IDENTITY_PROPERTIES and (allowlist is None or p in allowlist)
     ]
     suppressed = [p for p in props if p not in writable and p not in rules.IDENTITY_PROPERTIES]
     kept = [
-        F.col(c) if c in writable or c not in props else F.when(~is_update, F.col(c)).alias(c)
-        for c in matched.columns
+        c if c in writable or c not in props else F.expr(f"CASE WHEN action <> 'update' THEN {c} END AS {c}")
+        for c in columns
     ]
     withheld = F.array_compact(
         F.array(
-            *[F.when(is_update & F.col(p).isNotNull(), F.lit(p)) for p in suppressed],
+            *[F.expr(f"CASE WHEN action = 'update' AND {p} IS NOT NULL THEN '{p}' END") for p in suppressed],
             F.lit(None).cast("string"),
         )
     )
-    nothing_left = F.coalesce(*[F.col(p).cast("string") for p in writable]).isNull()
+    nothing_left = F.expr(" AND ".join(f"{p} IS NULL" for p in writable))
     # without an allowlist even an empty payload is sent, as in the migration
     no_change = is_update & nothing_left & F.lit(allowlist is not None)
     return matched.select(*kept, withheld.alias("withheld"), no_change.alias("no_change"))
@@ -43,11 +44,11 @@ def plan_writes(
 
 def without_fields(df: DataFrame, bad_fields: str) -> DataFrame:
     """Null every property named in the array column ``bad_fields``."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.when(~F.array_contains(bad_fields, c), F.col(c)).alias(c)
+            f"CASE WHEN NOT array_contains({bad_fields}, '{c}') THEN {c} END AS {c}"
             if c in rules.PROPERTIES
-            else F.col(c)
+            else c
             for c in df.columns
         ]
     )
@@ -74,7 +75,15 @@ def check_options(
 ) -> DataFrame:
     """Null illegal enumeration values, keep the row, list the fields cleared."""
     flagged = writes.withColumn("invalid_fields", invalid_fields(options, multi))
-    return without_fields(flagged, "invalid_fields")
+    checked = [c for c in flagged.columns if c in options]
+    return flagged.selectExpr(
+        *[
+            f"CASE WHEN NOT array_contains(invalid_fields, '{c}') THEN {c} END AS {c}"
+            if c in checked
+            else c
+            for c in flagged.columns
+        ]
+    )
 
 
 def enum_options() -> dict[str, list[str]]:

@@ -112,14 +112,13 @@ def map_contacts(cleaned: DataFrame) -> DataFrame:
         *[v.alias(c) for c, v in props.items()],
         F.lit(None).cast("string").alias("hubspot_owner_id"),
     )
+    given = set(named.columns)
     missing = [
-        F.lit(None).cast(rules.property_type(p)).alias(p)
-        for p in rules.PROPERTIES
-        if p not in named.columns
+        F.expr(f"CAST(NULL AS {rules.property_type(p)}) AS {p}") for p in rules.PROPERTIES if p not in given
     ]
     return named.select(
         "id", "ord", "assignedTo", "hs_contact_id", "guest_group_ref",
-        *[p for p in rules.PROPERTIES if p in named.columns], *missing,
+        *[p for p in rules.PROPERTIES if p in given], *missing,
     )
 
 

@@ -95,7 +95,8 @@ def survivors(decided: DataFrame, max_rounds: int = 64) -> DataFrame:
 
 def merge_duplicates(target: DataFrame, decided: DataFrame) -> DataFrame:
     """Target without merged records; survivors' blanks filled in merge order."""
-    props = [p for p in PROPS if p in target.columns]
+    columns = target.columns
+    props = [p for p in PROPS if p in columns]
     where_to = survivors(decided)
     tagged = target.join(where_to.withColumnRenamed("rec", "hs_id"), "hs_id", "left")
     root = F.coalesce("root", "hs_id")

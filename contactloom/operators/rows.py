@@ -30,12 +30,12 @@ def keep_last(df: DataFrame, key: str | list[str], ord_col: str = "ord") -> Data
 
 def last_value(col: str, ord_col: str = "ord") -> Column:
     """Aggregate: latest non-null value of a column."""
-    return F.max_by(col, F.when(F.col(col).isNotNull(), F.col(ord_col))).alias(col)
+    return F.expr(f"max_by({col}, CASE WHEN {col} IS NOT NULL THEN {ord_col} END) AS {col}")
 
 
 def first_value(col: str, ord_col: str = "ord") -> Column:
     """Aggregate: earliest non-null value of a column."""
-    return F.min_by(col, F.when(F.col(col).isNotNull(), F.col(ord_col))).alias(col)
+    return F.expr(f"min_by({col}, CASE WHEN {col} IS NOT NULL THEN {ord_col} END) AS {col}")
 
 
 def overlay(df: DataFrame, key: str, cols: list[str], ord_col: str = "ord") -> DataFrame:

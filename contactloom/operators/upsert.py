@@ -52,14 +52,12 @@ def fold_inserts(writes: DataFrame) -> DataFrame:
 
 def apply_updates(target: DataFrame, updates: DataFrame) -> DataFrame:
     """Overlay non-null update values on the target; blanks never overwrite."""
-    changes = updates.select("hs_id", *[F.col(p).alias(f"_u_{p}") for p in NON_IDENTITY])
+    changes = updates.selectExpr("hs_id", *[f"{p} AS _u_{p}" for p in NON_IDENTITY])
     overlaid = [
-        F.coalesce(F.col(f"_u_{c}").cast(rules.property_type(c)), F.col(c)).alias(c)
-        if c in NON_IDENTITY
-        else F.col(c)
+        f"coalesce(CAST(_u_{c} AS {rules.property_type(c)}), {c}) AS {c}" if c in NON_IDENTITY else c
         for c in target.columns
     ]
-    return target.join(changes, "hs_id", "left").select(*overlaid)
+    return target.join(changes, "hs_id", "left").selectExpr(*overlaid)
 
 
 def upsert(target: DataFrame, writes: DataFrame, mode: str = "collapse") -> DataFrame:

@@ -92,10 +92,11 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target snapshot with every property column."""
     t = view(spark, sf_dir, "target_v")
+    given = set(t.columns)
     return t.select(
         "hs_id", "ord", "createdate", "hs_last_activity_date",
         *[
-            F.col(p) if p in t.columns else F.lit(None).cast(rules.property_type(p)).alias(p)
+            p if p in given else F.expr(f"CAST(NULL AS {rules.property_type(p)}) AS {p}")
             for p in rules.PROPERTIES
         ],
     )
