@@ -811,7 +811,7 @@ def failed_sample(spark, sf):
       failed / (updated + inserted + failed + skipped) <= 0.1 AS ok FROM r)
     SELECT strftime(started_at, '%Y-%m') AS run_id, CASE WHEN ok THEN 'OK' ELSE 'FAILED' END AS status,
       CASE WHEN changed >= 60 THEN (changed // 60) || 'm ' || (changed % 60) || 's' ELSE changed || 's' END AS duration,
-      printf('%.1f', round(100.0 * rate, 1)) || '%' AS rate_text,
+      printf('%.1f', CAST(round(CAST(100.0 * rate AS DECIMAL(30, 18)), 1) AS DOUBLE)) || '%' AS rate_text,
       CASE WHEN NOT ok THEN failed || ' of ' || changed || ' changed' END AS alert FROM j""")
 def run_summary(spark, sf):
     """Summary rows; a run is taken to last one second per changed row."""
@@ -901,7 +901,7 @@ def csv_roundtrip(spark, sf):
     return reader.read_csv_export(spark, path, ";").select(*FILE_COLS)
 
 
-@query("review_csv", f"SELECT primary_id, nullif(primary_email, '') AS primary_email, primary_name, duplicate_id, nullif(duplicate_email, '') AS duplicate_email, duplicate_name, reason FROM found_v WHERE classification = 'manual-review'")
+@query("review_csv", f"SELECT primary_id, nullif(primary_email, '') AS primary_email, trim(primary_name) AS primary_name, duplicate_id, nullif(duplicate_email, '') AS duplicate_email, trim(duplicate_name) AS duplicate_name, reason FROM found_v WHERE classification = 'manual-review'")
 def review_csv(spark, sf):
     path = f"{shared_folder(spark)}/review"
     sinks.write_review_csv(review_pairs(spark, sf), path)

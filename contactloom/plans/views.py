@@ -207,7 +207,10 @@ def oracle(text: str, extra: dict[str, str] | None = None) -> str:
     names = _needed(text, known)
     if not names:
         return text
-    return "WITH " + ",\n".join(f"{n} AS ({known[n]})" for n in names) + "\n" + text
+    ctes = ",\n".join(f"{n} AS ({known[n]})" for n in names)
+    body = text.strip()
+    own = body.startswith("WITH")  # a query with CTEs of its own continues the list
+    return f"WITH {ctes}" + (f",\n{body[4:]}" if own else f"\n{body}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
