@@ -12,11 +12,20 @@ from contactloom.operators.rows import spread_nulls
 KEY_KINDS = ["email", "phone", "engager_contact_id"]  # fixed value: tie order per row
 
 
-def key_index(target: DataFrame) -> DataFrame:
+def wanted_keys(mapped: DataFrame) -> DataFrame:
+    """Distinct keys the mapped records will look up."""
+    keys = F.array(T.email_key(F.col("email")), T.phone_key(F.col("phone")), T.phone_key(F.col("id")))
+    return mapped.select(F.explode(keys).alias("key")).where(F.col("key").isNotNull()).distinct()
+
+
+def key_index(target: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """``key -> hs_id`` over e-mails, phones and source ids in one namespace.
 
     Of several target rows with the same key the one with the highest ``ord``
-    counts.  Each target row is read once and exploded to its keys.
+    counts.  Each target row is read once and exploded to its keys.  With
+    ``wanted`` (a small delta against a large target) only those keys are kept
+    before anything is shuffled, provided Spark measures them small enough to
+    broadcast.
     """
     keys = F.array(
         *[
@@ -30,12 +39,14 @@ def key_index(target: DataFrame) -> DataFrame:
             )
         ]
     )
-    return (
+    exploded = (
         target.select("hs_id", "ord", F.explode(keys).alias("k"))
-        .where(F.col("k.key").isNotNull())
-        .groupBy(F.col("k.key").alias("key"))
-        .agg(F.max_by("hs_id", F.struct("ord", "k.kind")).alias("hs_id"))
+        .select("hs_id", "ord", "k.*")
+        .where(F.col("key").isNotNull())
     )
+    if wanted is not None:
+        exploded = exploded.join(wanted, "key", "left_semi")
+    return exploded.groupBy("key").agg(F.max_by("hs_id", F.struct("ord", "kind")).alias("hs_id"))
 
 
 def match_chain(direct: Column, by_email: Column, by_phone: Column, reachable: Column):
@@ -55,14 +66,16 @@ def match_chain(direct: Column, by_email: Column, by_phone: Column, reachable: C
 
 
 def match_to_target(
-    mapped: DataFrame, target: DataFrame, use_source_id: bool = False
+    mapped: DataFrame, target: DataFrame, use_source_id: bool = False, small_delta: bool = False
 ) -> DataFrame:
     """Add ``action``, ``hs_id``, ``matched_on`` and ``reason``.
 
     Two left joins against the key index (one row per key).  Rows without a key
     get a private join value, so missing e-mails do not pile up in one task.
+    ``small_delta`` narrows the index to the keys of ``mapped`` (stage it first:
+    it is then read twice).
     """
-    index = key_index(target)
+    index = key_index(target, wanted_keys(mapped) if small_delta else None)
     email = T.email_key(F.col("email"))
     phone = T.phone_key(F.col("phone"))
     joined = (

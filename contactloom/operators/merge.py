@@ -98,19 +98,19 @@ def merge_duplicates(target: DataFrame, decided: DataFrame) -> DataFrame:
     columns = target.columns
     props = [p for p in PROPS if p in columns]
     where_to = survivors(decided)
-    tagged = target.join(where_to.withColumnRenamed("rec", "hs_id"), "hs_id", "left")
-    root = F.coalesce("root", "hs_id")
-    path = F.coalesce("path", F.array().cast(where_to.schema["path"].dataType))
-    staged = tagged.select(*target.columns, root.alias("_root"), path.alias("_path"))
-    sources = staged.join(
-        where_to.select(F.col("root").alias("_root")).distinct(), "_root", "left_semi"
+    none = F.array().cast(where_to.schema["path"].dataType)
+    members = where_to.select(F.col("rec").alias("hs_id"), F.col("root").alias("_root"), F.col("path").alias("_path"))
+    roots = where_to.select("root").distinct().select(
+        F.col("root").alias("hs_id"), F.col("root").alias("_root"), none.alias("_path")
     )
+    # only the records taking part are gathered, not the whole target
+    sources = target.select("hs_id", *props).join(members.unionByName(roots), "hs_id")
     filled = sources.groupBy("_root").agg(
         *[F.min_by(p, F.when(F.col(p).isNotNull(), F.col("_path"))).alias(f"_f_{p}") for p in props]
     )
     kept = target.join(where_to.select(F.col("rec").alias("hs_id")), "hs_id", "left_anti")
     return kept.join(filled.withColumnRenamed("_root", "hs_id"), "hs_id", "left").select(
-        *[F.coalesce(c, f"_f_{c}").alias(c) if c in props else F.col(c) for c in target.columns]
+        *[F.coalesce(c, f"_f_{c}").alias(c) if c in props else F.col(c) for c in columns]
     )
 
 

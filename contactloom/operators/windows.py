@@ -52,8 +52,8 @@ def check_bounds(since, until) -> tuple[datetime, datetime]:
 
 def changed_rows(df: DataFrame, since, until, ts_col: str = "dateUpdated") -> DataFrame:
     """Rows modified within [since, until]; a plain range filter that reaches the scan."""
-    lo, hi = check_bounds(since, until)
-    return df.where(F.col(ts_col).between(F.lit(lo), F.lit(hi)))
+    lo, hi = (F.lit(b).cast(df.schema[ts_col].dataType) for b in check_bounds(since, until))
+    return df.where(F.col(ts_col).between(lo, hi))
 
 
 def changed_since(

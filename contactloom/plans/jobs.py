@@ -26,9 +26,16 @@ def plan_updates(
     owner_map: DataFrame | None = None,
     allowlist: list[str] | None = None,
     check_enums: bool = True,
+    small_delta: bool = False,
 ) -> DataFrame:
-    """Planned writes (action, target id, properties to write) for raw contacts."""
-    matched = matching.match_to_target(prepare(contacts, owner_map), target)
+    """Planned writes (action, target id, properties to write) for raw contacts.
+
+    ``target`` needs ``hs_id, ord`` and the identity columns only.
+    """
+    mapped = prepare(contacts, owner_map)
+    if small_delta:
+        mapped = stage(mapped)
+    matched = matching.match_to_target(mapped, target, small_delta=small_delta)
     planned = conflict.plan_writes(matched, allowlist)
     return conflict.check_options(planned, conflict.enum_options()) if check_enums else planned
 

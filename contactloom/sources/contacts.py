@@ -38,33 +38,31 @@ def read_json_array(spark: SparkSession, path: str, schema: str = CONTACT_SCHEMA
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def read_ndjson(spark: SparkSession, path: str, schema: str = CONTACT_SCHEMA) -> DataFrame:
-    """One object per line; unreadable lines are kept in ``_corrupt``."""
-    return (
-        spark.read.schema(f"{schema}, {_CORRUPT} string")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .json(path)
+def _parse_lines(lines: DataFrame, schema: str) -> DataFrame:
+    """Parse one JSON object per ``line``; unreadable lines are kept in ``_corrupt``.
+
+    The good/corrupt split needs no cached copy this way: both sides re-read text.
+    """
+    parsed = F.from_json(
+        "line", f"{schema}, {_CORRUPT} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
+    return lines.select(parsed.alias("r")).select("r.*")
+
+
+def read_ndjson(spark: SparkSession, path: str, schema: str = CONTACT_SCHEMA) -> DataFrame:
+    """One object per line; blank lines are skipped."""
+    lines = spark.read.text(path).select(F.trim("value").alias("line"))
+    return _parse_lines(lines.where(F.col("line") != ""), schema)
 
 
 def read_array_lines(spark: SparkSession, path: str, schema: str = CONTACT_SCHEMA) -> DataFrame:
     """A large JSON array with one object per line, read line by line in parallel.
 
-    Blank lines and the bracket lines are skipped, a trailing comma is removed,
-    unreadable lines end up in ``_corrupt``.
+    Blank lines and the bracket lines are skipped, a trailing comma is removed.
     """
     line = F.regexp_replace(F.trim("value"), r",\s*$", "")
-    parsed = F.from_json(
-        "line", f"{schema}, {_CORRUPT} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
-    return (
-        spark.read.text(path)
-        .select(line.alias("line"))
-        .where(~F.col("line").isin("", "[", "]"))
-        .select(parsed.alias("r"))
-        .select("r.*")
-    )
+    lines = spark.read.text(path).select(line.alias("line"))
+    return _parse_lines(lines.where(~F.col("line").isin("", "[", "]")), schema)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -94,6 +92,19 @@ def normalise_attribution(json_col: str):
     return F.from_json(as_array, f"array<{ATTRIBUTION}>")
 
 
+def read_months(spark: SparkSession, path: str, since, until) -> DataFrame:
+    """Contacts written by ``sinks.write_by_month`` and changed within the bounds.
+
+    The month condition prunes folders, the timestamp condition reaches the files.
+    """
+    from contactloom.operators.windows import changed_rows, check_bounds
+
+    lo, hi = check_bounds(since, until)
+    months = F.col("month").between(lo.strftime("%Y-%m"), hi.strftime("%Y-%m"))
+    df = spark.read.option("basePath", path).parquet(path)
+    return changed_rows(df.where(months), lo, hi).drop("month")
+
+
 def optional_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A lookup file, or an empty table of the same schema when it is missing."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -76,32 +76,55 @@ class SyncState:
         self.record(seq=seq, started_at=started_at, finished_at=started_at, ok=True, base=seq)
         return seq
 
-    def target(self) -> DataFrame:
-        """Committed target: newest base overlaid with the changes written since."""
-        from contactloom.operators.upsert import NON_IDENTITY, PROPS, apply_updates
-        from contactloom.operators.rows import overlay
+    def _changes(self) -> DataFrame | None:
+        """Committed writes since the newest base, or None."""
+        from contactloom.operators.upsert import PROPS
 
         base = self.head()["base"]
-        snapshot = self.spark.read.parquet(self.base_path(base))
-        done = self.runs().where(F.col("wrote") & (F.col("seq") > base)).select("seq").distinct()
-        numbers = [r["seq"] for r in done.collect()]  # one number per run since the last base
-        if not numbers:
-            return snapshot
-        changes = None
-        for n in sorted(numbers):
-            part = self.spark.read.parquet(self.change_path(n)).withColumn("_run", F.lit(n))
-            changes = part if changes is None else changes.unionByName(part)
-        order = F.struct("_run", "ord").alias("ord")
-        latest = overlay(
-            changes.select("hs_id", order, *NON_IDENTITY), "hs_id", NON_IDENTITY
+        done = self.runs().where(F.col("wrote") & (F.col("seq") > base)).select(
+            F.col("seq").alias("run")
         )
+        if done.isEmpty():
+            return None
+        schema = ", ".join(
+            ["hs_id string", "ord bigint", "created boolean"]
+            + [f"{p} {rules.property_type(p)}" for p in PROPS]
+            + ["run bigint"]
+        )
+        return self.spark.read.schema(schema).parquet(f"{self.root}/changes").join(done, "run", "left_semi")
+
+    def _with_created(self, snapshot: DataFrame, changes: DataFrame) -> DataFrame:
+        """Base plus records inserted since; a replayed insert counts once."""
+        columns = [c for c in snapshot.columns if c not in ("hs_id", "createdate", "hs_last_activity_date")]
         created = changes.where("created").groupBy("hs_id").agg(
-            F.min_by(F.struct("ord", *PROPS), F.struct("_run", "ord")).alias("r")
+            F.min_by(F.struct(*columns), F.struct("run", "ord")).alias("r")
         ).select("hs_id", "r.*")
-        merged = snapshot.unionByName(
-            created.join(snapshot.select("hs_id"), "hs_id", "left_anti"), allowMissingColumns=True
+        return snapshot.unionByName(created, allowMissingColumns=True)
+
+    def identities(self) -> DataFrame:
+        """``hs_id, ord`` and identity columns of the committed target.
+
+        Updates never write identity columns, so no change has to be overlaid
+        and the wide columns of the base are not read.
+        """
+        snapshot = self.spark.read.parquet(self.base_path(self.head()["base"])).select(
+            "hs_id", "ord", *rules.IDENTITY_PROPERTIES
         )
-        return apply_updates(merged, latest)
+        changes = self._changes()
+        return snapshot if changes is None else self._with_created(snapshot, changes)
+
+    def target(self) -> DataFrame:
+        """Committed target: newest base overlaid with the changes written since."""
+        from contactloom.operators.rows import overlay
+        from contactloom.operators.upsert import NON_IDENTITY, apply_updates
+
+        snapshot = self.spark.read.parquet(self.base_path(self.head()["base"]))
+        changes = self._changes()
+        if changes is None:
+            return snapshot
+        order = F.struct("run", "ord").alias("ord")
+        latest = overlay(changes.select("hs_id", order, *NON_IDENTITY), "hs_id", NON_IDENTITY)
+        return apply_updates(self._with_created(snapshot, changes), latest)
 
     def compact(self, started_at: datetime) -> int:
         """Fold the changes into a new base version."""

@@ -34,8 +34,10 @@ def _write_changes(target: DataFrame, writes: DataFrame, path: str) -> None:
 def _process(state: SyncState, delta: DataFrame, owner_map: DataFrame | None, seq: int) -> dict:
     """Write the changes of one delta and return its counters (scalars only)."""
     staged = f"{state.root}/staged/run={seq}"
-    target = state.target()
-    planned = jobs.plan_updates(delta, target, owner_map, allowlist=rules.UPDATE_ALLOWLIST)
+    target = state.identities()
+    planned = jobs.plan_updates(
+        delta, target, owner_map, allowlist=rules.UPDATE_ALLOWLIST, small_delta=True
+    )
     writes = stage(planned, staged)
     _write_changes(target, writes, state.change_path(seq))
     return runs.judged(upsert.write_counts(target, writes)).first().asDict()
