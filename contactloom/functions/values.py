@@ -106,7 +106,12 @@ def to_epoch_ms(text: Column) -> Column:
     """Epoch digits or an ISO timestamp, in milliseconds; null when neither parses."""
     return F.coalesce(
         F.when(F.rlike(text, F.lit(r"\A[0-9]+\z")), text.try_cast("bigint")),
-        F.unix_millis(F.try_to_timestamp(text)),
+        # a date without a time means midnight UTC
+        F.unix_millis(
+            F.try_to_timestamp(
+                F.when(F.rlike(text, F.lit(ISO_DATE)), F.concat(text, F.lit("T00:00:00Z"))).otherwise(text)
+            )
+        ),
     )
 
 

@@ -52,6 +52,11 @@ def append_options(existing: DataFrame, new: DataFrame, chunk: int = 1_000_000)
     )
 
 
+def custom_properties(existing: DataFrame) -> DataFrame:
+    """Properties that are not built in, sorted by name."""
+    return existing.where(~F.col("hubspotDefined")).orderBy("name")
+
+
 def type_counts(existing: DataFrame) -> DataFrame:
     """Properties per type, split into built-in and custom."""
     return existing.groupBy("type").agg(

@@ -101,9 +101,10 @@ def pending(df: DataFrame, window: Column, done: DataFrame) -> DataFrame:
 
 def late_edits(df: DataFrame, since, until) -> DataFrame:
     """Per run window: rows updated inside it, rows created before it, late edits."""
-    lo, hi = check_bounds(since, until)
-    inside = F.col("dateUpdated").between(F.lit(lo), F.lit(hi))
-    before = F.col("dateAdded") < F.lit(lo)
+    updated, added = df.schema["dateUpdated"].dataType, df.schema["dateAdded"].dataType
+    lo, hi = (F.lit(b) for b in check_bounds(since, until))
+    inside = F.col("dateUpdated").between(lo.cast(updated), hi.cast(updated))
+    before = F.col("dateAdded") < lo.cast(added)
     return df.agg(
         F.count_if(inside).alias("updated_in_window"),
         F.count_if(before).alias("created_before_window"),

@@ -469,7 +469,7 @@ def late_edit_metric(spark, sf):
     WHERE a.added IS NOT NULL OR r.removed IS NOT NULL""")
 def tag_diff(spark, sf):
     d = inputs.delta(spark, sf)
-    split = F.col("dateUpdated") < F.lit(datetime.fromisoformat(SINCE))
+    split = F.col("dateUpdated") < F.lit(datetime.fromisoformat(SINCE)).cast(d.schema["dateUpdated"].dataType)
 
     def version(part):
         return part.groupBy("id").agg(F.collect_set("event_type").alias("tags"))  # at most one entry per event type
@@ -537,6 +537,45 @@ def keep_last_by_key(spark, sf):
     return rows.keep_last(o, "k")
 
 
+@query("overlay_updates", """
+    SELECT o_custkey AS k, max(o_orderkey) AS ord,
+      arg_max(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END, o_orderkey) AS last_filled,
+      arg_max(CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END, o_orderkey) AS last_open
+    FROM orders GROUP BY o_custkey""")
+def overlay_updates(spark, sf):
+    """Later rows overlay earlier ones property by property."""
+    o = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("ord"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("last_filled"),
+        F.when(F.col("o_orderstatus") == "O", F.col("o_orderpriority")).alias("last_open"),
+    )
+    return rows.overlay(o, "k", ["last_filled", "last_open"])
+
+
+@query("keep_first_by_key", "SELECT o_custkey AS k, min(o_orderkey) AS ord, arg_min(o_totalprice, o_orderkey) AS price FROM orders GROUP BY o_custkey")
+def keep_first_by_key(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("ord"), F.col("o_totalprice").alias("price"))
+    return rows.keep_first(o, "k")
+
+
+@query("monthly_tag_windows", """
+    SELECT CAST(date_trunc('month', dateUpdated) AS DATE) AS window_start, count(*) AS total,
+      count(DISTINCT id) AS collected, CAST(count(*) >= 10000 AS BIGINT) AS capped
+    FROM delta_v WHERE event_type IN ('purchase', 'click') GROUP BY 1""")
+def monthly_tag_windows(spark, sf):
+    """Calendar-month windows of the rows carrying any of two tags."""
+    found = windows.tagged(inputs.delta(spark, sf), include=["purchase", "click"])
+    stats = windows.window_stats(found, windows.month_start(F.col("dateUpdated")))
+    return stats.withColumn("capped", flag(F.col("capped")))
+
+
+@query("epoch_values", """
+    SELECT k, CASE WHEN k % 5 = 1 THEN NULL ELSE date_diff('day', DATE '1970-01-01', CAST(first_date AS DATE)) * 86400000 END AS ms FROM custom_v""")
+def epoch_values(spark, sf):
+    """Epoch digits and ISO dates in text form as milliseconds."""
+    return view(spark, sf, "custom_v").select("k", V.to_epoch_ms(F.col("first_text")).alias("ms"))
+
+
 # --- profiling --------------------------------------------------------------
 @query("tag_topk", "SELECT tag, count(*) AS n FROM tag_rows_v GROUP BY tag ORDER BY n DESC, tag LIMIT 30")
 def tag_topk(spark, sf):
@@ -717,6 +756,15 @@ def schema_types(spark, sf):
     return schema_diff.type_counts(p)
 
 
+@query("custom_property_list", "SELECT DISTINCT p_brand || '/' || p_type AS name, p_type AS type FROM part WHERE p_size <= 25 ORDER BY name")
+def custom_property_list(spark, sf):
+    p = table(spark, sf, "part").select(
+        F.concat("p_brand", F.lit("/"), "p_type").alias("name"), F.col("p_type").alias("type"),
+        (F.col("p_size") > 25).alias("hubspotDefined"),
+    )
+    return schema_diff.custom_properties(p.distinct()).select("name", "type")
+
+
 # --- validation -------------------------------------------------------------
 CHECKED = ["firstname", "lastname", "utm_source"]
 _EXPECTED_LAST = "SELECT email, arg_max_null(firstname, ord) AS firstname, arg_max_null(lastname, ord) AS lastname, arg_max_null(utm_source, ord) AS utm_source FROM mapped_v WHERE email IS NOT NULL GROUP BY email"
@@ -881,6 +929,16 @@ def array_lines_roundtrip(spark, sf):
     return good.select(*FILE_COLS)
 
 
+@query("array_file_roundtrip", f"SELECT count(*) AS written, sum(ord) AS ord_sum FROM contacts_v")
+def array_file_roundtrip(spark, sf):
+    """Line JSON converted to a columnar table; rows counted while writing."""
+    root = shared_folder(spark)
+    sinks.append_ndjson(inputs.plain_contacts(spark, sf).select(*FILE_COLS), f"{root}/lines")
+    good, _ = reader.split_corrupt(reader.read_ndjson(spark, f"{root}/lines", _FILE_SCHEMA))
+    written = sinks.write_counted(good, f"{root}/table")
+    return spark.read.parquet(f"{root}/table").agg(F.lit(written).cast("bigint").alias("written"), F.sum("ord").alias("ord_sum"))
+
+
 @query("corrupt_lines", "SELECT count(*) FILTER (WHERE k % 10 <> 0) AS readable, count(*) FILTER (WHERE k % 10 = 0) AS corrupt FROM contacts_v")
 def corrupt_lines(spark, sf):
     """Every tenth line is cut in half; readable and unreadable lines are both counted."""

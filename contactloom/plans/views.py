@@ -135,7 +135,7 @@ VIEWS = {
                WHEN r IN (7, 8, 11) THEN NULL
                ELSE 'old' || k || '@old.example.com' END AS email,
           CASE WHEN r IN (0, 7, 9) THEN '+1555' || p7 END AS phone,
-          CASE WHEN k % 4 = 0 THEN 'c' || k END AS engager_contact_id,
+          CASE WHEN k % 4 = 0 OR r IN (2, 3) THEN 'c' || k END AS engager_contact_id,
           CASE WHEN k % 5 = 0 THEN NULL ELSE 'ANN' END AS firstname,
           'Lee' || b AS lastname,
           CASE WHEN k % 3 = 0 THEN 'Old Co' END AS company,
