@@ -27,6 +27,7 @@ from contactloom.sources.staging import stage
 
 AUTO, REVIEW = "auto-merge", "manual-review"  # fixed values
 BLOCK_LIMIT = 2000
+PROFILES_PER_TASK = 2000
 MAX_EDITS = 4  # fixed value: largest e-mail distance any rule accepts
 
 
@@ -215,11 +216,15 @@ def _pairs_by_keys(large: DataFrame) -> DataFrame:
 
 def profile_pairs(sized: DataFrame, block_limit: int = BLOCK_LIMIT) -> DataFrame:
     """Qualifying pairs of different profiles: ``name_key, e1, p1, e2, p2, reason``."""
-    largest = sized.agg(F.max("_block")).first()[0] or 0  # one number decides the plan
+    hot = F.col("_block") > block_limit
+    n_hot = sized.agg(F.count_if(hot)).first()[0]  # one number decides the plan
     in_block = _pairs_in_blocks(sized.where(F.col("_block").between(2, block_limit)).drop("_block", "_malformed"))
-    if largest <= block_limit:
+    if n_hot == 0:
         return in_block
-    return in_block.unionByName(_pairs_by_keys(sized.where(F.col("_block") > block_limit).drop("_block")))
+    # key generation is the costly step: spread the profiles of a hot name evenly
+    tasks = min(100_000, max(8, n_hot // PROFILES_PER_TASK))
+    large = sized.where(hot).drop("_block").repartition(tasks, "name_key", "e", "p")
+    return in_block.unionByName(_pairs_by_keys(large))
 
 
 def copy_groups(profs: DataFrame) -> DataFrame:

@@ -64,8 +64,9 @@ def key_presence(df: DataFrame, json_col: str, fields: list[str], ord_col: str)
 
     ``json_col`` is a VARIANT object per row.
     """
+    # a missing key is SQL null, a key holding JSON null is not
     keys = [
-        F.count_if(F.schema_of_variant(F.col(json_col)).rlike(rf"[<, ]{f}: ")).alias(f"n_{f}")
+        F.count_if(F.variant_get(F.col(json_col), f"$.{f}", "variant").isNotNull()).alias(f"n_{f}")
         for f in fields
     ]
     firsts = []

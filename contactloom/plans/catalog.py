@@ -387,7 +387,22 @@ def review_pairs(spark, sf):
     return dedupe.review_rows(dedupe.duplicate_pairs(inputs.duplicate_source(spark, sf)))
 
 
-@query("merge_survivors")
+@query("merge_survivors", """
+    WITH RECURSIVE p AS (
+      SELECT name_key, primary_id, duplicate_id, reason,
+        row_number() OVER (PARTITION BY name_key ORDER BY ord_a, ord_b) AS i
+      FROM found_v WHERE classification = 'auto-merge'),
+    s AS (
+      SELECT name_key, CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS gone, '' AS p, '' AS m, '' AS reason, false AS merged
+      FROM (SELECT DISTINCT name_key FROM p)
+      UNION ALL
+      SELECT p.name_key, p.i,
+        CASE WHEN list_contains(s.gone, p.primary_id) OR list_contains(s.gone, p.duplicate_id)
+             THEN s.gone ELSE list_append(s.gone, p.duplicate_id) END,
+        p.primary_id, p.duplicate_id, p.reason,
+        NOT (list_contains(s.gone, p.primary_id) OR list_contains(s.gone, p.duplicate_id))
+      FROM s JOIN p ON p.name_key = s.name_key AND p.i = s.i + 1)
+    SELECT p, m, reason, CAST(merged AS BIGINT) AS merged FROM s WHERE i > 0""")
 def merge_survivors(spark, sf):
     """Outcome of applying all auto-merge pairs in order."""
     dup = dedupe.duplicate_pairs(inputs.duplicate_source(spark, sf))

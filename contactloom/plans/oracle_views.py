@@ -195,7 +195,7 @@ ORACLE_VIEWS = {
           concat(a.firstname, ' ', a.lastname) AS name_a, concat(b.firstname, ' ', b.lastname) AS name_b
         FROM dup_v a JOIN dup_v b ON a.name_key = b.name_key AND a.ord < b.ord""",
     "found_v": """
-        SELECT CASE WHEN keep_a THEN id_a ELSE id_b END AS primary_id,
+        SELECT name_key, ord_a, ord_b, CASE WHEN keep_a THEN id_a ELSE id_b END AS primary_id,
           coalesce(CASE WHEN keep_a THEN email_a ELSE email_b END, '') AS primary_email,
           CASE WHEN keep_a THEN name_a ELSE name_b END AS primary_name,
           CASE WHEN keep_a THEN id_b ELSE id_a END AS duplicate_id,

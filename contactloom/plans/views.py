@@ -209,8 +209,11 @@ def oracle(text: str, extra: dict[str, str] | None = None) -> str:
         return text
     ctes = ",\n".join(f"{n} AS ({known[n]})" for n in names)
     body = text.strip()
-    own = body.startswith("WITH")  # a query with CTEs of its own continues the list
-    return f"WITH {ctes}" + (f",\n{body[4:]}" if own else f"\n{body}")
+    # a query with CTEs of its own continues the list
+    for head in ("WITH RECURSIVE", "WITH"):
+        if body.startswith(head):
+            return f"{head} {ctes},\n{body[len(head):]}"
+    return f"WITH {ctes}\n{body}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

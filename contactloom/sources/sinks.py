@@ -35,13 +35,13 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_by_month(df: DataFrame, path: str, ts_col: str = "dateUpdated") -> None:
+def write_by_month(df: DataFrame, path: str, ts_col: str = "dateUpdated", files: int = 64) -> None:
     """Contacts partitioned by modification month, so a delta scan prunes folders.
 
     Rows are spread by month *and* a hash bucket, so one busy month is written
-    by many tasks.
+    by up to ``files`` tasks.
     """
-    spread = F.pmod(F.xxhash64("id"), F.lit(64))
+    spread = F.pmod(F.xxhash64("id"), F.lit(files))
     (
         df.withColumn("month", F.date_format(ts_col, "yyyy-MM"))
         .repartition("month", spread)

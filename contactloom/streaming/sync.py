@@ -66,7 +66,9 @@ def run_once(
     }
     try:
         delta = windows.changed_since(source, lower, until, exclude_tags)
-        changed = delta.agg(F.count(F.lit(1))).first()[0]
+        if not dry_run:
+            delta = stage(delta, f"{state.root}/staged/delta={seq}")  # the source is scanned once
+        changed = delta.count()
         summary |= {"changed": changed, "ok": True, "finished_at": datetime.now()}
         if dry_run:
             return summary | {"origin": origin}

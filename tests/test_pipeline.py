@@ -155,6 +155,13 @@ def test_repeated_tags_count(spark):
     assert {r["tag"]: r["n"] for r in profile.tag_counts(df).collect()} == {"a": 2, "b": 1}
 
 
+def test_key_presence_counts_null_values(spark):
+    docs = [(0, '{"a": null}'), (1, '{"a": 5, "b": {"c": 1}}'), (2, "{}")]
+    df = spark.createDataFrame(docs, "ord int, d string").select("ord", F.parse_json("d").alias("d"))
+    got = {r["field"]: (r["n"], r["example"]) for r in profile.key_presence(df, "d", ["a", "b", "c"], "ord").collect()}
+    assert got["a"] == (2, "5") and got["b"][0] == 1 and got["c"] == (0, None)
+
+
 def test_guest_edges_skip_existing(spark):
     t = target(spark, {"email": "host@x.co"}, {"engager_contact_id": "c0"}, {"engager_contact_id": "c1"})
     m = mapped(spark, {}, {}).withColumn("guest_group_ref", F.lit(" Host@x.co"))
