@@ -125,8 +125,6 @@ def hours_minutes_text(ms: Column) -> Column:
 
 
 def percent_text(part: Column, whole: Column, digits_after: int = 0) -> Column:
-    pct = F.round(100.0 * part / whole, digits_after)
-    shown = pct.cast("bigint").cast("string") if digits_after == 0 else F.format_string(
-        f"%.{digits_after}f", pct
-    )
-    return F.concat(shown, F.lit("%"))
+    """Decimal arithmetic, so that ties are always rounded half up."""
+    pct = part.cast("decimal(20,6)") * 100 / whole.cast("decimal(20,6)")
+    return F.concat(F.round(pct, digits_after).cast(f"decimal(20,{digits_after})").cast("string"), F.lit("%"))

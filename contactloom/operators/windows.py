@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contactloom import rules
 from contactloom.functions import tags as G
@@ -41,10 +42,25 @@ def window_stats(df: DataFrame, window: Column, id_col: str = "id") -> DataFrame
     )
 
 
+def utc_time(value) -> datetime:
+    """A time or ISO text as UTC without zone; without a zone it already is UTC."""
+    t = value if isinstance(value, datetime) else datetime.fromisoformat(str(value).replace("Z", "+00:00"))
+    return t.astimezone(timezone.utc).replace(tzinfo=None) if t.tzinfo else t
+
+
+def instant(value: datetime, kind: T.DataType) -> Column:
+    """A UTC time as a literal of the column's own timestamp type.
+
+    Equal types keep the comparison a plain range that reaches the file scan, and
+    the session time zone has no say in it.
+    """
+    if isinstance(kind, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(kind)
+    return F.lit(value.replace(tzinfo=timezone.utc))
+
+
 def check_bounds(since, until) -> tuple[datetime, datetime]:
-    lo = since if isinstance(since, datetime) else datetime.fromisoformat(str(since).replace("Z", "+00:00"))
-    hi = until if isinstance(until, datetime) else datetime.fromisoformat(str(until).replace("Z", "+00:00"))
-    lo, hi = lo.replace(tzinfo=None), hi.replace(tzinfo=None)
+    lo, hi = utc_time(since), utc_time(until)
     if lo > hi:
         raise ValueError(f"since ({lo}) is after until ({hi})")
     return lo, hi
@@ -52,7 +68,7 @@ def check_bounds(since, until) -> tuple[datetime, datetime]:
 
 def changed_rows(df: DataFrame, since, until, ts_col: str = "dateUpdated") -> DataFrame:
     """Rows modified within [since, until]; a plain range filter that reaches the scan."""
-    lo, hi = (F.lit(b).cast(df.schema[ts_col].dataType) for b in check_bounds(since, until))
+    lo, hi = (instant(b, df.schema[ts_col].dataType) for b in check_bounds(since, until))
     return df.where(F.col(ts_col).between(lo, hi))
 
 
@@ -102,9 +118,9 @@ def pending(df: DataFrame, window: Column, done: DataFrame) -> DataFrame:
 def late_edits(df: DataFrame, since, until) -> DataFrame:
     """Per run window: rows updated inside it, rows created before it, late edits."""
     updated, added = df.schema["dateUpdated"].dataType, df.schema["dateAdded"].dataType
-    lo, hi = (F.lit(b) for b in check_bounds(since, until))
-    inside = F.col("dateUpdated").between(lo.cast(updated), hi.cast(updated))
-    before = F.col("dateAdded") < lo.cast(added)
+    lo, hi = check_bounds(since, until)
+    inside = F.col("dateUpdated").between(instant(lo, updated), instant(hi, updated))
+    before = F.col("dateAdded") < instant(lo, added)
     return df.agg(
         F.count_if(inside).alias("updated_in_window"),
         F.count_if(before).alias("created_before_window"),

@@ -387,8 +387,7 @@ def review_pairs(spark, sf):
     return dedupe.review_rows(dedupe.duplicate_pairs(inputs.duplicate_source(spark, sf)))
 
 
-@query("merge_survivors", """
-    WITH RECURSIVE p AS (
+_MERGES = """WITH RECURSIVE p AS (
       SELECT name_key, primary_id, duplicate_id, reason,
         row_number() OVER (PARTITION BY name_key ORDER BY ord_a, ord_b) AS i
       FROM found_v WHERE classification = 'auto-merge'),
@@ -401,7 +400,11 @@ def review_pairs(spark, sf):
              THEN s.gone ELSE list_append(s.gone, p.duplicate_id) END,
         p.primary_id, p.duplicate_id, p.reason,
         NOT (list_contains(s.gone, p.primary_id) OR list_contains(s.gone, p.duplicate_id))
-      FROM s JOIN p ON p.name_key = s.name_key AND p.i = s.i + 1)
+      FROM s JOIN p ON p.name_key = s.name_key AND p.i = s.i + 1)"""
+
+
+@query("merge_survivors", f"""
+{_MERGES}
     SELECT p, m, reason, CAST(merged AS BIGINT) AS merged FROM s WHERE i > 0""")
 def merge_survivors(spark, sf):
     """Outcome of applying all auto-merge pairs in order."""
@@ -409,7 +412,24 @@ def merge_survivors(spark, sf):
     return merge.decide_merges(merge.ordered_pairs(dup)).select("p", "m", "reason", flag(F.col("merged")).alias("merged"))
 
 
-@query("merged_target")
+FILL = ["email", "phone", "firstname", "lastname", "company", "website"]
+
+
+@query("merged_target", f"""
+{_MERGES},
+    e AS (SELECT m, p, i FROM s WHERE merged),
+    r AS (
+      SELECT m AS rec, p AS root, [i] AS path FROM e
+      UNION ALL SELECT r.rec, e.p, list_prepend(e.i, r.path) FROM r JOIN e ON e.m = r.root),
+    f AS (SELECT * FROM r WHERE root NOT IN (SELECT m FROM e)),
+    members AS (
+      SELECT rec AS hs_id, root, path FROM f
+      UNION ALL SELECT DISTINCT root, root, CAST([] AS BIGINT[]) FROM f),
+    filled AS (
+      SELECT root, {', '.join(f'arg_min(d.{c}, path) AS {c}' for c in FILL)}
+      FROM members JOIN dup_v d ON d.hs_id = members.hs_id GROUP BY root)
+    SELECT d.hs_id, {', '.join(f'coalesce(d.{c}, filled.{c}) AS {c}' for c in FILL)}
+    FROM dup_v d LEFT JOIN filled ON d.hs_id = filled.root WHERE d.hs_id NOT IN (SELECT m FROM e)""")
 def merged_target(spark, sf):
     """Target after the merges: survivors with blanks filled."""
     source = inputs.duplicate_source(spark, sf)
@@ -484,7 +504,7 @@ def late_edit_metric(spark, sf):
     WHERE a.added IS NOT NULL OR r.removed IS NOT NULL""")
 def tag_diff(spark, sf):
     d = inputs.delta(spark, sf)
-    split = F.col("dateUpdated") < F.lit(datetime.fromisoformat(SINCE)).cast(d.schema["dateUpdated"].dataType)
+    split = F.col("dateUpdated") < windows.instant(windows.utc_time(SINCE), d.schema["dateUpdated"].dataType)
 
     def version(part):
         return part.groupBy("id").agg(F.collect_set("event_type").alias("tags"))  # at most one entry per event type
@@ -874,7 +894,7 @@ def failed_sample(spark, sf):
       failed / (updated + inserted + failed + skipped) <= 0.1 AS ok FROM r)
     SELECT strftime(started_at, '%Y-%m') AS run_id, CASE WHEN ok THEN 'OK' ELSE 'FAILED' END AS status,
       CASE WHEN changed >= 60 THEN (changed // 60) || 'm ' || (changed % 60) || 's' ELSE changed || 's' END AS duration,
-      printf('%.1f', CAST(round(CAST(100.0 * rate AS DECIMAL(30, 18)), 1) AS DOUBLE)) || '%' AS rate_text,
+      CAST(round(CAST(rate AS DECIMAL(10, 4)) * 100, 1) AS DECIMAL(10, 1)) || '%' AS rate_text,
       CASE WHEN NOT ok THEN failed || ' of ' || changed || ' changed' END AS alert FROM j""")
 def run_summary(spark, sf):
     """Summary rows; a run is taken to last one second per changed row."""

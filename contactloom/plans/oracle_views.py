@@ -169,7 +169,7 @@ ORACLE_VIEWS = {
                WHEN p.hs_id IS NOT NULL THEN 'phone' END AS matched_on
         FROM mapped_v m LEFT JOIN index_v e ON m.email = e.key LEFT JOIN index_v p ON m.phone = p.key""",
     "dup_v": """
-        SELECT 'h' || ord AS hs_id, ord, email, firstName AS firstname, lastName AS lastname,
+        SELECT 'h' || ord AS hs_id, ord, email, phone, companyName AS company, website, firstName AS firstname, lastName AS lastname,
           lower(coalesce(firstName, '')) || '|' || lower(coalesce(lastName, '')) AS name_key,
           coalesce(email, '') AS e, regexp_replace(coalesce(phone, ''), '[^0-9]', '', 'g') AS p,
           split_part(coalesce(email, ''), '@', 1) AS l, split_part(coalesce(email, ''), '@', 2) AS d,

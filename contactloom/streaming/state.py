@@ -11,9 +11,9 @@ A reader sees only what a row in ``runs`` has committed.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactloom import rules
@@ -27,6 +27,15 @@ RUN_SCHEMA = (
 )
 
 
+def now() -> datetime:
+    """Current UTC time without zone, as all times in the state."""
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def from_micros(us: int | None) -> datetime | None:
+    return None if us is None else datetime(1970, 1, 1) + timedelta(microseconds=us)
+
+
 class SyncState:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -43,14 +52,17 @@ class SyncState:
         """Newest runs first, at most 30."""
         return R.newest(self.runs())
 
-    def head(self) -> Row:
+    def head(self) -> dict:
         """Scalars: last sequence number, watermark, current base version."""
-        return self.runs().agg(
+        row = self.runs().agg(
             F.coalesce(F.max("seq"), F.lit(0)).alias("seq"),
-            F.max_by("advance_to", F.when(F.col("ok") & F.col("advance_to").isNotNull(), F.col("seq"))).alias("watermark"),
+            F.unix_micros(
+                F.max_by("advance_to", F.when(F.col("ok") & F.col("advance_to").isNotNull(), F.col("seq")))
+            ).alias("watermark"),
             F.max("base").alias("base"),
             F.max(F.when(F.col("ok"), F.col("batch_id"))).alias("batch_id"),
         ).first()
+        return row.asDict() | {"watermark": from_micros(row["watermark"])}
 
     def watermark(self) -> datetime | None:
         return self.head()["watermark"]
@@ -58,7 +70,8 @@ class SyncState:
     def record(self, **run) -> None:
         """Append one run row.  ``advance_to`` counts only for an ok run."""
         names = [c.split()[0] for c in RUN_SCHEMA.split(", ")]
-        row = {n: None for n in names} | run
+        aware = {n: v.replace(tzinfo=timezone.utc) for n, v in run.items() if isinstance(v, datetime)}
+        row = {n: None for n in names} | run | aware
         one = self.spark.createDataFrame([tuple(row[n] for n in names)], RUN_SCHEMA)
         one.coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
 

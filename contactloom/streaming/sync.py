@@ -15,7 +15,7 @@ from contactloom import rules
 from contactloom.operators import runs, upsert, windows
 from contactloom.plans import jobs
 from contactloom.sources.staging import stage
-from contactloom.streaming.state import SyncState, resolve_window
+from contactloom.streaming.state import SyncState, from_micros, now, resolve_window
 
 
 class RunHeld(RuntimeError):
@@ -69,7 +69,7 @@ def run_once(
         if not dry_run:
             delta = stage(delta, f"{state.root}/staged/delta={seq}")  # the source is scanned once
         changed = delta.count()
-        summary |= {"changed": changed, "ok": True, "finished_at": datetime.now()}
+        summary |= {"changed": changed, "ok": True, "finished_at": now()}
         if dry_run:
             return summary | {"origin": origin}
         if changed == 0:
@@ -78,11 +78,11 @@ def run_once(
         counts = _process(state, delta, owner_map, seq)
         ok = counts["failed"] <= max_failure_rate * counts["processed"]
         summary |= {k: counts[k] for k in ("updated", "inserted", "failed", "skipped", "withheld", "failure_rate")}
-        summary |= {"ok": ok, "wrote": True, "finished_at": datetime.now()}
+        summary |= {"ok": ok, "wrote": True, "finished_at": now()}
         state.record(**summary, advance_to=until if ok else None)
         return summary | {"origin": origin}
     except Exception as err:
-        state.record(seq=seq, started_at=until, finished_at=datetime.now(), ok=False, error=str(err)[:500])
+        state.record(seq=seq, started_at=until, finished_at=now(), ok=False, error=str(err)[:500])
         raise
 
 
@@ -105,17 +105,18 @@ def sync_stream(
         if head["batch_id"] is not None and batch_id <= head["batch_id"]:
             return  # already committed
         seq = head["seq"] + 1
-        bounds = batch.agg(F.min("dateUpdated").alias("lo"), F.max("dateUpdated").alias("hi")).first()
-        base = {"seq": seq, "started_at": datetime.now(), "batch_id": batch_id, "dry_run": False}
+        edge = batch.agg(F.unix_micros(F.min("dateUpdated")), F.unix_micros(F.max("dateUpdated"))).first()
+        bounds = {"lo": from_micros(edge[0]), "hi": from_micros(edge[1])}
+        base = {"seq": seq, "started_at": now(), "batch_id": batch_id, "dry_run": False}
         if bounds["hi"] is None:
-            state.record(**base, finished_at=datetime.now(), ok=True, changed=0)
+            state.record(**base, finished_at=now(), ok=True, changed=0)
             return
         delta = windows.changed_since(batch, bounds["lo"], bounds["hi"], exclude_tags)
         counts = _process(state, delta, owner_map, seq)
         ok = counts["failed"] <= max_failure_rate * counts["processed"]
         state.record(
             **base,
-            finished_at=datetime.now(), ok=ok, since=bounds["lo"], until=bounds["hi"], wrote=True,
+            finished_at=now(), ok=ok, since=bounds["lo"], until=bounds["hi"], wrote=True,
             changed=counts["input"],
             **{k: counts[k] for k in ("updated", "inserted", "failed", "skipped", "withheld", "failure_rate")},
             advance_to=bounds["hi"] if ok else None,

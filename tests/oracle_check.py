@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 import traceback
@@ -67,7 +68,7 @@ if __name__ == "__main__":
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.sql.session.timeZone", os.environ.get("CHECK_TZ", "UTC")).config("spark.driver.memory", "8g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
     con = connect(sf)

@@ -253,3 +253,31 @@ def test_stream_holds_and_replays(spark, tmp_path):
     count = state.runs().count()
     start(0.1).awaitTermination()
     assert state.runs().count() == count
+
+
+def test_hot_keys(spark):
+    """A third of the rows share one e-mail, a third have none; nothing is lost."""
+    n = 30_000
+    kind = F.col("ord") % 3
+    ids = spark.range(n).withColumnRenamed("id", "ord")
+    props = {
+        "email": F.when(kind == 0, F.lit("hot@x.co")).when(kind == 1, F.concat(F.lit("u"), "ord", F.lit("@x.co"))),
+        "phone": F.when(kind == 2, F.concat(F.lit("+"), "ord")),
+        "city": F.concat(F.lit("city"), "ord"),
+    }
+    m = ids.select(
+        F.concat(F.lit("c"), "ord").alias("id"), "ord", F.lit(None).cast("string").alias("hs_contact_id"),
+        *[props.get(p, F.lit(None)).cast(rules.property_type(p)).alias(p) for p in rules.PROPERTIES],
+    )
+    t = target(spark, {"email": "hot@x.co", "city": "Old"})
+    matched = matching.match_to_target(m, t)
+    counts = {(r["action"], r["matched_on"]): r["n"] for r in matching.action_counts(matched).collect()}
+    assert counts == {("update", "email"): n // 3, ("insert", "-"): 2 * n // 3}
+    w = stage(conflict.plan_writes(matched))
+    snap = upsert.upsert(t, w)
+    assert snap.count() == 1 + 2 * n // 3
+    assert snap.where("hs_id = 'h0'").first()["city"] == f"city{n - 3}"
+    inserts = stage(conflict.plan_writes(matching.match_to_target(m, target(spark, {"email": "other@x.co"}))))
+    assert upsert.fold_inserts(inserts).count() == 1 + 2 * n // 3
+    folded = upsert.fold_inserts(inserts).where("email = 'hot@x.co'").first()
+    assert folded["hs_id"] == "new:c0" and folded["city"] == f"city{n - 3}"
