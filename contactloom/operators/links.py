@@ -74,6 +74,8 @@ def guest_edges(mapped: DataFrame, target: DataFrame, existing: DataFrame) -> Da
 
     The guest reference is a host e-mail, else a host source id.  The guest's
     own record is found by its source id.  ``existing(from_id, to_id)``.
+    Stage ``mapped`` first: the filter and two joins on the reference would
+    otherwise decode the custom fields again for each use.
     """
     index = key_index(target)
     guests = mapped.where(F.col("guest_group_ref").isNotNull()).select(

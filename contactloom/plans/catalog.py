@@ -738,7 +738,7 @@ def deal_mapping(spark, sf):
     SELECT from_id, to_id FROM e WHERE from_id <> to_id
       AND NOT EXISTS (SELECT 1 FROM target_v t WHERE t.k % 5 = 0 AND t.hs_id = e.from_id AND e.to_id = 'h' || (t.k - t.r))""")
 def guest_edges(spark, sf):
-    mapped = _decoded(spark, sf).select("id", "guest_group_ref")
+    mapped = stage(_decoded(spark, sf).select("id", "guest_group_ref"))
     t = inputs.target(spark, sf)
     # edges already present: every fifth record to the first record of its block
     existing = t.select(
