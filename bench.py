@@ -15,7 +15,7 @@ from contactloom.plans.catalog import QUERIES
 
 HEADLINE = [
     "clean_names_emails_phones", "decode_custom_fields", "buyer_tier", "event_cities",
-    "key_index", "match_actions", "conflict_filtered_updates", "match_pipeline", "migrate_all",
+    "key_index", "match_actions", "conflict_filtered_updates", "conflict_safe_snapshot", "migrate_all",
     "duplicate_pairs", "merge_survivors", "weekly_windows", "delta_since", "tag_topk",
     "field_coverage", "pipeline_contacts", "validation_status", "run_metrics",
     "contact_mentions", "json_roundtrip", "incremental_sync",

@@ -325,8 +325,8 @@ def upsert_snapshot(spark, sf):
     return upsert.upsert(inputs.target(spark, sf), writes).select(*SNAPSHOT_COLS)
 
 
-@query("match_pipeline", O.snapshot(O.OWNED))
-def match_pipeline(spark, sf):
+@query("conflict_safe_snapshot", O.snapshot(O.OWNED))
+def conflict_safe_snapshot(spark, sf):
     """Clean, map, match, conflict filter, upsert chained."""
     writes = _planned(spark, sf, rules.UPDATE_ALLOWLIST)
     return upsert.upsert(inputs.target(spark, sf), writes).select(*SNAPSHOT_COLS)

@@ -13,7 +13,7 @@ from oracle_check import compare, connect
 SF = "/root/testdata/sf0.001"
 CORE = [
     "clean_names_emails_phones", "issue_counts", "decode_custom_fields", "event_cities", "buyer_tier",
-    "owner_map_build", "key_index", "match_actions", "conflict_filtered_updates", "match_pipeline",
+    "owner_map_build", "key_index", "match_actions", "conflict_filtered_updates", "conflict_safe_snapshot",
     "enum_domain_violations", "duplicate_pairs", "weekly_windows", "delta_since", "delta_counts", "tag_diff",
     "tag_topk", "field_coverage", "pipeline_counts", "schema_diff_options", "validation_status",
     "failure_rate", "guest_edges", "corrupt_lines", "review_csv", "stream_sync",
