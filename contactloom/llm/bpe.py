@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from contactloom.llm.chunks import cut
-from contactloom.llm.common import texts
+from contactloom.llm.common import map_arrow, texts
 
 KEEP_WORDS = 600_000
 BATCH_WORDS = 20_000
@@ -241,7 +241,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    return texts(docs).selectExpr("CAST(doc_id AS BIGINT) doc_id", "text").mapInArrow(run, SCHEMA)
+    return map_arrow(texts(docs).selectExpr("CAST(doc_id AS BIGINT) doc_id", "text"), run, SCHEMA)
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -256,7 +256,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     [batch.column(0).slice(start, len(block)), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "ids"]
                 )
 
-    return texts(docs).selectExpr("CAST(doc_id AS BIGINT) doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<bigint>")
+    return map_arrow(texts(docs).selectExpr("CAST(doc_id AS BIGINT) doc_id", "text"), run, "doc_id bigint, ids array<bigint>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -285,4 +285,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 names=["doc_id", "decoded"],
             )
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, decoded binary")
+    return map_arrow(encoded.select("doc_id", "ids"), run, "doc_id bigint, decoded binary")

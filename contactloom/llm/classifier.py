@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contactloom.llm.bpe import blocks
-from contactloom.llm.common import texts
+from contactloom.llm.common import map_arrow, texts
 
 PASSAGE = 512
 TRAIN_DOCS = 1200
@@ -203,7 +203,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     [batch.column(0).slice(start, len(block)), pa.array(scores)], names=["doc_id", "score"]
                 )
 
-    return texts(docs).selectExpr("CAST(doc_id AS BIGINT) doc_id", "text").mapInArrow(run, "doc_id bigint, score double")
+    return map_arrow(texts(docs).selectExpr("CAST(doc_id AS BIGINT) doc_id", "text"), run, "doc_id bigint, score double")
 
 
 def accepted(docs: DataFrame, model: Model, at: float = ACCEPT) -> DataFrame:
@@ -215,7 +215,7 @@ def accepted(docs: DataFrame, model: Model, at: float = ACCEPT) -> DataFrame:
             for start, block in blocks(batch.column(place).to_pylist(), BLOCK_CHARS):
                 yield batch.slice(start, len(block)).filter(pa.array(model.score(block) >= at))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,3 +57,21 @@ def free_name(df: DataFrame, stem: str) -> str:
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text, under the names ``doc_id`` and ``text``, as the operators need them."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+
+
+def importable(df: DataFrame) -> None:
+    """Let Python workers find this package where the driver found it, if they see that folder.
+
+    On a cluster the package is installed or handed over with ``--py-files``; this only helps runs from a
+    checkout.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), df.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        env["PYTHONPATH"] = ":".join([*paths, root])
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` whose workers can import this package."""
+    importable(df)
+    return df.mapInArrow(run, schema)

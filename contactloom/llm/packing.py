@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from contactloom.llm.bpe import blocks
 from contactloom.llm.chunks import cut
-from contactloom.llm.common import texts
+from contactloom.llm.common import map_arrow, texts
 from contactloom.sources.staging import stage
 
 WINDOW = 2048
@@ -144,7 +144,7 @@ def tokenised(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 )
 
     given = texts(docs).selectExpr("CAST(doc_id AS BIGINT) doc_id", "text")
-    return given.mapInArrow(run, PIECE + ", ids binary")
+    return map_arrow(given, run, PIECE + ", ids binary")
 
 
 def frequencies(tails: DataFrame) -> tuple[np.ndarray, int, float]:
@@ -162,7 +162,7 @@ def frequencies(tails: DataFrame) -> tuple[np.ndarray, int, float]:
             [pa.array(np.append(seen, [-1, -2])), pa.array(np.append(df[seen], [n, length]))], names=["id", "n"]
         )
 
-    rows = tails.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = map_arrow(tails.select("ids"), run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = {r["id"]: r["n"] for r in rows}
     df = np.zeros(1 << 16, np.int64)
     for i, n in counts.items():
@@ -198,7 +198,7 @@ def sharded(tails: DataFrame, idf: np.ndarray, mean: float) -> DataFrame:
         seen = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[seen])], names=["id", "n"])
 
-    rows = tails.select("ids").mapInArrow(topics, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = map_arrow(tails.select("ids"), topics, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     width = np.zeros(1 << 16, np.int64)
     for r in rows:
         width[r["id"]] = r["n"]
@@ -216,7 +216,7 @@ def sharded(tails: DataFrame, idf: np.ndarray, mean: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=[*batch.schema.names, "shard"])
 
     kept = tails.select("doc_id", "start", "doc_tokens", "ids")
-    return kept.mapInArrow(deal, "doc_id bigint, start bigint, doc_tokens bigint, ids binary, shard bigint")
+    return map_arrow(kept, deal, "doc_id bigint, start bigint, doc_tokens bigint, ids binary, shard bigint")
 
 
 class Index:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contactloom.llm.common import texts
+from contactloom.llm.common import map_arrow, texts
 from contactloom.sources.staging import stage
 
 MIN_TOKEN = 20
@@ -180,7 +180,7 @@ def found(docs: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), *_find(batch.column(1).to_pylist())], names=["doc_id", "base", "more"])
 
-    return texts(docs).selectExpr("CAST(doc_id AS BIGINT) doc_id", "text").mapInArrow(run, "doc_id bigint, " + FOUND)
+    return map_arrow(texts(docs).selectExpr("CAST(doc_id AS BIGINT) doc_id", "text"), run, "doc_id bigint, " + FOUND)
 
 
 def thresholds(rows: DataFrame) -> dict[int, int]:
@@ -270,4 +270,4 @@ def redact(docs: DataFrame) -> DataFrame:
                 columns[chars] = pa.array([o if t is None else len(t) for o, t in zip(old, new)], batch.schema.field(chars).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
