@@ -2,12 +2,12 @@
 
 A text's set is its distinct word 3-grams as 64-bit hashes.  Equal sets are one node.
 
-1. Sets are computed once and staged.  Hashed counts of all n-grams (``2 ** COUNT_BITS`` numbers) give one
-   global order, rare ones first.
-2. Two sets that link share an n-gram among the first ``n // 10 + 1`` of either.  Only those first n-grams are
-   compared, within classes of like size; each that two nodes share ties its nodes to its
-   smallest one.  Connected ties are candidate groups: all links lie within groups, and every node is in
-   one group only.
+1. Sets are computed once and staged, ordered by hash.
+2. Sets that link differ in few n-grams: at most ``d`` for their size.  Dealt by hash into ``d + 1`` parts, they agree in
+   one whole part.  So every set gives a signature for each of its parts, within classes of like size,
+   and sets with a common signature are tied to the smallest of them.  Connected ties are candidate groups:
+   all links lie within groups, and every node is in one group only.  A passage that many texts
+   share ties nothing, since a part holds some ten n-grams from all over the text.
 3. A group is dealt in blocks of ``BLOCK`` nodes, and every pair of blocks is one piece of work, so a large
    group spreads over many tasks.  In it the sets of a block stand in a tree of shared beginnings; a probe walks
    the tree, adds up the overlap once for all sets below, and leaves a branch when the remaining lengths cannot
@@ -30,17 +30,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contactloom.llm.common import free_name, lower_ascii, texts, words
+from contactloom.llm.common import free_name, lower_ascii, map_arrow, texts, words
 from contactloom.llm.components import components
 from contactloom.llm.exact_dedup import filter_bits
 from contactloom.sources.staging import stage
 
 #: Links: SHARE_OF * intersection >= SHARE * union.
 SHARE, SHARE_OF = 90, 100
-COUNT_BITS = 18
 BLOCK = 256
-#: Sizes grow by this factor from class to class; linked sizes are in one class or in neighbouring ones.
-CLASS_STEP = 1.1112
+
+
+def size_classes(largest: int) -> np.ndarray:
+    """Lower bounds of size classes, so that linked sizes are in one class or in neighbouring ones."""
+    bounds = [1]
+    while bounds[-1] <= largest:
+        bounds.append(max(bounds[-1] + 1, -(-bounds[-1] * SHARE_OF // SHARE)))
+    return np.array(bounds + [max(bounds[-1] + 1, -(-bounds[-1] * SHARE_OF // SHARE))], np.int64)
+
+
+def part_counts(bounds: np.ndarray) -> np.ndarray:
+    """Per class one more than the n-grams by which linked sets can differ if the larger is in that class."""
+    return 2 * (bounds[1:] - 1) * (SHARE_OF - SHARE) // (SHARE_OF + SHARE) + 1
 
 
 def shingled(docs: DataFrame) -> DataFrame:
@@ -61,55 +71,59 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
 
 
-def gram_counts(sets: DataFrame) -> np.ndarray:
-    """How many n-grams of all sets fall into each hashed counter."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNT_BITS, np.int64)
-        for batch in batches:
-            flat, _ = _lists(batch.column(0))
-            total += np.bincount(flat & ((1 << COUNT_BITS) - 1), minlength=1 << COUNT_BITS)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["slot", "n"])
-
-    rows = sets.select("toks").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << COUNT_BITS, np.int64)
-    counts[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
-    return counts
-
+def part_signatures(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, signature) of every part of every set, for the class of its size and the next one.
 
-def firsts(sets: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(gram, node, n): the first n // 10 + 1 n-grams of every set in the global order."""
-    rank = sets.sparkSession.sparkContext.broadcast(counts)  # 2 ** COUNT_BITS numbers
+    A class of one part would tie equal sets only, so it gives none.
+    """
+    bounds = size_classes(int(sizes.max(initial=1)))
+    parts = part_counts(bounds)
+    own = np.searchsorted(bounds, sizes, side="right") - 1
+    grams = flat.view(np.uint64)
+    mixed = (grams ^ (grams >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    rows, out = [], []
+    for step in (0, 1):
+        count = np.where(parts[own + step] > 1, parts[own + step], 0)
+        base = np.cumsum(count) - count
+        used = np.repeat(count > 0, sizes)
+        place = np.repeat(base, sizes)[used] + (grams[used] % np.repeat(count, sizes)[used].astype(np.uint64)).astype(np.int64)
+        sums = np.zeros(int(count.sum()), np.uint64)
+        np.add.at(sums, place, mixed[used])
+        row = np.repeat(np.arange(len(sizes)), count)
+        part = (np.arange(len(sums)) - np.repeat(base, count)).astype(np.uint64)
+        kind = (own[row] + step).astype(np.uint64)
+        key = (sums ^ (part * np.uint64(0x9E3779B97F4A7C15) + kind)) * np.uint64(0x94D049BB133111EB)
+        rows.append(row)
+        out.append((key ^ (key >> np.uint64(32))).view(np.int64))
+    return np.concatenate(rows), np.concatenate(out)
+
+
+def signatures(sets: DataFrame) -> DataFrame:
+    """(sign, node): the part signatures of every set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, sizes = _lists(batch.column(1))
-            node = batch.column(0).to_numpy(zero_copy_only=False)
             if not len(flat):
                 continue
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            order = np.lexsort((flat, rank.value[flat & ((1 << COUNT_BITS) - 1)], row))
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            keep = place < np.repeat(sizes // 10 + 1, sizes)
-            picked = order[keep]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((flat[picked] >> 32).astype(np.int32)), pa.array(node[row[picked]]), pa.array(sizes[row[picked]].astype(np.int32))],
-                names=["gram", "node", "n"],
-            )
-
-    return sets.where("node IS NOT NULL").select("node", "toks").mapInArrow(run, "gram int, node bigint, n int")
-
-
-def groups(first: DataFrame) -> DataFrame:
-    """(node, root): nodes that may link, by candidate group."""
-    size = F.floor(F.log(CLASS_STEP, F.col("n"))).cast("int")
-    shared = first.groupBy("gram").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).where("_lo <> _hi").select("gram")
-    rows = stage(
-        first.join(shared, "gram").select("gram", "node", F.explode(F.array(size, size + 1)).alias("class"))
+            rows, signs = part_signatures(flat.astype(np.int64), sizes.astype(np.int64))
+            node = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(signs), pa.array(node[rows])], names=["sign", "node"])
+
+    return map_arrow(sets.where("node IS NOT NULL").select("node", "toks"), run, "sign bigint, node bigint")
+
+
+def groups(signed: DataFrame) -> DataFrame:
+    """(node, root): nodes that may link, by candidate group.
+
+    Only signatures of two or more nodes matter.  They are found by an aggregation that combines before its
+    shuffle; a broadcast bitmap of them then keeps the other rows from shuffling again.
+    """
+    shared = stage(
+        signed.groupBy("sign").agg(F.min("node").alias("a"), F.max("node").alias("_hi")).where("a <> _hi").select("sign", "a")
     )
-    tied = rows.groupBy("gram", "class").agg(F.min("node").alias("a"), F.max("node").alias("_hi")).where("a <> _hi")
-    return components(rows.join(tied.select("gram", "class", "a"), ["gram", "class"]).select("a", F.col("node").alias("b")))
+    near = maybe_member(signed, shared, "sign", filter_bits(shared.count()), "_near").where("_near")
+    return components(near.join(shared, "sign").select("a", F.col("node").alias("b")))
 
 
 def maybe_member(df: DataFrame, members: DataFrame, key: str, bits: int, flag: str) -> DataFrame:
@@ -275,12 +289,12 @@ def links(sets: DataFrame, grouped: DataFrame) -> DataFrame:
         out += link_block(nodes, sides, sets_)
         yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
 
-    return keyed.mapInArrow(run, "a bigint, b bigint")
+    return map_arrow(keyed, run, "a bigint, b bigint")
 
 
 def node_roots(sets: DataFrame) -> DataFrame:
     """(node, root) of nodes that link with another."""
-    return components(links(sets, groups(firsts(sets, gram_counts(sets)))))
+    return components(links(sets, groups(signatures(sets))))
 
 
 def _ids(sets: DataFrame) -> DataFrame:
