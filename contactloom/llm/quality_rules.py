@@ -33,6 +33,7 @@ RULES: list[tuple[str, str]] = [
     ("long_words", "word_chars > 14 * n_words"),
     ("capitals", "2 * n_capitals > word_chars"),
     ("exclamations", "10 * n_exclamations > 3 * n_words"),
+    ("stutters", "10 * n_stutters > 3 * n_words"),
 ]
 
 
@@ -50,7 +51,8 @@ class Policy:
 
 
 BASE = Policy("base-1", ("few_words", "repeated_windows"))
-STRICT = Policy("strict-1", tuple(n for n, _ in RULES))
+#: All rules but ``repeated_lines``: prose with a repeated line is often sound.
+STRICT = Policy("strict-2", tuple(n for n, _ in RULES if n != "repeated_lines"))
 
 
 def _repeat_words(windows: str, order: str) -> Column:
@@ -93,9 +95,10 @@ def measure(docs: DataFrame) -> DataFrame:
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.size("_one").cast("long").alias("n_words"),
+        F.size(F.filter("_one", lambda w, i: w == F.get("_one", i - 1))).cast("long").alias("n_stutters"),
         paired("_one", 1).alias("_two"),
     )
-    kept += ["n_lines", "n_dup_lines", "n_words"]
+    kept += ["n_lines", "n_dup_lines", "n_words", "n_stutters"]
     fours = counted.select(*kept, paired("_two", 2).alias("_four"))
     eights = fours.select(
         *kept, F.slice(paired("_four", 4), 1, F.greatest(F.col("n_words").cast("int") - 7, F.lit(0))).alias("_eight")

@@ -23,6 +23,7 @@ m AS (
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
     length(regexp_replace(text, '[^!]', '', 'g'))::BIGINT AS n_exclamations,
     length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_capitals,
+    len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1]))::BIGINT AS n_stutters,
     len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN c ON c.doc_id = w.doc_id),
 b AS (SELECT *, ({bits})::BIGINT AS fail_bits FROM m)
