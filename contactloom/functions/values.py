@@ -17,15 +17,41 @@ INTEGER_PREFIX = r"^-?[0-9]+"
 DECIMAL_PREFIX = r"^-?([0-9]+[.]?[0-9]*|[.][0-9]+)"
 ISO_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 ISO_DATETIME = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}T"
+FIRST_MS, LAST_MS = -62167219200000, 253402300799999  # year 0 to year 9999
 US_DATE = r"\A([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})\z"
 
 
+def _number_text(x: str) -> str:
+    """Text of a numeric VARIANT: a whole value has no fraction and no exponent."""
+    d = f"variant_get({x}, '$', 'double')"
+    return (
+        f"CASE WHEN {d} = floor({d}) AND abs({d}) < 1e18 THEN CAST(CAST({d} AS DECIMAL(38, 0)) AS STRING) "
+        f"ELSE variant_get({x}, '$', 'string') END"
+    )
+
+
+def _scalar(x: str) -> str:
+    return (
+        f"CASE WHEN schema_of_variant({x}) RLIKE '^(DOUBLE|FLOAT|DECIMAL)' THEN {_number_text(x)} "
+        f"ELSE variant_get({x}, '$', 'string') END"
+    )
+
+
 def scalar_text(x: str) -> Column:
-    return F.expr(f"variant_get({x}, '$', 'string')")
+    return F.expr(_scalar(x))
 
 
 def list_members(x: str) -> Column:
-    return F.expr(f"try_variant_get({x}, '$', 'array<string>')")
+    """Members of a list as text, without nulls, empty text, the number 0 and the boolean false."""
+    kept = (
+        "CASE WHEN m IS NULL OR schema_of_variant(m) = 'VOID' THEN false "
+        "WHEN schema_of_variant(m) = 'STRING' THEN variant_get(m, '$', 'string') <> '' "
+        "WHEN schema_of_variant(m) = 'BOOLEAN' THEN variant_get(m, '$', 'boolean') "
+        "WHEN schema_of_variant(m) RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)' THEN variant_get(m, '$', 'double') <> 0 "
+        "ELSE true END"
+    )
+    members = f"filter(try_variant_get({x}, '$', 'array<variant>'), m -> {kept})"
+    return F.expr(f"transform({members}, m -> {_scalar('m')})")
 
 
 def value_kind(x: str) -> Column:
@@ -65,10 +91,12 @@ def to_decimal(text: str) -> Column:
 def to_iso_date(text: str, kind: str) -> Column:
     """``YYYY-MM-DD`` text; calendar validity is not checked (see ``is_calendar_date``).
 
-    A number is epoch milliseconds; the same digits as text are not a date.
+    A number is epoch milliseconds; the same digits as text are not a date.  A
+    number outside the years 0 to 9999 has no date text and gives null.
     """
     s = _trimmed(text)
-    days = f"CAST(floor(try_cast({text} AS DOUBLE) / 86400000) AS INT)"
+    ms = f"try_cast({text} AS DOUBLE)"
+    days = f"CASE WHEN {ms} BETWEEN {FIRST_MS} AND {LAST_MS} THEN CAST(floor({ms} / 86400000) AS INT) END"
 
     def part(i: int) -> str:
         return f"regexp_extract({s}, r'{US_DATE}', {i})"
@@ -87,8 +115,8 @@ def is_calendar_date(text: Column) -> Column:
 
 
 def to_multi_select(text: str, kind: str, items: str) -> Column:
-    """Semicolon list: arrays drop empty members, text is split at commas."""
-    from_array = f"array_join(filter({items}, x -> x IS NOT NULL AND x NOT IN ('', '0', 'false')), ';')"
+    """Semicolon list of the ``list_members`` of an array, or of text split at commas."""
+    from_array = f"array_join({items}, ';')"
     from_text = (
         f"array_join(filter(transform(split({text}, ','), x -> {_trimmed('x')}), x -> x <> ''), ';')"
     )

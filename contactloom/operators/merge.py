@@ -9,6 +9,8 @@ one round.  Each round is written through ``checkpoint()``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,37 +39,48 @@ def ordered_pairs(dup: DataFrame) -> DataFrame:
     )
 
 
-def decide_merges(pairs: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """Add ``merged`` (true/false) to pairs ``(p, m, pos, ...)``."""
+def decide_merges(pairs: DataFrame) -> DataFrame:
+    """Add ``merged`` (true/false) to pairs ``(p, m, pos, ...)``.
+
+    Every round decides at least the earliest open pair, so rounds go on until none
+    is open.  Only open pairs are carried on; of decided ones just the first
+    merge of each record is kept at hand.
+    """
     ensure_checkpoint_dir(pairs.sparkSession)
-    state = pairs.withColumn("merged", F.lit(None).cast("boolean")).checkpoint()
-    for _ in range(max_rounds):
-        if state.where(F.col("merged").isNull()).isEmpty():
-            return state
+    left = pairs.checkpoint()
+    done: list[DataFrame] = []
+    lost = None
+    while not left.isEmpty():
         # earliest success and earliest open pair per record that would be merged away
-        gone = state.groupBy(F.col("m").alias("rec")).agg(
-            F.min(F.when(F.col("merged"), F.col("pos"))).alias("gone_at"),
-            F.min(F.when(F.col("merged").isNull(), F.col("pos"))).alias("open_at"),
-        )
+        waits = left.groupBy(F.col("m").alias("rec")).agg(F.min("pos").alias("open_at"))
+        gone = waits.withColumn("gone_at", F.lit(None).cast(waits.schema["open_at"].dataType))
+        if lost is not None:
+            gone = waits.join(lost, "rec", "full").select("rec", "open_at", "gone_at")
+        gone = gone.select("rec", "gone_at", "open_at")
         g1 = gone.toDF("p", "gone_p", "open_p")
         g2 = gone.toDF("m", "gone_m", "open_m")
-        joined = state.join(g1, "p", "left").join(g2, "m", "left")
+        joined = left.join(g1, "p", "left").join(g2, "m", "left")
         dead = F.coalesce(F.col("gone_p") < F.col("pos"), F.lit(False)) | F.coalesce(
             F.col("gone_m") < F.col("pos"), F.lit(False)
         )
         waiting = F.coalesce(F.col("open_p") < F.col("pos"), F.lit(False)) | F.coalesce(
             F.col("open_m") < F.col("pos"), F.lit(False)
         )
-        decided = (
-            F.when(F.col("merged").isNotNull(), F.col("merged"))
-            .when(dead, F.lit(False))
-            .when(~waiting, F.lit(True))
-        )
+        decided = F.when(dead, F.lit(False)).when(~waiting, F.lit(True))
         state = joined.select(*pairs.columns, decided.alias("merged")).checkpoint()
-    raise RuntimeError("merge order not settled; raise max_rounds")
-
-
-def survivors(decided: DataFrame, max_rounds: int = 64) -> DataFrame:
+        done.append(state.where(F.col("merged").isNotNull()))
+        left = state.where(F.col("merged").isNull()).drop("merged")
+        new = state.where("merged").groupBy(F.col("m").alias("rec")).agg(F.min("pos").alias("gone_at"))
+        both = new if lost is None else lost.unionByName(new)
+        lost = both.groupBy("rec").agg(F.min("gone_at").alias("gone_at")).checkpoint()
+        if len(done) == 32:  # keeps plans short on long chains
+            done = [reduce(DataFrame.unionByName, done).checkpoint()]
+    if not done:
+        return left.withColumn("merged", F.lit(None).cast("boolean"))
+    return reduce(DataFrame.unionByName, done)
+
+
+def survivors(decided: DataFrame) -> DataFrame:
     """Per merged record its final survivor and the path of merge positions.
 
     Pointer jumping: every round doubles the covered chain length.  The path
@@ -76,7 +89,7 @@ def survivors(decided: DataFrame, max_rounds: int = 64) -> DataFrame:
     links = decided.where(F.col("merged")).select(
         F.col("m").alias("rec"), F.col("p").alias("root"), F.array("pos").alias("path")
     ).checkpoint()
-    for _ in range(max_rounds):
+    while True:
         up = links.select(
             F.col("rec").alias("root"), F.col("root").alias("_next"), F.col("path").alias("_path")
         )
@@ -90,7 +103,6 @@ def survivors(decided: DataFrame, max_rounds: int = 64) -> DataFrame:
         links = moved.drop("_moved")
         if moved.where("_moved").isEmpty():
             return links
-    raise RuntimeError("merge chains not resolved; raise max_rounds")
 
 
 def merge_duplicates(target: DataFrame, decided: DataFrame) -> DataFrame:

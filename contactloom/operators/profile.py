@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contactloom import rules
-from contactloom.functions import values as V
+from contactloom.sources.staging import stage
 
 
 def tag_counts(df: DataFrame) -> DataFrame:
@@ -25,9 +25,23 @@ def top_tags(df: DataFrame, n: int = 30) -> DataFrame:
 
 
 def tag_ranking(df: DataFrame) -> DataFrame:
-    """Every tag with its share of the scanned contacts in percent."""
-    scanned = df.agg(F.count(F.lit(1))).scalar()
-    return tag_counts(df).select("tag", "n", F.round(100.0 * F.col("n") / scanned, 1).alias("pct"))
+    """Every tag with its share of the scanned contacts in percent, most frequent first."""
+    counted = _with_rows(df, F.filter("tags", lambda t: t.isNotNull()), "tag")
+    share = F.round(100.0 * F.col("n") / F.col("_rows"), 1).alias("pct")
+    return counted.select("tag", "n", share).orderBy(F.col("n").desc(), "tag")
+
+
+def _with_rows(df: DataFrame, items: Column, name: str) -> DataFrame:
+    """(item, n, _rows): occurrences per item and the number of rows, from one scan.
+
+    Every row adds a null item, whose count is the number of rows; the grouped rows
+    are staged, so the total is read from them and not from the table again.
+    """
+    none = F.array().cast("array<string>")
+    every = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(items, none))
+    counted = stage(df.select(F.explode(every).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n")))
+    rows = counted.where(F.col(name).isNull()).select("n").scalar()
+    return counted.where(F.col(name).isNotNull()).select(name, "n", rows.alias("_rows"))
 
 
 def selected_tag_counts(df: DataFrame, tags: list[str] = rules.CHECKED_TAGS) -> DataFrame:
@@ -85,18 +99,10 @@ def key_presence(df: DataFrame, json_col: str, fields: list[str], ord_col: str)
 
 def custom_field_population(df: DataFrame) -> DataFrame:
     """Filled values per custom field and percentage of contacts."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    value = V.scalar_text("cf.value")
-    return (
-        df.select(F.explode("customFields").alias("cf"))
-        .where(value.isNotNull() & (value != ""))
-        .groupBy(F.col("cf.id").alias("field_id"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "field_id", "n",
-            F.floor(100.0 * F.col("n") / total + F.lit(0.5)).cast("bigint").alias("pct"),
-        )
-    )
+    filled = F.expr("filter(customFields, cf -> coalesce(variant_get(cf.value, '$', 'string'), '') <> '' AND cf.id IS NOT NULL)")
+    counted = _with_rows(df, F.transform(filled, lambda cf: cf["id"]), "field_id")
+    share = F.floor(100.0 * F.col("n") / F.col("_rows") + F.lit(0.5)).cast("bigint").alias("pct")
+    return counted.select("field_id", "n", share)
 
 
 def sample_rows(df: DataFrame, n: int = 5, ord_col: str = "ord") -> DataFrame:

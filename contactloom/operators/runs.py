@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from contactloom import rules
 from contactloom.functions import text as T
+from contactloom.sources.staging import stage
 
 COUNTERS = ["updated", "inserted", "failed", "skipped"]
 
@@ -40,6 +41,7 @@ def newest(runs: DataFrame, n: int = rules.RUN_HISTORY) -> DataFrame:
 
 def failed_sample(failed: DataFrame, order: list[str], n: int = 10) -> DataFrame:
     """First ``n`` failed records and how many more there are."""
+    failed = stage(failed)  # sorted and counted from one run of its plan
     total = failed.agg(F.count(F.lit(1))).scalar()
     return (
         failed.orderBy(*order)

@@ -11,6 +11,7 @@ from contactloom.operators import rows
 PROPS = rules.PROPERTIES
 NON_IDENTITY = [p for p in PROPS if p not in rules.IDENTITY_PROPERTIES]
 NEW_ID = "new:"  # fixed value: prefix of ids given to inserted records
+NEW_ROW = "new#"  # the same for records without a source id, followed by their place
 
 
 def collapse_updates(writes: DataFrame, mode: str = "collapse") -> DataFrame:
@@ -44,7 +45,7 @@ def fold_inserts(writes: DataFrame) -> DataFrame:
     )
     by_source = _fold(by_email.withColumn("_k", rows.spread_nulls(F.col("id"), F.col("ord"))), "_k")
     return by_source.select(
-        F.concat(F.lit(NEW_ID), F.coalesce("id", F.col("ord").cast("string"))).alias("hs_id"),
+        F.coalesce(F.concat(F.lit(NEW_ID), "id"), F.concat(F.lit(NEW_ROW), F.col("ord").cast("string"))).alias("hs_id"),
         "ord",
         *PROPS,
     )

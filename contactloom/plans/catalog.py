@@ -342,6 +342,22 @@ def migrate_all(spark, sf):
     return snapshot.select(*SNAPSHOT_COLS)
 
 
+@query("file_migration", O.snapshot(O.FILLED))
+def file_migration(spark, sf):
+    """Migration of contacts as their source writes them: line JSON without ``ord``, attribution also as an object."""
+    c = inputs.contacts(spark, sf)
+    names = [n for n in c.columns if n not in ("ord", "attributionSource")]
+    first = F.try_element_at("attributionSource", F.lit(2)).dropFields("isFirst")
+    single = F.to_json(F.struct(*names, first.alias("attributionSource")))
+    line = F.when(F.col("ord") % 3 == 0, single).otherwise(F.to_json(F.struct(*names, "attributionSource")))
+    root = shared_folder(spark)
+    # one file, because its line order is the input order
+    c.select("ord", line.alias("value")).orderBy("ord").select("value").coalesce(1).write.text(f"{root}/lines")
+    good, _ = reader.split_corrupt(reader.read_ndjson(spark, f"{root}/lines"))
+    snapshot, _ = jobs.migrate(good, inputs.target(spark, sf), inputs.owner_map(spark, sf), f"{root}/planned")
+    return snapshot.select(*SNAPSHOT_COLS)
+
+
 @query("write_counters", f"""
     SELECT count(*) AS input,
       (SELECT count(DISTINCT hs_id) FROM matched_v WHERE action = 'update' AND hs_id IN (SELECT hs_id FROM target_v)) AS updated,
@@ -459,7 +475,7 @@ def monthly_windows(spark, sf):
     WITH w AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1)
     SELECT day, n, round(n / (SELECT avg(n) FROM w), 4) AS vs_mean FROM w""")
 def window_skew(spark, sf):
-    w = table(spark, sf, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    w = stage(table(spark, sf, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n")))
     return w.select("day", "n", F.round(F.col("n") / w.agg(F.avg("n")).scalar(), 4).alias("vs_mean"))
 
 

@@ -15,8 +15,16 @@ from contactloom.sources.staging import stage
 
 
 def prepare(contacts: DataFrame, owner_map: DataFrame | None = None) -> DataFrame:
-    """Clean, map and assign owners."""
-    mapped = map_contacts(clean_contacts(contacts, keep_issues=False))
+    """Clean, map and assign owners.
+
+    Every pick of a first or last row needs the input order, so a null ``ord`` ends the
+    job instead of blanking rows.
+    """
+    if "ord" not in contacts.columns:
+        raise ValueError("contacts need a column ord, their place in the input; the file readers make one")
+    told = F.raise_error(F.lit("a contact has no ord; read files with contactloom.sources.contacts")).cast("bigint")
+    placed = contacts.withColumn("ord", F.coalesce("ord", told))
+    mapped = map_contacts(clean_contacts(placed, keep_issues=False))
     return mapped if owner_map is None else assign_owners(mapped, owner_map)
 
 

@@ -35,16 +35,15 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_by_month(df: DataFrame, path: str, ts_col: str = "dateUpdated", files: int = 64) -> None:
+def write_by_month(df: DataFrame, path: str, ts_col: str = "dateUpdated") -> None:
     """Contacts partitioned by modification month, so a delta scan prunes folders.
 
-    Rows are spread by month *and* a hash bucket, so one busy month is written
-    by up to ``files`` tasks.
+    Rows are rebalanced by month: adaptive execution splits a busy month by size, so
+    it is written by as many tasks as it needs.
     """
-    spread = F.pmod(F.xxhash64("id"), F.lit(files))
     (
         df.withColumn("month", F.date_format(ts_col, "yyyy-MM"))
-        .repartition("month", spread)
+        .hint("rebalance", "month")
         .write.mode("overwrite")
         .partitionBy("month")
         .parquet(path)

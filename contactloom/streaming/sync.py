@@ -82,7 +82,7 @@ def run_once(
         state.record(**summary, advance_to=until if ok else None)
         return summary | {"origin": origin}
     except Exception as err:
-        state.record(seq=seq, started_at=until, finished_at=now(), ok=False, error=str(err)[:500])
+        state.record(**summary | {"finished_at": now(), "ok": False, "error": str(err)})
         raise
 
 
@@ -105,21 +105,26 @@ def sync_stream(
         if head["batch_id"] is not None and batch_id <= head["batch_id"]:
             return  # already committed
         seq = head["seq"] + 1
-        edge = batch.agg(F.unix_micros(F.min("dateUpdated")), F.unix_micros(F.max("dateUpdated"))).first()
+        edge = batch.agg(
+            F.unix_micros(F.min("dateUpdated")), F.unix_micros(F.max("dateUpdated")), F.count_if(F.col("dateUpdated").isNull())
+        ).first()
         bounds = {"lo": from_micros(edge[0]), "hi": from_micros(edge[1])}
+        undated = edge[2]  # rows without a change time can't be placed; they count as skipped
         base = {"seq": seq, "started_at": now(), "batch_id": batch_id, "dry_run": False}
         if bounds["hi"] is None:
-            state.record(**base, finished_at=now(), ok=True, changed=0)
+            state.record(**base, finished_at=now(), ok=True, changed=0, skipped=undated)
             return
         delta = windows.changed_since(batch, bounds["lo"], bounds["hi"], exclude_tags)
         counts = _process(state, delta, owner_map, seq)
         ok = counts["failed"] <= max_failure_rate * counts["processed"]
+        counts["skipped"] += undated
+        newest = max(bounds["hi"], head["watermark"] or bounds["hi"])  # an older batch does not move it back
         state.record(
             **base,
             finished_at=now(), ok=ok, since=bounds["lo"], until=bounds["hi"], wrote=True,
             changed=counts["input"],
             **{k: counts[k] for k in ("updated", "inserted", "failed", "skipped", "withheld", "failure_rate")},
-            advance_to=bounds["hi"] if ok else None,
+            advance_to=newest if ok else None,
         )
         if not ok:
             raise RunHeld(f"failure rate {counts['failure_rate']} above {max_failure_rate}")
