@@ -79,6 +79,25 @@ def unknown_targets(target: DataFrame, writes: DataFrame) -> DataFrame:
     )
 
 
+def failed_records(target: DataFrame, writes: DataFrame) -> DataFrame:
+    """Every row that was not written as given: ``id, ord, stage, reason, fields``.
+
+    Rows without any key, updates of records the target does not hold, and rows
+    whose listed values were cleared because no option allows them.
+    """
+    def told(rows: DataFrame, stage: str, reason: str, fields=F.lit("")) -> DataFrame:
+        return rows.select("id", "ord", F.lit(stage).alias("stage"), F.lit(reason).alias("reason"), fields.alias("fields"))
+
+    keyless = writes.where(F.col("action") == "unresolvable")
+    updates = writes.where((F.col("action") == "update") & ~F.col("no_change"))
+    unknown = updates.join(target.select("hs_id"), "hs_id", "left_anti")
+    out = told(keyless, "match", "no id, e-mail or phone").unionByName(told(unknown, "write", "target record not found"))
+    if "invalid_fields" not in writes.columns:
+        return out
+    cleared = writes.where(F.size("invalid_fields") > 0)
+    return out.unionByName(told(cleared, "check", "value not among the options", F.concat_ws(",", "invalid_fields")))
+
+
 def reject_invalid(df: DataFrame, valid) -> tuple[DataFrame, DataFrame]:
     """Split rows into (accepted, rejected with key and reason); null counts as invalid."""
     ok = F.coalesce(valid, F.lit(False))

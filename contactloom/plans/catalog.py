@@ -358,6 +358,19 @@ def file_migration(spark, sf):
     return snapshot.select(*SNAPSHOT_COLS)
 
 
+@query("failed_records", """
+    SELECT id, ord, 'match' AS stage, 'no id, e-mail or phone' AS reason, '' AS fields FROM matched_v WHERE action = 'unresolvable'
+    UNION ALL
+    SELECT id, ord, 'write', 'target record not found', '' FROM matched_v WHERE action = 'update' AND hs_id NOT IN (SELECT hs_id FROM target_v)""")
+def failed_records(spark, sf):
+    """What a migration could not write, with the reasons."""
+    root = shared_folder(spark)
+    jobs.migrate(
+        inputs.contacts(spark, sf), inputs.target(spark, sf), inputs.owner_map(spark, sf), f"{root}/planned", f"{root}/failed"
+    )
+    return spark.read.parquet(f"{root}/failed")
+
+
 @query("write_counters", f"""
     SELECT count(*) AS input,
       (SELECT count(DISTINCT hs_id) FROM matched_v WHERE action = 'update' AND hs_id IN (SELECT hs_id FROM target_v)) AS updated,

@@ -49,13 +49,16 @@ def plan_updates(
 
 
 def migrate(
-    contacts: DataFrame, target: DataFrame, owner_map: DataFrame | None, stage_path: str
+    contacts: DataFrame, target: DataFrame, owner_map: DataFrame | None, stage_path: str, failed_path: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """One-time migration: (new snapshot, counters).
 
     The plan is written to ``stage_path`` once; snapshot and counters read it back.
+    Rows that could not be written as given go to ``failed_path`` with their reasons.
     """
     writes = stage(plan_updates(contacts, target, owner_map), stage_path)
+    if failed_path is not None:
+        upsert.failed_records(target, writes).write.mode("overwrite").parquet(failed_path)
     return upsert.upsert(target, writes), upsert.write_counts(target, writes)
 
 

@@ -40,6 +40,7 @@ def _process(state: SyncState, delta: DataFrame, owner_map: DataFrame | None, se
     )
     writes = stage(planned, staged)
     _write_changes(target, writes, state.change_path(seq))
+    upsert.failed_records(target, writes).write.mode("overwrite").parquet(f"{state.root}/failed/run={seq}")
     return runs.judged(upsert.write_counts(target, writes)).first().asDict()
 
 
