@@ -20,7 +20,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,8 +29,8 @@ from contactloom.llm.common import map_arrow, texts
 
 KEEP_WORDS = 600_000
 BATCH_WORDS = 20_000
-#: Characters of text that are cut before the new words among them are encoded.
-BLOCK_CHARS = 8_000_000
+#: Bytes of text that are cut before the new words among them are encoded.
+BLOCK_CHARS = 4_000_000
 LONG = 256
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -209,13 +208,20 @@ def engine(path: str, pattern: str) -> Engine:
     return _ENGINES[path, pattern]
 
 
-def blocks(values: list[str | None], limit: int) -> Iterator[tuple[int, list[str]]]:
-    """(start, texts) of up to ``limit`` characters each, or one longer text."""
-    sizes = [len(v or "") for v in values]
+def blocks(column: pa.Array, limit: int) -> Iterator[tuple[int, list[str]]]:
+    """(start, texts) of up to ``limit`` bytes each, or one longer text; null texts are empty.
+
+    Only one block at a time is turned into Python strings.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
-    while start < len(values):
-        stop = start + max(1, sum(1 for total in accumulate(sizes[start:]) if total <= limit))
-        yield start, [v or "" for v in values[start:stop]]
+    while start < len(ends):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield start, [v or "" for v in column.slice(start, stop - start).to_pylist()]
         start = stop
 
 
@@ -225,8 +231,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = engine(path, pattern)
         for batch in batches:
-            values = batch.column(1).to_pylist()
-            for start, block in blocks(values, BLOCK_CHARS):
+            for start, block in blocks(batch.column(1), BLOCK_CHARS):
                 rows = [
                     (n, hashlib.sha256(",".join(ids).encode()).hexdigest(), hashlib.sha256(b"".join(back)).hexdigest())
                     for n, ids, back in own.encode(block)
@@ -250,7 +255,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = engine(path, pattern)
         for batch in batches:
-            for start, block in blocks(batch.column(1).to_pylist(), BLOCK_CHARS):
+            for start, block in blocks(batch.column(1), BLOCK_CHARS):
                 lists = [[int(i) for p in ids for i in p.split(",")] for _, ids, _ in own.encode(block)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(block)), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "ids"]

@@ -197,7 +197,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, block in blocks(batch.column(1).to_pylist(), BLOCK_CHARS):
+            for start, block in blocks(batch.column(1), BLOCK_CHARS):
                 scores = model.score(block).astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(block)), pa.array(scores)], names=["doc_id", "score"]
@@ -212,7 +212,7 @@ def accepted(docs: DataFrame, model: Model, at: float = ACCEPT) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, block in blocks(batch.column(place).to_pylist(), BLOCK_CHARS):
+            for start, block in blocks(batch.column(place), BLOCK_CHARS):
                 yield batch.slice(start, len(block)).filter(pa.array(model.score(block) >= at))
 
     return map_arrow(docs, run, docs.schema)

@@ -24,21 +24,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactloom.llm.bpe import blocks
 from contactloom.llm.chunks import cut
-from contactloom.llm.common import map_arrow, texts
+from contactloom.llm.common import importable, map_arrow, texts
 from contactloom.sources.staging import stage
 
 WINDOW = 2048
 END_ID = 1
 SHARD_DOCS = 512
 K1, B = 1.2, 0.75
-#: Tokens a worker keeps of pieces it has met; then it forgets them all.  Bounds memory, not results.
-KEEP_TOKENS = 4_000_000
-BLOCK_CHARS = 4_000_000
+#: Tokens a worker keeps of pieces it has met, from task to task; then it forgets them all.  Bounds memory, not results.
+KEEP_TOKENS = 2_500_000
+BLOCK_CHARS = 2_000_000
 
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -57,6 +57,16 @@ def byte_ranks(path: str) -> dict[bytes, int]:
     return {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if all(c in letters for c in t)}
 
 
+class _Places(dict):
+    """Piece -> place, asking ``add`` for pieces it has not met."""
+
+    def __init__(self, add):
+        self.add = add
+
+    def __missing__(self, piece: str) -> int:
+        return self.add(piece)
+
+
 class Tokens:
     """Ids of texts; pieces between blanks are encoded once and kept in one flat array."""
 
@@ -65,11 +75,12 @@ class Tokens:
 
         special = {"<|endoftext|>"}
         ranks = {t: i for t, i in byte_ranks(path).items() if t.decode("utf-8", "replace") not in special}
+        self.keep = KEEP_TOKENS
         self.encode = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = _Places(self._add)
         self.flat = np.zeros(1 << 16, np.uint16)
         self.starts = np.zeros(1 << 14, np.int64)
         self.sizes = np.zeros(1 << 14, np.int64)
@@ -94,10 +105,9 @@ class Tokens:
         if not text:
             return np.array([END_ID], np.uint16)
         first, *rest = cut(text)
-        if self.used > KEEP_TOKENS:
+        if self.used > self.keep:
             self.forget()
-        place, add = self.place, self._add
-        at = np.array([place[p] if p in place else add(p) for p in rest], np.int64)
+        at = np.fromiter(map(self.place.__getitem__, rest), np.int64, len(rest))
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
@@ -119,16 +129,20 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def tokenised(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Rows of ``PIECE`` plus ``ids``: full windows as finished pieces, tails with their ids (2 bytes each)."""
+def tokenised(docs: DataFrame, path: str, pattern: str, keep_tokens: int = KEEP_TOKENS, release: bool = False) -> DataFrame:
+    """Rows of ``PIECE`` plus ``ids``: full windows as finished pieces, tails with their ids (2 bytes each).
+
+    ``release`` makes a worker forget its pieces after each task, for jobs whose other stages need the memory.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, task, made = tokens(path, pattern), TaskContext.get().partitionId(), 0
+        own.keep = keep_tokens
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for start, block in blocks(batch.column(1).to_pylist(), BLOCK_CHARS):
+            for start, block in blocks(batch.column(1), BLOCK_CHARS):
                 rows = []
-                for doc, text in zip(names[start:], block):
+                for doc, text in zip(names[start : start + len(block)], block):
                     ids = own.ids(text)
                     n = len(ids)
                     full = n - n % WINDOW
@@ -142,6 +156,8 @@ def tokenised(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     [pa.array(c, pa.int64()) for c in columns[:7]] + [pa.array(columns[7], pa.binary())],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"],
                 )
+        if release:
+            own.forget()
 
     given = texts(docs).selectExpr("CAST(doc_id AS BIGINT) doc_id", "text")
     return map_arrow(given, run, PIECE + ", ids binary")
@@ -178,45 +194,31 @@ def _weights(ids: np.ndarray, idf: np.ndarray, mean: float) -> tuple[np.ndarray,
     return terms, idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))
 
 
-def _hash01(key: np.ndarray) -> float:
-    return zlib.crc32(key.tobytes()) / 2**32
-
-
 def _topic(ids: np.ndarray, idf: np.ndarray, mean: float) -> int:
     terms, w = _weights(ids, idf, mean)
     return int(terms[np.argmax(w)])
 
 
 def sharded(tails: DataFrame, idf: np.ndarray, mean: float) -> DataFrame:
-    """The tails with ``shard``: topics laid end to end, each as wide as it has tails."""
+    """The tails with ``shard``: topics laid end to end, each as wide as it has tails.
 
-    def topics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                n[_topic(np.frombuffer(raw, np.uint16), idf, mean)] += 1
-        seen = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[seen])], names=["id", "n"])
-
-    rows = map_arrow(tails.select("ids"), topics, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    width = np.zeros(1 << 16, np.int64)
-    for r in rows:
-        width[r["id"]] = r["n"]
-    begin = np.cumsum(width) - width
+    Tails are staged with their topic, so that it is found once.
+    """
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def topics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, ids = batch.column(0).to_pylist(), batch.column(3).to_pylist()
-            out = []
-            for d, raw in zip(doc, ids):
-                a = np.frombuffer(raw, np.uint16)
-                t = _topic(a, idf, mean)
-                salt = _hash01(np.array([d or 0, len(a)], np.int64))
-                out.append(int((begin[t] + salt * width[t]) // SHARD_DOCS))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=[*batch.schema.names, "shard"])
+            found = [_topic(np.frombuffer(raw, np.uint16), idf, mean) for raw in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], names=[*batch.schema.names, "topic"])
 
-    kept = tails.select("doc_id", "start", "doc_tokens", "ids")
-    return map_arrow(kept, deal, "doc_id bigint, start bigint, doc_tokens bigint, ids binary, shard bigint")
+    schema = "doc_id bigint, start bigint, doc_tokens bigint, ids binary, topic bigint"
+    told = stage(map_arrow(tails.select("doc_id", "start", "doc_tokens", "ids"), topics, schema))
+    width = told.groupBy("topic").agg(F.count(F.lit(1)).alias("width"))
+    # as many rows as the vocabulary at most
+    before = Window.orderBy("topic").rowsBetween(Window.unboundedPreceding, -1)
+    places = width.select("topic", "width", F.coalesce(F.sum("width").over(before), F.lit(0)).alias("begin"))
+    salt = F.pmod(F.xxhash64("doc_id", F.length("ids")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    shard = F.floor((F.col("begin") + salt * F.col("width")) / SHARD_DOCS).alias("shard")
+    return told.join(F.broadcast(places), "topic").select("doc_id", "start", "doc_tokens", "ids", shard)
 
 
 class Index:
@@ -271,9 +273,9 @@ def fill(tails: list[np.ndarray], idf: np.ndarray, mean: float) -> list[list[tup
     return sequences
 
 
-def pack(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def pack(docs: DataFrame, path: str, pattern: str, keep_tokens: int = KEEP_TOKENS, release: bool = False) -> DataFrame:
     """Pieces of all texts: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    staged = stage(tokenised(docs, path, pattern))
+    staged = stage(tokenised(docs, path, pattern, keep_tokens, release))
     tails = staged.where("ids IS NOT NULL")
     df, n, mean = frequencies(tails)
     idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
@@ -295,6 +297,7 @@ def pack(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=names)
 
+    importable(docs)
     packed = dealt.groupBy("shard").applyInArrow(run, PIECE)
     return staged.where("ids IS NULL").drop("ids").unionByName(packed)
 

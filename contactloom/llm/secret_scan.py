@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contactloom.llm.bpe import blocks
 from contactloom.llm.common import map_arrow, texts
 from contactloom.sources.staging import stage
 
@@ -34,6 +35,7 @@ FDR = 0.01
 CHANGE_RATE = 0.15
 BIN, BINS = 0.5, 80
 MASK = "[SECRET]"
+BLOCK_CHARS = 2_000_000
 
 # The base patterns, in the order of their kinds.
 ASSIGN = re.compile(
@@ -162,12 +164,12 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
 FOUND = "base array<struct<start:int,kind:int,end:int>>, more array<struct<start:int,end:int,band:int,bin:int,passed:boolean>>"
 
 
-def _find(values: list[str | None]) -> list[pa.Array]:
+def _find(values: list[str]) -> list[pa.Array]:
     base, more = [], []
     for text in values:
-        own = base_spans(text or "")
+        own = base_spans(text)
         base.append([{"start": s, "kind": k, "end": e} for s, k, e in sorted(own)])
-        more.append([dict(zip(("start", "end", "band", "bin", "passed"), c)) for c in candidates(text or "", own)])
+        more.append([dict(zip(("start", "end", "band", "bin", "passed"), c)) for c in candidates(text, own)])
     span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
     other = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("band", pa.int32()), ("bin", pa.int32()), ("passed", pa.bool_())])
     return [pa.array(base, pa.list_(span)), pa.array(more, pa.list_(other))]
@@ -178,7 +180,8 @@ def found(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), *_find(batch.column(1).to_pylist())], names=["doc_id", "base", "more"])
+            for start, block in blocks(batch.column(1), BLOCK_CHARS):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(block)), *_find(block)], names=["doc_id", "base", "more"])
 
     return map_arrow(texts(docs).selectExpr("CAST(doc_id AS BIGINT) doc_id", "text"), run, "doc_id bigint, " + FOUND)
 
@@ -256,19 +259,19 @@ def redact(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            new = []
-            for text in batch.column(place).to_pylist():
-                if text is None:
-                    new.append(None)
-                    continue
-                base = base_spans(text)
-                more = [(a, b) for a, b, w, i, ok in candidates(text, base) if ok and i >= limits.get(w, BINS + 1)]
-                new.append(mask(text, [(s, e) for s, _, e in base] + more))
-            columns = list(batch.columns)
-            columns[place] = pa.array(new, batch.schema.field(place).type)
-            if chars is not None:
-                old = columns[chars].to_pylist()
-                columns[chars] = pa.array([o if t is None else len(t) for o, t in zip(old, new)], batch.schema.field(chars).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            for start, block in blocks(batch.column(place), BLOCK_CHARS):
+                part = batch.slice(start, len(block))
+                new = []
+                for text in block:
+                    base = base_spans(text)
+                    more = [(a, b) for a, b, w, i, ok in candidates(text, base) if ok and i >= limits.get(w, BINS + 1)]
+                    new.append(mask(text, [(s, e) for s, _, e in base] + more))
+                null = part.column(place).is_null().to_pylist()
+                columns = list(part.columns)
+                columns[place] = pa.array([None if n else t for n, t in zip(null, new)], batch.schema.field(place).type)
+                if chars is not None:
+                    old = columns[chars].to_pylist()
+                    columns[chars] = pa.array([o if n else len(t) for o, n, t in zip(old, null, new)], batch.schema.field(chars).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return map_arrow(docs, run, docs.schema)

@@ -32,7 +32,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    """Sequences of tokens; workers keep few pieces, since other stages ran in them and may run again."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(docs, path, public_tokenizers.PATTERN, keep_tokens=800_000, release=True)
 
 
 STAGES = [
