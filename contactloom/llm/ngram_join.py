@@ -37,15 +37,26 @@ from contactloom.sources.staging import stage
 
 #: Links: SHARE_OF * intersection >= SHARE * union.
 SHARE, SHARE_OF = 90, 100
-BLOCK = 256
+BLOCK = 512
+#: A class spans so many times the ratio of linked sizes.  Wider ones mean fewer signatures, but tie more sets that are
+#: too unlike in size to link.
+CLASS_STEPS = 1
+
+
+def _least_larger(size: int) -> int:
+    """The first size that is too large to link with ``size`` or that follows it."""
+    return max(size + 1, -(-size * SHARE_OF // SHARE))
 
 
 def size_classes(largest: int) -> np.ndarray:
-    """Lower bounds of size classes, so that linked sizes are in one class or in neighbouring ones."""
+    """Lower bounds of size classes, wide enough that linked sizes are in one class or in neighbouring ones."""
     bounds = [1]
-    while bounds[-1] <= largest:
-        bounds.append(max(bounds[-1] + 1, -(-bounds[-1] * SHARE_OF // SHARE)))
-    return np.array(bounds + [max(bounds[-1] + 1, -(-bounds[-1] * SHARE_OF // SHARE))], np.int64)
+    while len(bounds) < 3 or bounds[-2] <= largest:
+        step = bounds[-1]
+        for _ in range(CLASS_STEPS):
+            step = _least_larger(step)
+        bounds.append(step)
+    return np.array(bounds, np.int64)
 
 
 def part_counts(bounds: np.ndarray) -> np.ndarray:
@@ -72,7 +83,7 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def part_signatures(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) of every part of every set, for the class of its size and the next one.
+    """(row, signature) of every part of every set, for the class of its size, and for the next one if it can link into it.
 
     A class of one part would tie equal sets only, so it gives none.
     """
@@ -83,7 +94,8 @@ def part_signatures(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np
     mixed = (grams ^ (grams >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     rows, out = [], []
     for step in (0, 1):
-        count = np.where(parts[own + step] > 1, parts[own + step], 0)
+        takes_part = SHARE_OF * sizes >= SHARE * bounds[own + 1] if step else sizes > 0
+        count = np.where((parts[own + step] > 1) & takes_part, parts[own + step], 0)
         base = np.cumsum(count) - count
         used = np.repeat(count > 0, sizes)
         place = np.repeat(base, sizes)[used] + (grams[used] % np.repeat(count, sizes)[used].astype(np.uint64)).astype(np.int64)
@@ -254,11 +266,11 @@ def links(sets: DataFrame, grouped: DataFrame) -> DataFrame:
         "_b", F.pmod(F.xxhash64("node", F.lit(17)), F.col("_nb").cast("long")).cast("int")
     )
     one = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    members = stage(dealt.join(one, "node"))
-    bits = filter_bits(members.count())
-    given = sets.where("node IS NOT NULL").select("node", "doc_id", "toks")
-    near = maybe_member(given, members, "node", bits, "_near").where("_near").drop("_near")
-    held = near.join(members.withColumnRenamed("doc_id", "_rep"), "node").where(F.col("doc_id").eqNullSafe(F.col("_rep")))
+    # only the row that stands for its node is fetched, not the node's copies
+    members = stage(dealt.join(one, "node").withColumn("_at", F.xxhash64("node", "doc_id")).drop("doc_id"))
+    given = sets.where("node IS NOT NULL").select("toks", F.xxhash64("node", "doc_id").alias("_at"))
+    near = maybe_member(given, members, "_at", filter_bits(members.count()), "_near").where("_near").drop("_near")
+    held = near.join(members, "_at")
     work = F.explode(
         F.transform(
             F.sequence(F.lit(0), F.col("_nb") - 1),
