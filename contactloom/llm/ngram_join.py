@@ -1,13 +1,15 @@
 """Jaccard join of n-gram sets with prefix trees.
 
-A text's set is its distinct word 3-grams as 64-bit hashes.  Equal sets are one node.
+A text's set is its distinct word n-grams as 64-bit hashes.  Equal sets are one node.  The query uses ``GRAM`` words and
+``SHARE`` percent; both are arguments.
 
 1. Sets are computed once and staged, ordered by hash.
 2. Sets that link differ in few n-grams: at most ``d`` for their size.  Dealt by hash into ``d + 1`` parts, they agree in
-   one whole part.  So every set gives a signature for each of its parts, within classes of like size,
-   and sets with a common signature are tied to the smallest of them.  Connected ties are candidate groups:
+   one whole part.  So every set gives a signature for each of its parts, within classes of like size.  An empty part
+   says nothing, so there are some more parts than that, and only sets with more empty parts than these give
+   signatures of empty ones.  Sets with a common signature are tied to the smallest of them.  Connected ties are candidate groups:
    all links lie within groups, and every node is in one group only.  A passage that many texts
-   share ties nothing, since a part holds some ten n-grams from all over the text.
+   share ties little, since a part holds n-grams from all over the text: some ten at 90 percent, four at 80.
 3. A group is dealt in blocks of ``BLOCK`` nodes, and every pair of blocks is one piece of work, so a large
    group spreads over many tasks.  In it the sets of a block stand in a tree of shared beginnings; a probe walks
    the tree, adds up the overlap once for all sets below, and leaves a branch when the remaining lengths cannot
@@ -15,7 +17,7 @@ A text's set is its distinct word 3-grams as 64-bit hashes.  Equal sets are one
    every link between different texts is found or implied by found ones.
 4. Links become components; all copies of a set follow their node.
 
-Defined cases: a null text, or one without a word, has an empty set and links with nothing; with one or two words the whole
+Defined cases: a null text, or one without a word, has an empty set and links with nothing; with fewer words than an n-gram has the whole
 sequence is the only n-gram; rows repeated with one id are one document each with the same component; a null
 id takes part and can only be the component's id if no other is there; further columns are not read by ``classes``
 and kept by ``deduplicate``; an empty table gives none.
@@ -23,7 +25,9 @@ and kept by ``deduplicate``; an empty table gives none.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,41 +39,64 @@ from contactloom.llm.components import components
 from contactloom.llm.exact_dedup import filter_bits
 from contactloom.sources.staging import stage
 
-#: Links: SHARE_OF * intersection >= SHARE * union.
+#: Links of op9: SHARE_OF * intersection >= SHARE * union, over n-grams of so many words.
 SHARE, SHARE_OF = 90, 100
+GRAM = 3
+#: At most this share of the sets of a class should have more empty parts than their class allows.
+ODD_SETS = 1e-3
 BLOCK = 512
 #: A class spans so many times the ratio of linked sizes.  Wider ones mean fewer signatures, but tie more sets that are
 #: too unlike in size to link.
 CLASS_STEPS = 1
 
 
-def _least_larger(size: int) -> int:
+def _least_larger(size: int, share: int) -> int:
     """The first size that is too large to link with ``size`` or that follows it."""
-    return max(size + 1, -(-size * SHARE_OF // SHARE))
+    return max(size + 1, -(-size * SHARE_OF // share))
 
 
-def size_classes(largest: int) -> np.ndarray:
+def size_classes(largest: int, share: int = SHARE) -> np.ndarray:
     """Lower bounds of size classes, wide enough that linked sizes are in one class or in neighbouring ones."""
     bounds = [1]
     while len(bounds) < 3 or bounds[-2] <= largest:
         step = bounds[-1]
         for _ in range(CLASS_STEPS):
-            step = _least_larger(step)
+            step = _least_larger(step, share)
         bounds.append(step)
     return np.array(bounds, np.int64)
 
 
-def part_counts(bounds: np.ndarray) -> np.ndarray:
-    """Per class one more than the n-grams by which linked sets can differ if the larger is in that class."""
-    return 2 * (bounds[1:] - 1) * (SHARE_OF - SHARE) // (SHARE_OF + SHARE) + 1
+@cache
+def _spare(least: int, parts: int) -> int:
+    """How many more parts than ``parts`` leave few sets of ``least`` n-grams with more empty ones than that."""
+    best = (2.0, 0)
+    for e in range(parts + 1):
+        mean = (parts + e) * math.exp(-least / (parts + e))
+        more = 1 - sum(math.exp(-mean + k * math.log(mean) - math.lgamma(k + 1)) for k in range(e + 1))
+        best = min(best, (more, e))
+        if more < ODD_SETS:
+            break
+    return best[1]
 
 
-def shingled(docs: DataFrame) -> DataFrame:
+def part_counts(bounds: np.ndarray, share: int = SHARE) -> tuple[np.ndarray, np.ndarray]:
+    """(parts, spare) per class.  Linked sets agree in more than ``spare`` of the parts if the larger is in that class.
+
+    Without ``spare`` the parts are one more than the n-grams by which such sets can differ.
+    """
+    least = 2 * (bounds[1:] - 1) * (SHARE_OF - share) // (SHARE_OF + share) + 1
+    smallest = -(-bounds * share // SHARE_OF)  # sets of the class below take part if they can link into this one
+    spare = np.array([_spare(int(b), int(n)) if n > 1 else 0 for b, n in zip(smallest, least)], np.int64)
+    return least + spare, spare
+
+
+def shingled(docs: DataFrame, gram: int = GRAM) -> DataFrame:
     """doc_id, row (hash of id and text), n_shingles, node (hash of the set, null if empty), toks (sorted hashes)."""
     key = F.xxhash64("doc_id", "text").alias("row")
     one = texts(docs).select("doc_id", key, F.transform(words(lower_ascii(F.coalesce("text", F.lit("")))), lambda w: F.xxhash64(w)).alias("_one"))
-    two = one.select("doc_id", "row", F.size("_one").alias("_n"), "_one", F.transform("_one", lambda x, i: F.xxhash64(x, F.get("_one", i + 1), F.get("_one", i + 2))).alias("_three"))
-    kept = F.slice("_three", 1, F.greatest(F.col("_n") - 2, F.lit(1)))
+    many = F.transform("_one", lambda x, i: F.xxhash64(x, *[F.get("_one", i + k) for k in range(1, gram)])).alias("_many")
+    two = one.select("doc_id", "row", F.size("_one").alias("_n"), many)
+    kept = F.slice("_many", 1, F.greatest(F.col("_n") - (gram - 1), F.lit(1)))
     sets = two.select("doc_id", "row", F.sort_array(F.array_distinct(kept)).alias("toks"))
     return sets.select(
         "doc_id", "row", F.size("toks").cast("long").alias("n_shingles"),
@@ -82,19 +109,21 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
 
 
-def part_signatures(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def part_signatures(flat: np.ndarray, sizes: np.ndarray, share: int = SHARE) -> tuple[np.ndarray, np.ndarray]:
     """(row, signature) of every part of every set, for the class of its size, and for the next one if it can link into it.
 
-    A class of one part would tie equal sets only, so it gives none.
+    A class of one part would tie equal sets only, so it gives none.  Empty parts count only in sets that have more of
+    them than their class has spare parts: two linked sets agree in more parts than that, so in one that
+    holds n-grams, or else both have too many empty ones.
     """
-    bounds = size_classes(int(sizes.max(initial=1)))
-    parts = part_counts(bounds)
+    bounds = size_classes(int(sizes.max(initial=1)), share)
+    parts, spare = part_counts(bounds, share)
     own = np.searchsorted(bounds, sizes, side="right") - 1
     grams = flat.view(np.uint64)
     mixed = (grams ^ (grams >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     rows, out = [], []
     for step in (0, 1):
-        takes_part = SHARE_OF * sizes >= SHARE * bounds[own + 1] if step else sizes > 0
+        takes_part = SHARE_OF * sizes >= share * bounds[own + 1] if step else sizes > 0
         count = np.where((parts[own + step] > 1) & takes_part, parts[own + step], 0)
         base = np.cumsum(count) - count
         used = np.repeat(count > 0, sizes)
@@ -102,15 +131,17 @@ def part_signatures(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np
         sums = np.zeros(int(count.sum()), np.uint64)
         np.add.at(sums, place, mixed[used])
         row = np.repeat(np.arange(len(sizes)), count)
+        empty = np.bincount(place, minlength=len(sums)) == 0
+        given = ~empty | (np.bincount(row[empty], minlength=len(sizes)) > spare[own + step])[row]
         part = (np.arange(len(sums)) - np.repeat(base, count)).astype(np.uint64)
         kind = (own[row] + step).astype(np.uint64)
         key = (sums ^ (part * np.uint64(0x9E3779B97F4A7C15) + kind)) * np.uint64(0x94D049BB133111EB)
-        rows.append(row)
-        out.append((key ^ (key >> np.uint64(32))).view(np.int64))
+        rows.append(row[given])
+        out.append((key ^ (key >> np.uint64(32))).view(np.int64)[given])
     return np.concatenate(rows), np.concatenate(out)
 
 
-def signatures(sets: DataFrame) -> DataFrame:
+def signatures(sets: DataFrame, share: int = SHARE) -> DataFrame:
     """(sign, node): the part signatures of every set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +149,7 @@ def signatures(sets: DataFrame) -> DataFrame:
             flat, sizes = _lists(batch.column(1))
             if not len(flat):
                 continue
-            rows, signs = part_signatures(flat.astype(np.int64), sizes.astype(np.int64))
+            rows, signs = part_signatures(flat.astype(np.int64), sizes.astype(np.int64), share)
             node = batch.column(0).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([pa.array(signs), pa.array(node[rows])], names=["sign", "node"])
 
@@ -166,8 +197,9 @@ class Tree:
     ``edges[k]`` is (n-grams, children or None, member or None, smallest and largest set size below).
     """
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], share: int = SHARE):
         self.sets = sets
+        self.share = share
         sign = np.uint64(1 << 63)
         raw = [(s.view(np.uint64) ^ sign).astype(">u8").tobytes() for s in sets]
         self.order = sorted(range(len(sets)), key=raw.__getitem__)
@@ -205,11 +237,12 @@ class Tree:
     def linked(self, probe: np.ndarray, skip) -> Iterator[int]:
         """Members whose set links with ``probe``; ``skip(member)`` says which need no answer."""
         size = len(probe)
-        both = SHARE + SHARE_OF
+        share = self.share
+        both = share + SHARE_OF
         stack = [(e, 0, 0) for e in self.roots]
         while stack:
             (grams, children, member, small, large), depth, overlap = stack.pop()
-            if SHARE_OF * large < SHARE * size or SHARE_OF * size < SHARE * small:
+            if SHARE_OF * large < share * size or SHARE_OF * size < share * small:
                 continue
             if member is not None and skip(member):
                 continue
@@ -220,18 +253,18 @@ class Tree:
                 depth += len(grams)
                 passed = int(np.searchsorted(probe, grams[-1], side="right"))
                 # n-grams of the tree path that the probe lacks, and of the probe that the path has passed over
-                if SHARE_OF * large < SHARE * size + both * (depth - overlap):
+                if SHARE_OF * large < share * size + both * (depth - overlap):
                     continue
-                if SHARE_OF * size < SHARE * small + both * (passed - overlap):
+                if SHARE_OF * size < share * small + both * (passed - overlap):
                     continue
             if member is not None:
-                if SHARE_OF * overlap >= SHARE * (size + len(self.sets[member]) - overlap):
+                if SHARE_OF * overlap >= share * (size + len(self.sets[member]) - overlap):
                     yield member
             else:
                 stack.extend((c, depth, overlap) for c in children)
 
 
-def link_block(nodes: list[int], sides: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def link_block(nodes: list[int], sides: list[int], sets: list[np.ndarray], share: int = SHARE) -> list[tuple[int, int]]:
     """Links that connect the nodes of a pair of blocks; side 0 is the tree, side 1 probes, side 2 does both."""
     own = {n: i for i, n in enumerate(nodes)}
     parent = list(range(len(nodes)))
@@ -245,7 +278,7 @@ def link_block(nodes: list[int], sides: list[int], sets: list[np.ndarray]) -> li
     inner = [i for i, s in enumerate(sides) if s != 1]
     if not inner or not own:
         return []
-    tree, out = Tree([sets[i] for i in inner]), []
+    tree, out = Tree([sets[i] for i in inner], share), []
     for i, s in enumerate(sides):
         if s == 0:
             continue
@@ -258,7 +291,7 @@ def link_block(nodes: list[int], sides: list[int], sets: list[np.ndarray]) -> li
     return out
 
 
-def links(sets: DataFrame, grouped: DataFrame) -> DataFrame:
+def links(sets: DataFrame, grouped: DataFrame, share: int = SHARE) -> DataFrame:
     """(a, b): exact links that connect what links within candidate groups."""
     sizes = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("_g"))
     n_blocks = F.ceil(F.col("_g") / BLOCK).cast("int")
@@ -291,28 +324,28 @@ def links(sets: DataFrame, grouped: DataFrame) -> DataFrame:
             keys = list(zip(*(batch.column(c).to_pylist() for c in range(3))))
             for k, side, node, end, n in zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist(), ends, sizes.tolist()):
                 if k != key:
-                    out += link_block(nodes, sides, sets_)
+                    out += link_block(nodes, sides, sets_, share)
                     key, nodes, sides, sets_ = k, [], [], []
                 if nodes and nodes[-1] == node:  # a repeated row
                     continue
                 nodes.append(node)
                 sides.append(side)
                 sets_.append(flat[end - n : end].astype(np.int64))
-        out += link_block(nodes, sides, sets_)
+        out += link_block(nodes, sides, sets_, share)
         yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
 
     return map_arrow(keyed, run, "a bigint, b bigint")
 
 
-def node_roots(sets: DataFrame) -> DataFrame:
+def node_roots(sets: DataFrame, share: int = SHARE) -> DataFrame:
     """(node, root) of nodes that link with another."""
-    return components(links(sets, groups(signatures(sets))))
+    return components(links(sets, groups(signatures(sets, share)), share))
 
 
-def _ids(sets: DataFrame) -> DataFrame:
+def _ids(sets: DataFrame, share: int = SHARE) -> DataFrame:
     """(node, component_id): the smallest id among the rows of a node's component."""
     own = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("_least"))
-    named = own.join(node_roots(sets), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = own.join(node_roots(sets, share), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("_least").alias("component_id"))
     return named.join(least, "root").select("node", "component_id")
 
@@ -327,17 +360,19 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, gram: int = GRAM, share: int = SHARE) -> DataFrame:
     """The row with the smallest id of every component, with all its columns.
 
+    Sets of n-grams of ``gram`` words link from ``share`` percent on.
+
     Of rows with equal ids the one with the smaller hash stays, of equal rows one.  Rows that are neither
     dropped nor repeated pass without a shuffle: a broadcast bitmap tells them apart.
     """
     row, flag, whole = (free_name(docs, n) for n in ("_row", "_flag", "_whole"))
-    sets = stage(shingled(docs))
+    sets = stage(shingled(docs, gram))
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     rows = sets.where("node IS NOT NULL").groupBy("node", "doc_id", "row").agg(F.count(F.lit(1)).alias("n"))
-    named = rows.join(_ids(sets), "node")
+    named = rows.join(_ids(sets, share), "node")
     best = named.groupBy("component_id").agg(F.min(rank).alias("best"))
     told = named.alias("r").join(
         best.alias("b"), F.col("r.component_id").eqNullSafe(F.col("b.component_id"))

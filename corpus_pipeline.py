@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from contactloom.llm import classifier, exact_dedup, ngram_join, packing, secret_scan
 from contactloom.sources.staging import stage
 
+#: Near copies share so many percent of their n-grams of so many words; op9's 3 words and 90 percent bind that query only.
+NEAR_GRAM, NEAR_SHARE = 5, 80
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labels of ids that are not held out."""
@@ -24,7 +27,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.deduplicate(docs)
+    return ngram_join.deduplicate(docs, NEAR_GRAM, NEAR_SHARE)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -216,3 +216,65 @@ def test_pipeline_stages(spark):
     rows = steps["retrieval_packing"](spark, docs, SF).collect()
     assert {r["doc_id"] for r in rows} == set(kept) and all(r["length"] <= packing.WINDOW for r in rows)
     docs.unpersist()
+
+
+def near_keepers(given, gram, share):
+    """Ids that stay, by comparing all pairs: the smallest of every component."""
+    sets = {}
+    for d, t in given:
+        ws = WORD.findall((t or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets[d] = {tuple(ws[i : i + gram]) for i in range(max(1, len(ws) - gram + 1))} if ws else set()
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= share * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d for d in sets if find(d) == d}
+
+
+def near_stage_rows():
+    """The two cases of a 200-word text, its copies with 4 scattered edits and with 30 more words, among other near rows."""
+    base = [f"b{i}" for i in range(200)]
+    edited = [f"e{i}" if i in (40, 80, 120, 160) else w for i, w in enumerate(base)]
+    longer = base + [f"t{i}" for i in range(30)]
+    short = [(10, "one two three four"), (11, "one two three four"), (12, "one two three"), (13, "one two three four five six seven eight nine")]
+    return [(1, " ".join(base)), (2, " ".join(edited)), (3, " ".join(longer)), *short, *near_rows()]
+
+
+def test_near_stage_takes_five_words_and_four_fifths(spark):
+    given = near_stage_rows()
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in given], DOCS)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs, SF).collect()}
+    assert {1, 2, 3} & kept == {1}
+    assert kept == near_keepers(given, 5, 80) != near_keepers(given, 3, 90)
+
+
+@pytest.mark.parametrize("share", [80, 90])
+def test_linked_sets_share_a_signature(share):
+    """Also where parts are empty, and few sets that do not link are tied."""
+    rng = np.random.default_rng(7)
+    for size in (5, 8, 20, 60, 200, 900):
+        most = 2 * size * (100 - share) // (200 - (100 - share)) // 2
+        pairs, others = [], []
+        for _ in range(60):
+            a = rng.integers(-(2**62), 2**62, size)
+            b = np.concatenate([a[most:], rng.integers(-(2**62), 2**62, most)])
+            pairs.append((a, b))
+            others.append(a)
+        for a, b in pairs:
+            both, all_ = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+            if 100 * both >= share * all_ and both < all_:
+                _, x = ngram_join.part_signatures(a, np.array([len(a)]), share)
+                _, y = ngram_join.part_signatures(b, np.array([len(b)]), share)
+                assert set(x.tolist()) & set(y.tolist())
+        rows, signs = ngram_join.part_signatures(np.concatenate(others), np.array([size] * 60), share)
+        again = collections.Counter(signs.tolist())
+        tied = {r for r, s in zip(rows.tolist(), signs.tolist()) if again[s] > 1}
+        assert size < 60 or len(tied) <= 2
