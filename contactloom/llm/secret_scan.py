@@ -1,10 +1,12 @@
 """Secrets by fixed patterns and by a battery of randomness tests.
 
-Patterns give the base spans.  Other runs of letters and digits with ``-_+/=`` are candidates if they hold a
-digit and are ``MIN_TOKEN`` long; the alphabet they use (decimal, hex, base32, base64) is inferred, and under it
+Patterns give the base spans.  Other runs of letters and digits with ``-_+/=``, and what base spans leave of such runs, are
+cut at inner ``=``; every piece of ``MIN_TOKEN`` characters is a candidate.  A name or a path may be glued to a secret, so
+parts between ``/`` (or ``+``, beside ``-`` or ``_``) and parts without leading names are tested as well.  The alphabet they use (decimal, hex, base32, base64) is inferred, and under it
 they must pass a chi-squared test of uniform characters, a runs test around the alphabet's middle and a serial
 correlation test, each at ``ALPHA``.  What passes is tested against ordinary text: its changes of
 character class, at the rate ordinary text shows, give a p-value, which by construction only falls with length.
+Of the parts of a piece that pass, the least p-values count, times the number of parts.
 False discoveries are held at ``FDR`` by the Benjamini-Hochberg rule within each band of lengths, over all candidates of
 all texts: p-values are counted in bins (bands times bins, a fixed number of rows), and the bin bounds
 become thresholds.  Bin ends are used for p, so rounding only makes the rule stricter.
@@ -46,6 +48,10 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ["assign", "access", "hex", "random"]
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Text between ``=``, with padding at the end of a run.
+PIECE = re.compile(r"[^=]+(?:={1,2}\Z)?")
+#: Words in front of a token, such as ``sk_live_`` or ``api-key-``.
+NAMES = re.compile(r"(?:[_-]*(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})[0-9]?[_-])+")
 
 ALPHABETS = [
     ("decimal", "0123456789"),
@@ -149,15 +155,58 @@ def band(length: int) -> int:
     return int(2 * math.log2(length))
 
 
+def _free(a: int, b: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The stretches of a run that no base span covers; ``taken`` is in order."""
+    for s, e in taken:
+        if s >= b:
+            break
+        if e > a:
+            if s > a:
+                yield a, s
+            a = max(a, e)
+    if a < b:
+        yield a, b
+
+
+def parts(piece: str) -> list[tuple[int, int]]:
+    """The piece, its parts between delimiters, and these without leading names; all of ``MIN_TOKEN`` at least."""
+    out = {(0, len(piece)): None}
+    for delimiters in ("/", "/+") if "+" in piece and ("-" in piece or "_" in piece) else ("/",):
+        out.update({m.span(): None for m in re.finditer(f"[^{delimiters}]+", piece)})
+    for a, b in list(out):
+        names = NAMES.match(piece, a, b)
+        if names:
+            out[names.end(), b] = None
+    return [(a, b) for a, b in out if b - a >= MIN_TOKEN]
+
+
+def _best(piece: str) -> list[tuple[int, int, int, bool]]:
+    """(start, end, bin, passed) of the parts that look random, the least likely as ordinary text first and none overlapping.
+
+    Without one the whole piece stands for a test that failed.
+    """
+    tried = parts(piece)
+    good = [(ordinary_bin(piece[a:b]), b - a, a) for a, b in tried if looks_random(piece[a:b])]
+    if not good:
+        return [(0, len(piece), ordinary_bin(piece), False)]
+    lost, out = math.ceil(math.log10(len(tried)) / BIN), []
+    for i, n, a in sorted(good, reverse=True):
+        if not any(a < e and s < a + n for s, e, _, _ in out):
+            out.append((a, a + n, max(0, i - lost), True))
+    return sorted(out)
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, bool]]:
-    """(start, end, band, bin, passed) of the runs that no base span overlaps."""
-    out = []
+    """(start, end, band, bin, passed) of the tested parts of runs, outside base spans."""
+    out, taken, at = [], sorted((s, e) for s, _, e in base), 0
     for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        token = m[0]
-        if not any(c in "0123456789" for c in token) or any(s < b and a < e for s, _, e in base):
-            continue
-        out.append((a, b, band(b - a), ordinary_bin(token), looks_random(token)))
+        while at < len(taken) and taken[at][1] <= m.start():
+            at += 1
+        for a, b in _free(*m.span(), taken[at:] if at < len(taken) and taken[at][0] < m.end() else []):
+            for piece in PIECE.finditer(text[a:b]):
+                if len(piece[0]) >= MIN_TOKEN:
+                    off = a + piece.start()
+                    out += [(off + x, off + y, band(y - x), i, ok) for x, y, i, ok in _best(piece[0])]
     return out
 
 

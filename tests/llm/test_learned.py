@@ -278,3 +278,24 @@ def test_linked_sets_share_a_signature(share):
         again = collections.Counter(signs.tolist())
         tied = {r for r, s in zip(rows.tolist(), signs.tolist()) if again[s] > 1}
         assert size < 60 or len(tied) <= 2
+
+
+def test_secrets_glued_to_names_and_paths(spark):
+    token, aws = "kJ8x2Lq9ZpW4vT7nB3mR6yC1dF5gH0sA", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    no_digit = "kJzxQLqAZpWbvTcnBdmR"
+    planted = [
+        f"AWS_SECRET_ACCESS_KEY={aws}", f"auth={token}", f"https://h.test/get?user=me&sig={token}&x=1", f"see /srv/my-data/{token}/list",
+        f"key sk_live_{token} there", f"sig={token}==", f"the {no_digit} alone", f"{'0f' * 16}{token}", f"a-b+c_d/{token}",
+    ]
+    ordinary = ["internationalization of the characteristically", "https://www.example.com/en/some-long-path/of-words/index", "A_LONG_CONSTANT_NAME=another_long_value_here"]
+    docs = clashing(spark.createDataFrame(list(enumerate(planted + ordinary)), DOCS.split(", lang")[0]))
+    for r in secret_scan.scan(docs).collect():
+        text, found = (planted + ordinary)[r["doc_id"]], [x.split(":") for x in r["spans"].split(",") if x.startswith("random")]
+        secret = next((x for x in (aws, token, no_digit) if x in text), None)
+        assert bool(found) == (secret is not None), text
+        if secret:
+            at = text.index(secret)
+            assert any(int(a) <= at and int(b) >= at + len(secret) for _, a, b in found), text
+    for r in secret_scan.redact(docs).collect():
+        assert not any(x in r["text"] for x in (aws, token, no_digit))
+        assert r["doc_id"] < len(planted) or r["text"] == ordinary[r["doc_id"] - len(planted)]
