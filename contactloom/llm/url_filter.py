@@ -2,9 +2,9 @@
 
 Paths are reduced to distinct (host, path) rows with the number of pages and of labelled pages.  The
 tree grows level by level, each level one aggregation over (host, template so far, segment) and one over
-(host, template so far), both combined before they shuffle.  A segment stays literal if it does not look
-like a value (digits, hex, dates), if it holds a fair share of its node, and if its labelled purity differs
-from its siblings'; all others merge into the wildcard branch.  Levels beyond ``DEPTH`` are one wildcard.
+(host, template so far), both combined before they shuffle.  A segment stays literal if it has ``MIN_LABELS`` labels and
+their purity differs from its siblings', whatever it looks like and however small its share of the pages is; so does
+the only segment of a node unless it looks like a value (digits, hex, dates).  All others merge into the wildcard branch.  Levels beyond ``DEPTH`` are one wildcard.
 A template is blocked when its smoothed share of bad pages is at least ``BLOCK_AT``; smoothing pulls small
 templates towards the host's share, and that towards the share of all pages.
 
@@ -25,7 +25,8 @@ from contactloom.llm.common import LONGEST, lower_ascii
 from contactloom.sources.staging import stage
 
 DEPTH = 6
-MIN_SHARE = 0.02
+#: A branch with fewer labels cannot be told from its siblings.
+MIN_LABELS = 5
 SMOOTHING = 10.0
 BLOCK_AT = 0.5
 SIMILAR_Z = 1.96
@@ -84,10 +85,8 @@ def templates(paths: DataFrame) -> DataFrame:
         gap = F.abs(
             F.col("c_bad") / F.greatest(F.col("c_lab"), F.lit(1)) - rest_bad / F.greatest(rest_lab, F.lit(1))
         )
-        unlike = (F.col("c_lab") > 0) & (rest_lab > 0) & (gap > SIMILAR_Z * spread)
-        literal = ~_variable(F.col("_s")) & (F.col("c_n") >= MIN_SHARE * F.col("p_n")) & (
-            unlike | (F.col("c_n") == F.col("p_n"))
-        )
+        unlike = (F.col("c_lab") >= MIN_LABELS) & (rest_lab > 0) & (gap > SIMILAR_Z * spread)
+        literal = unlike | (~_variable(F.col("_s")) & (F.col("c_n") == F.col("p_n")))
         names = child.join(node, ["host", "template"]).select(
             "host", "template", "_s", F.when(literal, F.col("_s")).otherwise(F.lit("*")).alias("_name")
         )

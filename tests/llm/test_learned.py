@@ -299,3 +299,13 @@ def test_secrets_glued_to_names_and_paths(spark):
     for r in secret_scan.redact(docs).collect():
         assert not any(x in r["text"] for x in (aws, token, no_digit))
         assert r["doc_id"] < len(planted) or r["text"] == ordinary[r["doc_id"] - len(planted)]
+
+
+def test_url_small_bad_branches_stay_apart(spark):
+    """Sections of 0.5 and 1.5 percent of a clean host's pages, one named with digits, are wholly bad."""
+    section = lambda i: "casino777" if i % 200 == 3 else "lures" if i % 200 in (50, 51, 52) else f"part{chr(97 + i % 100 % 26)}{chr(97 + i % 100 // 26)}"
+    bad = {"casino777", "lures"}
+    pages = [(i, f"http://h.test/{section(i)}/{i}") for i in range(4000)]
+    labels = spark.createDataFrame([(i, section(i) in bad) for i in range(0, 4000)], "page_id bigint, bad boolean")
+    for r in url_filter.judge(spark.createDataFrame(pages, "page_id bigint, url string"), labels).collect():
+        assert (r["verdict"] == "block") == (section(r["page_id"]) in bad), r
