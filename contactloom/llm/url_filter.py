@@ -4,7 +4,8 @@ Paths are reduced to distinct (host, path) rows with the number of pages and of
 tree grows level by level, each level one aggregation over (host, template so far, segment) and one over
 (host, template so far), both combined before they shuffle.  A segment stays literal if it has ``MIN_LABELS`` labels and
 their purity differs from its siblings', whatever it looks like and however small its share of the pages is; so does
-the only segment of a node unless it looks like a value (digits, hex, dates).  All others merge into the wildcard branch.  Levels beyond ``DEPTH`` are one wildcard.
+the only segment of a node unless it looks like a value (digits, hex, dates).  All others merge into the wildcard branch.
+Levels go on until no path has a further segment; a path alone in its node is named to its end at once.
 A template is blocked when its smoothed share of bad pages is at least ``BLOCK_AT``; smoothing pulls small
 templates towards the host's share, and that towards the share of all pages.
 
@@ -18,13 +19,14 @@ columns are not read; an empty table gives none.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contactloom.llm.common import LONGEST, lower_ascii
 from contactloom.sources.staging import stage
 
-DEPTH = 6
 #: A branch with fewer labels cannot be told from its siblings.
 MIN_LABELS = 5
 SMOOTHING = 10.0
@@ -68,13 +70,15 @@ def templates(paths: DataFrame) -> DataFrame:
     """(host, path, template) for distinct rows of host, path, n, n_lab, n_bad."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     tree = stage(paths.withColumns({"_seg": segments, "template": F.lit("")}))  # each level reads it twice
-    for level in range(DEPTH):
-        here = tree.withColumn("_s", F.get("_seg", F.lit(level)))
-        child = here.where(F.col("_s").isNotNull()).groupBy("host", "template", "_s").agg(
-            F.sum("n").alias("c_n"), F.sum("n_lab").alias("c_lab"), F.sum("n_bad").alias("c_bad")
+    done, level = [tree.where(F.size("_seg") == 0)], 0
+    left = tree.where(F.size("_seg") > 0)
+    while not left.isEmpty():
+        here = left.withColumn("_s", F.get("_seg", F.lit(level)))
+        child = here.groupBy("host", "template", "_s").agg(
+            F.count(F.lit(1)).alias("c_rows"), F.sum("n").alias("c_n"), F.sum("n_lab").alias("c_lab"), F.sum("n_bad").alias("c_bad")
         )
         node = child.groupBy("host", "template").agg(
-            F.sum("c_n").alias("p_n"), F.sum("c_lab").alias("p_lab"), F.sum("c_bad").alias("p_bad")
+            F.sum("c_rows").alias("p_rows"), F.sum("c_n").alias("p_n"), F.sum("c_lab").alias("p_lab"), F.sum("c_bad").alias("p_bad")
         )
         rest_lab, rest_bad = F.col("p_lab") - F.col("c_lab"), F.col("p_bad") - F.col("c_bad")
         pooled = F.col("p_bad") / F.greatest(F.col("p_lab"), F.lit(1))
@@ -88,15 +92,17 @@ def templates(paths: DataFrame) -> DataFrame:
         unlike = (F.col("c_lab") >= MIN_LABELS) & (rest_lab > 0) & (gap > SIMILAR_Z * spread)
         literal = unlike | (~_variable(F.col("_s")) & (F.col("c_n") == F.col("p_n")))
         names = child.join(node, ["host", "template"]).select(
-            "host", "template", "_s", F.when(literal, F.col("_s")).otherwise(F.lit("*")).alias("_name")
-        )
-        tree = stage(
-            here.join(names, ["host", "template", "_s"], "left")
-            .withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "_name"), F.lit(""))))
-            .drop("_s", "_name")
+            "host", "template", "_s", F.when(literal, F.col("_s")).otherwise(F.lit("*")).alias("_name"), (F.col("p_rows") == 1).alias("_alone")
         )
-    deep = F.when(F.size("_seg") > DEPTH, F.lit("/**")).otherwise(F.lit(""))
-    return tree.select("host", "path", "n", "n_lab", "n_bad", F.concat("template", deep).alias("template"))
+        rest = F.transform(F.slice("_seg", level + 1, LONGEST), lambda s: F.when(_variable(s), F.lit("*")).otherwise(s))
+        named = F.concat("template", F.lit("/"), F.when(F.col("_alone"), F.array_join(rest, "/")).otherwise(F.col("_name")))
+        tree = stage(here.join(names, ["host", "template", "_s"]).withColumn("template", named).drop("_s", "_name"))
+        level += 1
+        ended = F.col("_alone") | (F.size("_seg") == level)
+        done.append(tree.where(ended))
+        left = tree.where(~ended).drop("_alone")
+    columns = ["host", "path", "n", "n_lab", "n_bad", "template"]
+    return reduce(DataFrame.unionByName, [d.select(*columns) for d in done])
 
 
 def template_verdicts(tree: DataFrame) -> DataFrame:

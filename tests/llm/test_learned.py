@@ -309,3 +309,14 @@ def test_url_small_bad_branches_stay_apart(spark):
     labels = spark.createDataFrame([(i, section(i) in bad) for i in range(0, 4000)], "page_id bigint, bad boolean")
     for r in url_filter.judge(spark.createDataFrame(pages, "page_id bigint, url string"), labels).collect():
         assert (r["verdict"] == "block") == (section(r["page_id"]) in bad), r
+
+
+def test_url_paths_that_differ_deep_down(spark):
+    deep = "/".join("abcdefgh")
+    pages = [(i, f"http://h.test/{deep}/{['good', 'bad', 'fine'][i % 3]}/{i}/page") for i in range(300)]
+    pages += [(300, f"http://h.test/{deep}/{deep}/lone/7/x"), (301, "http://lone.test/a/b/c/d/e/f/g/9/i"), (302, "http://h.test")]
+    labels = spark.createDataFrame([(i, i % 3 == 1) for i in range(0, 300, 2)], "page_id bigint, bad boolean")
+    rows = {r["page_id"]: r for r in url_filter.judge(spark.createDataFrame(pages, "page_id bigint, url string"), labels).collect()}
+    assert len(rows) == 303 and rows[301]["template"] == "/a/b/c/d/e/f/g/*/i" and rows[302]["template"] == ""
+    assert {rows[i]["template"] for i in range(1, 300, 3)} == {f"/{deep}/bad/*/page"}
+    assert all((rows[i]["verdict"] == "block") == (i % 3 == 1) for i in range(300))
