@@ -142,3 +142,54 @@ def test_filter_of_any_size_misses_no_copy(spark, bits):
     assert bits == 1 or tested.where("again").count() < 500
 
 
+MIT_FILE = """MIT License
+
+Copyright (c) 2020 Jane Roe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD_HEAD = """Copyright (c) 2020, Jane Roe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+"""
+BSD_CLAUSES = [
+    "Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n",
+    "Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n"
+    "   and/or other materials provided with the distribution.\n\n",
+    "Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n"
+    "   this software without specific prior written permission.\n\n",
+]
+BSD_END = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"\nAND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.\n'
+GPL_NOTICE = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version {} of the License, or
+    (at your option) any later version.
+"""
+
+
+def test_verbatim_licence_files(spark):
+    numbered = lambda n: BSD_HEAD + "".join(f"{i + 1}. {c}" for i, c in enumerate(BSD_CLAUSES[:n])) + BSD_END
+    bulleted = lambda n: BSD_HEAD + "".join(f"* {c}" for c in BSD_CLAUSES[:n]) + BSD_END
+    comment = "".join(f" * {line}\n" for line in MIT_FILE.splitlines())
+    cases = [
+        (MIT_FILE, ["MIT"], False), (MIT_FILE.replace("\n\n", "\n"), ["MIT"], False), ("/*\n" + comment + " */\nint x;", ["MIT"], False),
+        (numbered(2), ["BSD-2-Clause"], False), (numbered(3), ["BSD-3-Clause"], False),
+        (bulleted(2), ["BSD-2-Clause"], False), (bulleted(3), ["BSD-3-Clause"], False),
+        (GPL_NOTICE.format(3), ["GPL-3.0-or-later"], True), (GPL_NOTICE.format(2), ["GPL-2.0-or-later"], True),
+        (numbered(3) + "\n" + "word " * 40 + "\nOther part: all rights reserved.\n", ["All-Rights-Reserved", "BSD-3-Clause"], True),
+        ("(c) 2020 Jane Roe\nAll rights reserved.\n", ["All-Rights-Reserved"], True),
+    ]
+    docs = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id bigint, text string")
+    for r in licenses.recognise(clashing(docs)).collect():
+        assert (r["licences"], r["restricted"]) == cases[r["doc_id"]][1:], cases[r["doc_id"]][0]
