@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactloom.llm import bpe, chat, classifier, exact_dedup, licenses, ngram_join, packing, quality_rules, secret_scan, url_filter
+from contactloom.llm import (
+    bpe, chat, classifier, exact_dedup, licenses, line_dedup, ngram_join, packing, periodic_runs, quality_rules, secret_scan, url_filter, whitening,
+)
 from contactloom.llm.queries_sql import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -76,6 +78,22 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(_table(spark, sf_dir, "embeddings"))
+
+
+def shared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = line_dedup.deduplicate(line_dedup.batches(docs), docs)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    text = periodic_runs.planted(F.col("doc_id"), F.col("text"))
+    return periodic_runs.report(periodic_runs.collapse(docs.select("doc_id", text.alias("text"))))
+
+
 QUERIES = {
     "op1_quality_rules": quality,
     "op2_retrieval_packing": packed,
@@ -87,4 +105,7 @@ QUERIES = {
     "op8_exact_dedup": exact_copies,
     "op9_ngram_jaccard_join": near_copies,
     "op10_secret_scan": secrets,
+    "op11_embedding_whitening": whitened,
+    "op12_line_dedup": shared_lines,
+    "op13_periodic_runs": periodic,
 }

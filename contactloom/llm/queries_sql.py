@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contactloom.llm import chat, licenses, ngram_join, quality_rules
+from contactloom.llm import chat, licenses, line_dedup, ngram_join, quality_rules
 
 WS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -94,6 +94,18 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id"""
 
+LINES = f"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS MATERIALIZED (
+  SELECT doc_id, p, line,
+    translate(regexp_replace(line, '^{WS}+|{WS}+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS p FROM s)),
+f AS MATERIALIZED (SELECT k FROM l WHERE length(k) >= {line_dedup.MIN_CHARS} GROUP BY k HAVING count(DISTINCT doc_id) >= {line_dedup.AT_LEAST}),
+m AS (SELECT l.*, f.k IS NOT NULL AS hit FROM l LEFT JOIN f ON f.k = l.k)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (hit)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT hit), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""
+
 
 ORACLES = {
     "op1_quality_rules": _quality(),
@@ -101,4 +113,5 @@ ORACLES = {
     "op6_chat_formatting": _chats(),
     "op8_exact_dedup": EXACT,
     "op9_ngram_jaccard_join": NEAR,
+    "op12_line_dedup": LINES,
 }
