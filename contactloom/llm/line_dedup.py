@@ -89,7 +89,9 @@ class LineRuns:
         """Count a batch (doc_id, text) and keep what is not settled as a run of its own."""
         fresh = line_counts(docs, self.min_chars)
         for name in self.settled:
-            fresh = fresh.join(self.spark.table(name).select("hash").hint("merge"), "hash", "left_anti")
+            known = self.spark.table(name).select(F.col("hash").alias("known")).hint("merge")
+            # the condition on n keeps the join behind the count; before it, frequent lines would move one by one
+            fresh = fresh.join(known, (F.col("hash") == F.col("known")) & (F.col("n") > 0), "left_anti")
         self._push(self._write(fresh), 0)
 
     def _push(self, name: str, level: int) -> None:
