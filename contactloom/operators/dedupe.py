@@ -4,31 +4,35 @@ The rules compare e-mails, phones and edit distances of two records with the
 same normalised name.  Records are first reduced to distinct *profiles*
 (name, e-mail, phone): a group of copies is one profile with a member count.
 
-Two exact ways produce candidates:
+Pairs come from equality joins, whatever the size of a name block:
 
-* small name blocks (up to ``block_limit`` profiles): equi-join on the name, the
-  rules being part of the join condition;
-* larger blocks: joins on keys that any qualifying pair must share (same phone,
-  same local part, same domain with one deletion, common text after a few
-  deletions).  No pair outside those keys can satisfy a rule, so the result is
-  the same and a hot name costs time linear in its profiles.
+* profiles with the same usable phone: all of them qualify;
+* e-mails with the same local part of four characters or more;
+* e-mails with the same domain, which then differ in the local part only: by its segments (``segments``);
+* e-mails with different domains: the distinct domains of a name are compared first, then local parts by segments within
+  each pair of domains that few edits can turn into each other, also when an edit moves the @ sign;
+* e-mails with no or several @ signs: by segments of the whole text.
 
-Pairs are then expanded from profiles to records.
+A common domain thus never makes strangers meet.  What grows with a square is only the number of distinct domains of one
+name.  E-mail pairs are made distinct before they are expanded to profiles, and profiles to records.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contactloom import rules
 from contactloom.functions import text as T
+from contactloom.operators.segments import asked_keys, head_keys, stored_keys
 from contactloom.sources.staging import stage
 
 AUTO, REVIEW = "auto-merge", "manual-review"  # fixed values
-BLOCK_LIMIT = 2000
-PROFILES_PER_TASK = 2000
 MAX_EDITS = 4  # fixed value: largest e-mail distance any rule accepts
+LOCAL_CHARS = 4  # fixed value: shortest local part that pairs records by itself
+SHORT_EDITS = 2  # fixed value: largest distance of domains, beyond that of local parts, any rule accepts
 
 
 def records(target: DataFrame) -> DataFrame:
@@ -99,132 +103,126 @@ def pair_class(reason: Column) -> Column:
     ).otherwise(F.lit(AUTO))
 
 
-def _deletions(texts: Column) -> Column:
-    """All texts with one character removed, distinct."""
-    return F.array_distinct(
-        F.flatten(
-            F.transform(
-                texts,
-                lambda s: F.transform(
-                    F.when(F.length(s) > 0, F.sequence(F.lit(1), F.length(s))).otherwise(
-                        F.array().cast("array<int>")
-                    ),
-                    lambda i: F.concat(
-                        F.substring(s, F.lit(1), i - F.lit(1)),
-                        F.substring(s, i + F.lit(1), F.length(s)),
-                    ),
-                ),
-            )
-        )
-    )
-
-
-def _with_deletions(df: DataFrame, text: Column, depth: int, out: str) -> DataFrame:
-    """Add ``out``: the text and every result of up to ``depth`` deletions."""
-    levels = ["_v0"]
-    df = df.withColumn("_v0", F.array(text))
-    for i in range(1, depth + 1):
-        df = df.withColumn(f"_v{i}", _deletions(F.col(f"_v{i - 1}")))
-        levels.append(f"_v{i}")
-    union = F.array_distinct(F.flatten(F.array(*levels)))
-    return df.withColumn(out, union).drop(*levels)
-
-
-def _shared_keys(profs: DataFrame) -> DataFrame:
-    """One row per (profile, key); any pair a rule accepts shares a key.
-
-    Two texts within k edits have a common text after at most k deletions on
-    each side.  If the first '@' signs correspond, the local parts are within 4
-    edits (family ``n``).  If not, and both e-mails have exactly one '@', both
-    '@' signs are edited, which leaves at most 3 deletions on the e-mail without
-    its '@' (family ``j``); a block holding a malformed e-mail uses 4.
-    """
-    near = _with_deletions(profs, F.col("l"), MAX_EDITS, "_near")
-    joined = F.replace(F.col("e"), F.lit("@"), F.lit(""))
-    near = _with_deletions(near, joined, MAX_EDITS - 1, "_joined")
-    near = near.withColumn(
-        "_joined",
-        F.when(
-            F.col("_malformed"),
-            F.array_distinct(F.concat(F.col("_joined"), _deletions(F.col("_joined")))),
-        ).otherwise(F.col("_joined")),
-    )
-    near = near.withColumn("_one", F.array_distinct(F.concat(F.array("l"), _deletions(F.array("l")))))
-    has_email = F.col("e") != ""
-    none = F.array().cast("array<string>")
-
-    def family(letter: str, texts: Column) -> Column:
-        return F.transform(texts, lambda t: F.concat(F.lit(letter), t))
-
-    keys = F.concat(
-        F.when(F.length("p") >= 10, F.array(F.concat(F.lit("p"), F.col("p")))).otherwise(none),
-        F.when(has_email, F.array(F.concat(F.lit("l"), F.col("l")))).otherwise(none),
-        F.when(
-            has_email,
-            F.transform("_one", lambda t: F.concat(F.lit("d"), F.col("d"), F.lit("\u0000"), t)),
-        ).otherwise(none),
-        F.when(has_email, family("n", F.col("_near"))).otherwise(none),
-        F.when(has_email, family("j", F.col("_joined"))).otherwise(none),
-    )
-    plain = [c for c in profs.columns if c != "_malformed"]
-    return near.select(*plain, F.explode(keys).alias("k"))
+def emails(profs: DataFrame) -> DataFrame:
+    """Distinct e-mails per name; ``odd`` marks those without exactly one @ sign."""
+    at_signs = F.length("e") - F.length(F.replace(F.col("e"), F.lit("@"), F.lit("")))
+    return profs.where(F.col("e") != "").groupBy("name_key", "e", "l", "d").agg(F.max(at_signs != 1).alias("odd"))
 
 
-def _ordered(a: str, b: str) -> Column:
-    """Each unordered profile pair once."""
-    return F.struct(f"{a}.e", f"{a}.p") < F.struct(f"{b}.e", f"{b}.p")
+def _keyed(given: DataFrame, side: str, keys: Column, *more: Column) -> DataFrame:
+    """One row per e-mail and key: ``name_key``, the key columns, and the e-mail as a struct named ``side``."""
+    own = F.struct("e", "l", "d", F.lit("").alias("p"))
+    return given.select("name_key", *more, F.explode(keys).alias("k"), own.alias(side))
 
 
-def _pair_columns() -> list[Column]:
-    return [
-        F.col("a.name_key").alias("name_key"),
-        F.col("a.e").alias("e1"), F.col("a.p").alias("p1"),
-        F.col("b.e").alias("e2"), F.col("b.p").alias("p2"),
-    ]
+def _met(left: DataFrame, right: DataFrame, on: list[str], shorter: Column) -> DataFrame:
+    """Pairs of e-mails that share a key and that a rule accepts."""
+    both = left.join(right, ["name_key", *on, "k"]).where(shorter & (F.col("a.e") != F.col("b.e")))
+    return both.where(pair_reason("a", "b").isNotNull()).select("name_key", F.least("a.e", "b.e").alias("e1"), F.greatest("a.e", "b.e").alias("e2"))
 
 
-def sized_profiles(profs: DataFrame) -> DataFrame:
-    """Profiles with the size of their name block, staged: four joins read them."""
-    at_signs = F.length("e") - F.length(F.replace(F.col("e"), F.lit("@"), F.lit("")))
-    sizes = profs.groupBy("name_key").agg(
-        F.count(F.lit(1)).alias("_block"),
-        F.max((F.col("e") != "") & (at_signs != 1)).alias("_malformed"),
-    )
-    return stage(profs.join(sizes, "name_key"))
+def domain_pairs(given: DataFrame) -> DataFrame:
+    """(name_key, d1, d2, edits, moved): different domains of a name that few edits can turn into each other.
 
+    ``edits`` is their distance up to MAX_EDITS - 1, else null.  ``moved``: d2 is within two edits of an end of d1, as it must be
+    where the edits of two e-mails move the @ sign to the right (removing and setting it are two of the four).
+    """
+    each = given.select("name_key", "d").distinct()
+    left, right = each.withColumnRenamed("d", "d1"), each.withColumnRenamed("d", "d2")
+    distance = F.levenshtein("d1", "d2", MAX_EDITS)
+    free = MAX_EDITS - 2
+    ends = [_within(F.expr(f"right(d1, length(d2) + {t})"), F.col("d2"), free) for t in range(-free, free + 1)]
+    return left.join(right, "name_key").where("d1 <> d2").select(
+        "name_key", "d1", "d2", F.when(distance >= 0, distance).alias("edits"), reduce(lambda x, y: x | y, ends).alias("moved")
+    ).where("edits IS NOT NULL OR moved")
 
-def _pairs_in_blocks(small: DataFrame) -> DataFrame:
-    return (
-        small.alias("a")
-        .join(small.alias("b"), (F.col("a.name_key") == F.col("b.name_key")) & _ordered("a", "b"))
-        .select(*_pair_columns(), pair_reason("a", "b").alias("reason"))
-        .where(F.col("reason").isNotNull())
-    )
 
+def _head_keys(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of pairs whose @ sign moved: the local part of ``a`` is within two edits of a beginning of ``b``'s.
 
-def _pairs_by_keys(large: DataFrame) -> DataFrame:
-    keyed = _shared_keys(large)
-    same_key = (F.col("a.name_key") == F.col("b.name_key")) & (F.col("a.k") == F.col("b.k"))
-    return (
-        keyed.alias("a")
-        .join(keyed.alias("b"), same_key & _ordered("a", "b"))
-        .select(*_pair_columns(), pair_reason("a", "b").alias("reason"))
-        .where(F.col("reason").isNotNull())
-        .distinct()
+    Lengths agree up to MAX_EDITS, so ``b`` knows the few lengths that ``a``'s local part may have.
+    """
+    free = MAX_EDITS - 2
+    size = F.length("a.l")
+    stored = F.when(size > free, stored_keys(F.col("a.l"), free, "h")).otherwise(F.array(F.lit("h|short")))
+    lengths = F.filter(
+        F.transform(F.sequence(F.lit(-MAX_EDITS), F.lit(MAX_EDITS)), lambda t: F.length("b.l") + F.length("b.d") - F.length("d1") + t),
+        lambda n: n > free,
     )
-
-
-def profile_pairs(sized: DataFrame, block_limit: int = BLOCK_LIMIT) -> DataFrame:
+    asked = F.concat(F.flatten(F.transform(lengths, lambda n: head_keys(F.col("b.l"), n, free, "h"))), F.array(F.lit("h|short")))
+    keep = ["name_key", "d1", "d2"]
+    return pairs.select(*keep, "a", F.explode(stored).alias("k")), pairs.select(*keep, "b", F.explode(asked).alias("k"))
+
+
+def email_pairs(profs: DataFrame) -> DataFrame:
+    """(name_key, e1, e2): e-mails of one name that a rule accepts without a look at phones."""
+    given = stage(emails(profs))  # several joins read it
+    fine = given.where("NOT odd")
+    l, d = F.col("l"), F.col("d")
+    shorter = F.length("a.e") <= F.length("b.e")
+    any_order = F.col("a.e") < F.col("b.e")
+    found = []
+
+    own_local = F.array(F.concat(F.lit("l|"), l))
+    long = given.where(F.length("l") >= LOCAL_CHARS)
+    found.append(_met(_keyed(long, "a", own_local), _keyed(long, "b", own_local), [], any_order))
+
+    found.append(_met(
+        _keyed(fine, "a", stored_keys(l, MAX_EDITS, "l"), d), _keyed(fine, "b", asked_keys(l, MAX_EDITS, "l"), d), ["d"], shorter,
+    ))
+
+    domains = stage(domain_pairs(fine))
+    one = F.struct("e", "l", "d", F.lit("").alias("p"))
+    first = fine.select("name_key", F.col("d").alias("d1"), one.alias("a"))
+    second = fine.select("name_key", F.col("d").alias("d2"), one.alias("b"))
+    near = domains.where("edits IS NOT NULL").select("name_key", "d1", "d2")  # different domains cost an edit, locals have the rest
+    rest = MAX_EDITS - 1
+    found.append(_met(
+        near.join(first, ["name_key", "d1"]).select("name_key", "d1", "d2", "a", F.explode(stored_keys(F.col("a.l"), rest, "l")).alias("k")),
+        near.join(second, ["name_key", "d2"]).select("name_key", "d1", "d2", "b", F.explode(asked_keys(F.col("b.l"), rest, "l")).alias("k")),
+        ["d1", "d2"], F.length("a.l") <= F.length("b.l"),
+    ))
+    moved = domains.where("moved").select("name_key", "d1", "d2")
+    head_a, _ = _head_keys(moved.join(first, ["name_key", "d1"]).withColumn("b", F.col("a")))
+    _, head_b = _head_keys(moved.join(second, ["name_key", "d2"]).withColumn("a", F.col("b")))
+    found.append(_met(head_a, head_b, ["d1", "d2"], F.lit(True)))
+
+    odd = given.where("odd")
+    names = odd.select("name_key").distinct()
+    beside = given.join(names, "name_key", "left_semi")
+    front = F.concat(l, F.lit("@"), d)
+
+    def both(make) -> Column:
+        return F.concat(make(F.col("e"), MAX_EDITS, "e"), make(front, SHORT_EDITS, "f"))
+
+    for left, right in ((odd, beside), (beside, odd)):
+        found.append(_met(_keyed(left, "a", both(stored_keys)), _keyed(right, "b", both(asked_keys)), [], F.lit(True)))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _sides(pairs: DataFrame, profs: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Pairs with the profiles of both ends as ``a`` and ``b``."""
+    one = F.struct("e", "p", "l", "d")
+    left = profs.select("name_key", F.col(on["a"]).alias("_1"), one.alias("a"))
+    right = profs.select("name_key", F.col(on["b"]).alias("_2"), one.alias("b"))
+    return pairs.join(left, ["name_key", "_1"]).join(right, ["name_key", "_2"])
+
+
+def _usable(p: str) -> Column:
+    return F.length(p) >= 10
+
+
+def profile_pairs(profs: DataFrame) -> DataFrame:
     """Qualifying pairs of different profiles: ``name_key, e1, p1, e2, p2, reason``."""
-    hot = F.col("_block") > block_limit
-    n_hot = sized.agg(F.count_if(hot)).first()[0]  # one number decides the plan
-    in_block = _pairs_in_blocks(sized.where(F.col("_block").between(2, block_limit)).drop("_block", "_malformed"))
-    if n_hot == 0:
-        return in_block
-    # key generation is the costly step: spread the profiles of a hot name evenly
-    tasks = min(100_000, max(8, n_hot // PROFILES_PER_TASK))
-    large = sized.where(hot).drop("_block").repartition(tasks, "name_key", "e", "p")
-    return in_block.unionByName(_pairs_by_keys(large))
+    one = F.struct("e", "p", "l", "d")
+    phones = profs.where(_usable("p")).select("name_key", "p", one.alias("x"))
+    same_phone = phones.withColumnRenamed("x", "a").join(phones.withColumnRenamed("x", "b"), ["name_key", "p"]).where("a.e < b.e").select("name_key", "a", "b")
+    near = email_pairs(profs).withColumnsRenamed({"e1": "_1", "e2": "_2"})
+    by_mail = _sides(near, profs, {"a": "e", "b": "e"}).where(~(_usable("a.p") & (F.col("a.p") == F.col("b.p")))).select("name_key", "a", "b")
+    return same_phone.unionByName(by_mail).select(
+        "name_key", F.col("a.e").alias("e1"), F.col("a.p").alias("p1"), F.col("b.e").alias("e2"), F.col("b.p").alias("p2"),
+        pair_reason("a", "b").alias("reason"),
+    )
 
 
 def copy_groups(profs: DataFrame) -> DataFrame:
@@ -239,13 +237,13 @@ def copy_groups(profs: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_profiles(target: DataFrame, block_limit: int = BLOCK_LIMIT) -> DataFrame:
+def duplicate_profiles(target: DataFrame) -> DataFrame:
     """Compact, lossless result: qualifying profile pairs with member counts.
 
     A group of n copies stays one row here, whereas record pairs grow with n*n.
     """
-    profs = sized_profiles(profiles(records(target)))
-    pairs = profile_pairs(profs, block_limit).unionByName(copy_groups(profs))
+    profs = stage(profiles(records(target)))
+    pairs = profile_pairs(profs).unionByName(copy_groups(profs))
     m = profs.select("name_key", "e", "p", "members")
     m1 = m.toDF("name_key", "e1", "p1", "members1")
     m2 = m.toDF("name_key", "e2", "p2", "members2")
@@ -278,11 +276,11 @@ def first_survives(a: str, b: str) -> Column:
     return F.when(d1 != d2, d1).when(h1 != h2, h1).otherwise(t1 >= t2)
 
 
-def duplicate_pairs(target: DataFrame, block_limit: int = BLOCK_LIMIT) -> DataFrame:
+def duplicate_pairs(target: DataFrame) -> DataFrame:
     """Record pairs with survivor choice, reason and classification."""
-    recs = records(target)
-    profs = sized_profiles(profiles(recs))
-    pairs = profile_pairs(profs, block_limit).unionByName(copy_groups(profs))
+    recs = stage(records(target))
+    profs = stage(profiles(recs))
+    pairs = profile_pairs(profs).unionByName(copy_groups(profs))
     side = F.struct(
         "hs_id", "ord", "e", "email", "firstname", "lastname", "createdate", "hs_last_activity_date"
     )
@@ -311,6 +309,11 @@ def duplicate_pairs(target: DataFrame, block_limit: int = BLOCK_LIMIT) -> DataFr
     )
 
 
+def profile_pair_counts(target: DataFrame) -> DataFrame:
+    """Record pairs per classification and reason, from profiles: copies are counted, not listed."""
+    return duplicate_profiles(target).groupBy("classification", "reason").agg(F.sum("n_pairs").alias("n"))
+
+
 def pair_counts(dup: DataFrame) -> DataFrame:
     return dup.groupBy("classification", "reason").agg(F.count(F.lit(1)).alias("n"))
 

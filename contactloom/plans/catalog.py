@@ -402,7 +402,7 @@ def duplicate_pairs(spark, sf):
 
 @query("pair_reason_counts", "SELECT classification, reason, count(*) AS n FROM found_v GROUP BY ALL")
 def pair_reason_counts(spark, sf):
-    return dedupe.pair_counts(dedupe.duplicate_pairs(inputs.duplicate_source(spark, sf)))
+    return dedupe.profile_pair_counts(inputs.duplicate_source(spark, sf))
 
 
 @query("duplicate_profiles", "SELECT classification, reason, CAST(count(*) AS BIGINT) AS n_pairs FROM found_v GROUP BY ALL")
@@ -416,6 +416,37 @@ def review_pairs(spark, sf):
     return dedupe.review_rows(dedupe.duplicate_pairs(inputs.duplicate_source(spark, sf)))
 
 
+_HOT_NAME = """WITH s AS (
+      SELECT c_custkey AS k, c_custkey // 2 AS g, substr(md5(CAST(c_custkey // 2 AS VARCHAR)), 1, CAST(8 + (c_custkey // 2) % 23 AS INT)) AS l,
+        CASE (c_custkey // 2) % 7 WHEN 0 THEN 'gmail.com' WHEN 1 THEN 'mail.com' WHEN 2 THEN 'yahoo.com' WHEN 3 THEN 'ymail.com' ELSE 'gmail.com' END AS d
+      FROM customer),
+    r AS MATERIALIZED (
+      SELECT k, coalesce(CASE WHEN g % 13 = 5 THEN NULL WHEN k % 2 = 0 THEN l || '@' || d ELSE
+        CASE g % 6 WHEN 0 THEN l || 'x@' || d WHEN 1 THEN substr(l, 2) || '@' || d WHEN 2 THEN l || 'g@' || 'mail.com'
+          WHEN 3 THEN l || '@corp.example' WHEN 4 THEN 'ab' || substr(l, 3) || 'c@' || d ELSE 'zz' || l || 'zz@' || d END END, '') AS e,
+        CASE WHEN g % 11 = 0 THEN '1555' || (1000000 + g % 40) ELSE '' END AS p FROM s),
+    x AS (SELECT k, e, p, split_part(e, '@', 1) AS l, split_part(e, '@', 2) AS d FROM r)
+    SELECT 'h' || a.k AS id_a, 'h' || b.k AS id_b,
+      CASE WHEN a.e = '' OR b.e = '' THEN CASE WHEN a.p = b.p AND length(a.p) >= 10 THEN 'same_phone_one_no_email' END
+        WHEN a.e = b.e THEN NULL
+        WHEN a.l = b.l AND levenshtein(a.d, b.d) <= 2 THEN 'domain_typo'
+        WHEN a.d = b.d AND levenshtein(a.l, b.l) <= 1 THEN 'local_typo'
+        WHEN levenshtein(a.e, b.e) <= 2 THEN 'email_typo'
+        WHEN a.p = b.p AND length(a.p) >= 10 THEN 'same_phone_different_email'
+        WHEN a.l = b.l AND length(a.l) >= 4 THEN 'same_local_different_domain'
+        WHEN levenshtein(a.e, b.e) <= 4 THEN 'possible_email_typo' END AS reason
+    FROM x a JOIN x b ON a.k < b.k WHERE reason IS NOT NULL"""
+
+
+@query("hot_name_pairs", _HOT_NAME)
+def hot_name_pairs(spark, sf):
+    """Duplicate pairs where all records bear one name: no block of the name is compared with itself."""
+    found = dedupe.duplicate_pairs(inputs.hot_name_source(spark, sf))
+    first = F.col("primary.ord") < F.col("to_merge.ord")
+    ids = F.col("primary.hs_id"), F.col("to_merge.hs_id")
+    return found.select(F.when(first, ids[0]).otherwise(ids[1]).alias("id_a"), F.when(first, ids[1]).otherwise(ids[0]).alias("id_b"), "reason")
+
+
 _MERGES = """WITH RECURSIVE p AS (
       SELECT name_key, primary_id, duplicate_id, reason,
         row_number() OVER (PARTITION BY name_key ORDER BY ord_a, ord_b) AS i

@@ -130,3 +130,29 @@ def delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "delta_v").select(
         "ord", "id", F.array("event_type").alias("tags"), "dateUpdated", "event_type", "user_id"
     )
+
+
+def hot_name_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as a target record of one and the same name (for pair detection).
+
+    Two customers share a stem of 8 to 30 characters; the second one's e-mail has an edit, another domain, or the
+    @ sign moved.  Some share a phone, some have no e-mail, some domains are near others.
+    """
+    stem = F.md5(F.floor(F.col("c_custkey") / 2).cast("bigint").cast("string"))
+    g = F.floor(F.col("c_custkey") / 2).cast("bigint")
+    local = F.expr("substring(h, 1, cast(8 + g % 23 as int))")
+    domain = F.expr("CASE g % 7 WHEN 0 THEN 'gmail.com' WHEN 1 THEN 'mail.com' WHEN 2 THEN 'yahoo.com' WHEN 3 THEN 'ymail.com' ELSE 'gmail.com' END")
+    second = F.expr("""CASE g % 6 WHEN 0 THEN concat(l, 'x@', d) WHEN 1 THEN concat(substring(l, 2), '@', d)
+        WHEN 2 THEN concat(l, 'g@', 'mail.com') WHEN 3 THEN concat(l, '@corp.example') WHEN 4 THEN concat('ab', substring(l, 3), 'c@', d) ELSE concat('zz', l, 'zz@', d) END""")
+    phone = F.expr("CASE WHEN g % 11 = 0 THEN concat('+1555', 1000000 + g % 40) END")
+    return (
+        spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", g.alias("g"), stem.alias("h"))
+        .select("c_custkey", "g", local.alias("l"), domain.alias("d"))
+        .select(
+            F.concat(F.lit("h"), "c_custkey").alias("hs_id"), F.col("c_custkey").alias("ord"),
+            F.when(F.col("g") % 13 == 5, F.lit(None).cast("string")).when(F.col("c_custkey") % 2 == 0, F.concat("l", F.lit("@"), "d")).otherwise(second).alias("email"),
+            phone.alias("phone"), F.lit("Ann").alias("firstname"), F.lit("Lee").alias("lastname"),
+            F.timestamp_seconds(F.lit(1577836800) + F.col("c_custkey") * 86400 % 100000000).alias("createdate"),
+            F.lit(None).cast("timestamp").alias("hs_last_activity_date"),
+        )
+    )

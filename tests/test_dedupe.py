@@ -1,12 +1,15 @@
 """Pair rules against brute force; merge order against a sequential loop."""
 
+import hashlib
 import itertools
 import random
 from datetime import datetime, timedelta
 
 import pytest
 
-from contactloom.operators import dedupe, merge
+from pyspark.sql import functions as F
+
+from contactloom.operators import dedupe, merge, segments
 from contactloom.operators.upsert import PROPS
 from contactloom import rules
 
@@ -84,17 +87,79 @@ def expected_pairs(recs):
     return out
 
 
-@pytest.mark.parametrize("limit", [2000, 3])
+@pytest.mark.parametrize("seed", [7, 31])
 @pytest.mark.parametrize("malformed", [False, True])
-def test_pairs_match_brute_force(spark, limit, malformed):
-    recs = random_records(70, 7 + malformed, malformed)
+def test_pairs_match_brute_force(spark, seed, malformed):
+    recs = random_records(70, seed + malformed, malformed)
     df = spark.createDataFrame([tuple(r.values()) for r in recs], SCHEMA)
-    found = dedupe.duplicate_pairs(df, block_limit=limit)
+    found = dedupe.duplicate_pairs(df)
     got = [(r["ord_a"], r["ord_b"], r["reason"]) for r in found.collect()]
     assert len(got) == len(set(got))
     assert set(got) == expected_pairs(recs)
 
 
+def edited(rnd, text, edits):
+    for _ in range(edits):
+        i, kind = rnd.randrange(len(text) + 1), rnd.randrange(3)
+        text = text[:i] + (rnd.choice("abcx@.") if kind else "") + text[i + (kind != 2) :]
+    return text
+
+
+@pytest.mark.parametrize("limit", [2, 4])
+def test_segments_meet_every_pair_within_the_limit(spark, limit):
+    rnd = random.Random(limit)
+    texts = {"", "a", "ab@c"}
+    for _ in range(60):
+        base = "".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 30)))
+        texts |= {base} | {edited(rnd, base, rnd.randint(1, limit)) for _ in range(5)}
+    df = spark.createDataFrame([(t,) for t in sorted(texts)], "t string")
+    rows = df.select("t", segments.stored_keys(F.col("t"), limit, "k").alias("s"), segments.asked_keys(F.col("t"), limit, "k").alias("a")).collect()
+    for r in rows:
+        assert len(r["s"]) + len(r["a"]) <= 100 and len(set(r["a"])) == len(r["a"])
+    for x, y in itertools.combinations(sorted(rows, key=lambda r: len(r["t"])), 2):
+        if distance(x["t"], y["t"]) <= limit:
+            assert set(x["s"]) & set(y["a"]), (x["t"], y["t"])
+
+
+def email_variants(rnd, n):
+    """E-mails of one name around a few stems: edits anywhere, the @ sign moved, short and long, plain and malformed."""
+    out = set()
+    while len(out) < n:
+        stem = "".join(rnd.choice("abc") for _ in range(rnd.choice([0, 1, 2, 3, 6, 12])))
+        e = stem + "@" + rnd.choice(["mail.co", "gmail.co", "hotmail.co", "a.co", "b.a.co", "x"])
+        e = edited(rnd, e, rnd.randint(0, 4))
+        if rnd.random() < 0.4 and "@" in e:
+            i = rnd.randrange(len(e))
+            e = e.replace("@", "", 1)
+            e = e[:i] + "@" + e[i:]
+        if e.strip() == e and e:
+            out.add(e)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_email_pairs_match_brute_force(spark, seed):
+    given = email_variants(random.Random(seed), 260)
+    rows = [(f"h{i}", i, e, None, "Ann", "Lee", None, None, None) for i, e in enumerate(given)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = [(r["e1"], r["e2"]) for r in dedupe.email_pairs(dedupe.profiles(dedupe.records(df))).collect()]
+    mails = [{"email": e, "phone": None} for e in given]
+    want = {(x["email"], y["email"]) for x, y in itertools.combinations(mails, 2) if expected_reason(x, y)}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_a_hot_name_at_one_domain_stays_selective(spark):
+    """One name and one mail domain: strangers with long local parts hardly meet, and a moved @ sign costs them nothing."""
+    rows = [(f"h{i}", i, f"{hashlib.md5(str(i).encode()).hexdigest()[: 20 + i % 10]}@mail.com", None, "Ann", "Lee", None, None, None) for i in range(3000)]
+    given = dedupe.emails(dedupe.profiles(dedupe.records(spark.createDataFrame(rows, SCHEMA))))
+    size = F.size(segments.stored_keys(F.col("l"), 4, "l")) + F.size(segments.asked_keys(F.col("l"), 4, "l"))
+    assert given.agg(F.max(size)).first()[0] <= 100
+    a = dedupe._keyed(given, "a", segments.stored_keys(F.col("l"), 4, "l"), F.col("d"))
+    b = dedupe._keyed(given, "b", segments.asked_keys(F.col("l"), 4, "l"), F.col("d"))
+    assert a.join(b, ["name_key", "d", "k"]).count() < 3000**2 // 200
+    assert dedupe.domain_pairs(given).isEmpty()
+
+
 def test_copies_stay_one_profile(spark):
     recs = [("h%d" % i, i, None, "+15550100001", "Ann", "Lee", None, None, None) for i in range(200)]
     rows = dedupe.duplicate_profiles(spark.createDataFrame(recs, SCHEMA)).collect()
