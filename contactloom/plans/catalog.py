@@ -12,7 +12,7 @@ from contactloom.functions import tags as G
 from contactloom.functions import text as T
 from contactloom.functions import values as V
 from contactloom.operators import (
-    conflict, dedupe, links, mapping, matching, merge, owners, profile, rows, runs,
+    conflict, dedupe, elimination, links, mapping, matching, merge, owners, profile, rows, runs,
     schema_diff, upsert, validate, windows,
 )
 from contactloom.operators.clean import clean_contacts, issue_counts
@@ -468,8 +468,32 @@ _MERGES = """WITH RECURSIVE p AS (
     SELECT p, m, reason, CAST(merged AS BIGINT) AS merged FROM s WHERE i > 0""")
 def merge_survivors(spark, sf):
     """Outcome of applying all auto-merge pairs in order."""
-    dup = dedupe.duplicate_pairs(inputs.duplicate_source(spark, sf))
-    return merge.decide_merges(merge.ordered_pairs(dup)).select("p", "m", "reason", flag(F.col("merged")).alias("merged"))
+    found = elimination.outcomes(stage(inputs.duplicate_source(spark, sf)))
+    return found.select("p", "m", "reason", flag(F.col("merged")).alias("merged"))
+
+
+@query("merge_failures", f"""
+{_MERGES},
+    f AS (
+      SELECT p.i, p.name_key, p.reason, f.primary_id, f.primary_email, trim(f.primary_name) AS primary_name,
+        f.duplicate_id, f.duplicate_email, trim(f.duplicate_name) AS duplicate_name
+      FROM p JOIN found_v f ON f.name_key = p.name_key AND f.primary_id = p.primary_id AND f.duplicate_id = p.duplicate_id),
+    lost AS (SELECT name_key, m, min(i) AS i FROM s WHERE merged GROUP BY ALL)
+    SELECT f.reason, f.primary_id, f.primary_email, f.primary_name, f.duplicate_id, f.duplicate_email, f.duplicate_name,
+      CASE WHEN a.i < f.i AND b.i < f.i THEN 'both merged before' WHEN a.i < f.i THEN 'primary merged before' ELSE 'duplicate merged before' END AS error
+    FROM f LEFT JOIN lost a ON a.name_key = f.name_key AND a.m = f.primary_id LEFT JOIN lost b ON b.name_key = f.name_key AND b.m = f.duplicate_id
+    WHERE a.i < f.i OR b.i < f.i""")
+def merge_failures(spark, sf):
+    """Automatic pairs that could not be merged any more, with names and reason."""
+    return elimination.failures(stage(inputs.duplicate_source(spark, sf)))
+
+
+@query("merge_counts", f"""
+{_MERGES}
+    SELECT count(*) FILTER (merged) AS merged, count(*) FILTER (NOT merged) AS failed,
+      (SELECT count(*) FROM found_v WHERE classification = 'manual-review') AS skipped FROM s WHERE i > 0""")
+def merge_counts(spark, sf):
+    return elimination.merge_counts(stage(inputs.duplicate_source(spark, sf)))
 
 
 FILL = ["email", "phone", "firstname", "lastname", "company", "website"]
@@ -492,9 +516,8 @@ FILL = ["email", "phone", "firstname", "lastname", "company", "website"]
     FROM dup_v d LEFT JOIN filled ON d.hs_id = filled.root WHERE d.hs_id NOT IN (SELECT m FROM e)""")
 def merged_target(spark, sf):
     """Target after the merges: survivors with blanks filled."""
-    source = inputs.duplicate_source(spark, sf)
-    decided = merge.decide_merges(merge.ordered_pairs(dedupe.duplicate_pairs(source)))
-    return merge.merge_duplicates(source, decided).select("hs_id", "email", "phone", "firstname", "lastname", "company", "website")
+    source = stage(inputs.duplicate_source(spark, sf))
+    return merge.merge_duplicates(source, stage(elimination.merges(source))).select("hs_id", "email", "phone", "firstname", "lastname", "company", "website")
 
 
 # --- windows, deltas --------------------------------------------------------

@@ -9,7 +9,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from contactloom.operators import dedupe, merge, segments
+from contactloom.operators import dedupe, elimination, merge, segments
 from contactloom.operators.upsert import PROPS
 from contactloom import rules
 
@@ -212,5 +212,57 @@ def test_merge_equals_sequential(spark):
     assert report["merged"] == sum(done) and report["failed"] == len(done) - sum(done)
 
 
+def copies(n, seed, phone="+15550100001"):
+    """Records without an e-mail that differ only in their times, many of them equal."""
+    rnd = random.Random(seed)
+    day = datetime(2020, 1, 1)
+    return [(f"h{i}", i * 3, None, phone, "Ann", "Lee", day + timedelta(days=rnd.randint(0, 6)), rnd.choice([None, day + timedelta(days=rnd.randint(0, 9))]), None) for i in range(n)]
+
+
+def merges_by_sequence(spark, df):
+    """Successful merges by the loop over all ordered pairs."""
+    pairs = sorted(merge.ordered_pairs(dedupe.duplicate_pairs(df)).collect(), key=lambda r: tuple(r["pos"]))
+    gone, out = set(), set()
+    for r in pairs:
+        if r["p"] not in gone and r["m"] not in gone:
+            gone.add(r["m"])
+            out.add((r["p"], r["m"], tuple(r["pos"]), r["reason"]))
+    return out, pairs
+
+
+@pytest.mark.parametrize("case", ["mixed", "malformed", "copies", "copies in pieces"])
+def test_group_merges_equal_sequence(spark, monkeypatch, case):
+    if case == "copies in pieces":
+        monkeypatch.setattr(elimination, "PIECE", 7)
+    rows = {
+        "mixed": lambda: [tuple(r.values()) for r in random_records(80, 11)],
+        "malformed": lambda: [tuple(r.values()) for r in random_records(70, 5, True)],
+        "copies": lambda: copies(60, 1), "copies in pieces": lambda: copies(60, 2),
+    }[case]()
+    df = spark.createDataFrame(rows, SCHEMA)
+    want, pairs = merges_by_sequence(spark, df)
+    got = [(r["p"], r["m"], tuple(r["pos"]), r["reason"]) for r in elimination.merges(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
+    counts = elimination.merge_counts(df).first()
+    assert (counts["merged"], counts["failed"]) == (len(want), len(pairs) - len(want))
+    if case == "mixed":
+        bad = elimination.failures(df).collect()
+        assert {(r["primary_id"], r["duplicate_id"]) for r in bad} == {(r["p"], r["m"]) for r in pairs} - {w[:2] for w in want}
+        assert {r["merged"] for r in elimination.outcomes(df).collect()} == {True, False}
+
+
+def test_no_merges_in_an_empty_target(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert elimination.merges(df).isEmpty() and elimination.merge_counts(df).first()["merged"] == 0
+
+
+def test_large_groups_are_linear(spark):
+    """100,000 copies: one row per merge, whether they stand alone or beside records with e-mails."""
+    alone = spark.createDataFrame(copies(100_000, 3), SCHEMA)
+    assert elimination.merges(alone).count() == 99_999
+    beside = alone.unionByName(spark.createDataFrame([("m1", 50, "ann@corp.io", "+15550100001", "Ann", "Lee", None, None, None)], SCHEMA))
+    assert elimination.merges(beside).agg(F.count("m"), F.countDistinct("m")).first()[:] == (100_000, 100_000)
+
+
 def test_columns_in_rules():
     assert set(rules.IDENTITY_PROPERTIES) <= set(PROPS)
