@@ -36,6 +36,11 @@ def stored_keys(text: Column, limit: int, tag: str) -> Column:
     return F.when(length > limit, segments).otherwise(F.array(F.lit(f"{tag}|short")))
 
 
+def _places(names: list[str], rows: list[tuple[int, ...]]) -> Column:
+    """A literal array of structs, made by one expression."""
+    return F.expr("array(" + ", ".join(f"named_struct({', '.join(f"'{n}', {v}" for n, v in zip(names, row))})" for row in rows) + ")")
+
+
 def offsets(limit: int) -> list[tuple[int, int, int]]:
     """(length difference, segment, offset): where a longer text may hold a segment of a shorter one.
 
@@ -51,7 +56,7 @@ def offsets(limit: int) -> list[tuple[int, int, int]]:
 
 def asked_keys(text: Column, limit: int, tag: str) -> Column:
     """Keys that the longer (or equally long) of two texts asks for."""
-    given = F.array(*[F.struct(F.lit(m).alias("more"), F.lit(i).alias("i"), F.lit(o).alias("o")) for m, i, o in offsets(limit)])
+    given = _places(["more", "i", "o"], offsets(limit))
     whole = F.length(text)
 
     def one(place: Column) -> Column:
@@ -70,8 +75,7 @@ def head_keys(text: Column, length: Column, limit: int, tag: str) -> Column:
 
     Nothing is known of the text's end, so only edits before a segment bound its shift.
     """
-    places = [(i, o) for i in range(limit + 1) for o in range(-i, i + 1)]
-    given = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(o).alias("o")) for i, o in places])
+    given = _places(["i", "o"], [(i, o) for i in range(limit + 1) for o in range(-i, i + 1)])
 
     def one(place: Column) -> Column:
         start, size = _segment(length, place["i"], limit)

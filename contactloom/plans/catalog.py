@@ -22,6 +22,7 @@ from contactloom.plans.views import oracle, table, view
 from contactloom.sources import contacts as reader
 from contactloom.sources import sinks
 from contactloom.sources.staging import shared_folder, stage
+from contactloom.streaming.manifest import WindowedMigration
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -342,6 +343,22 @@ def migrate_all(spark, sf):
     return snapshot.select(*SNAPSHOT_COLS)
 
 
+@query("resumed_migration", O.snapshot(O.FILLED))
+def resumed_migration(spark, sf):
+    """Migration by monthly windows that stops half-way and is taken up again from its manifest."""
+    day = F.timestamp_seconds(F.lit(1577836800) + F.col("ord") % 700 * 86400)
+    c = stage(inputs.contacts(spark, sf).withColumn("dateAdded", F.when(F.col("ord") % 29 != 0, day)))
+    target, owners_ = inputs.target(spark, sf), inputs.owner_map(spark, sf)
+    root = shared_folder(spark)
+    first = WindowedMigration(spark, root)
+    half = max(len(first.open_windows(c)) // 2, 1)
+    first.run(c, target, owners_, per_step=half, max_steps=1)
+    again = WindowedMigration(spark, root)
+    while not again.run(c, target, owners_, per_step=half + 1):
+        pass
+    return again.result(target)[0].select(*SNAPSHOT_COLS)
+
+
 @query("file_migration", O.snapshot(O.FILLED))
 def file_migration(spark, sf):
     """Migration of contacts as their source writes them: line JSON without ``ord``, attribution also as an object."""
@@ -351,8 +368,8 @@ def file_migration(spark, sf):
     single = F.to_json(F.struct(*names, first.alias("attributionSource")))
     line = F.when(F.col("ord") % 3 == 0, single).otherwise(F.to_json(F.struct(*names, "attributionSource")))
     root = shared_folder(spark)
-    # one file, because its line order is the input order
-    c.select("ord", line.alias("value")).orderBy("ord").select("value").coalesce(1).write.text(f"{root}/lines")
+    # part files of a sort stand in name order, so files by path and lines within them are the input order
+    c.select("ord", line.alias("value")).orderBy("ord").select("value").write.text(f"{root}/lines")
     good, _ = reader.split_corrupt(reader.read_ndjson(spark, f"{root}/lines"))
     snapshot, _ = jobs.migrate(good, inputs.target(spark, sf), inputs.owner_map(spark, sf), f"{root}/planned")
     return snapshot.select(*SNAPSHOT_COLS)

@@ -31,3 +31,9 @@ def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     where = path or shared_folder(df.sparkSession)
     df.write.mode("overwrite").parquet(where)
     return df.sparkSession.read.schema(df.schema).parquet(where)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, on any file system the session knows."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
