@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contactloom import rules
+from contactloom.sources.staging import stage
 
 
 def plan_writes(
@@ -92,3 +93,43 @@ def enum_options() -> dict[str, list[str]]:
         "cancellation_status": rules.CANCELLATION_OPTIONS,
         "fulfillment_status": rules.FULFILLMENT_OPTIONS,
     }
+
+
+MULTI = "checkbox"  # fixed value: field type of a property that holds several options
+CHECKED_TYPES = ("enumeration", "number", "date")  # fixed values: property types that limit their values
+
+
+def catalog_violations(writes: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(ord, name, reason): values the target's property catalogue does not allow.
+
+    ``catalog`` has ``name, type, fieldType, options`` (structs with ``value``).  Written values are unpivoted to (property,
+    member), members of multi-select properties one by one; what has no partner among the options is illegal.  Numbers
+    and dates must read as such.  Only limited properties are unpivoted; their names are few, whatever the rows.
+    """
+    rules_of = stage(catalog.where(F.col("type").isin(*CHECKED_TYPES)).select("name", "type", F.coalesce("fieldType", F.lit("")).alias("fieldType")).distinct())
+    limited = {r["name"] for r in rules_of.select("name").distinct().collect()}
+    props = [p for p in rules.PROPERTIES if p in writes.columns and p in limited]
+    if not props:
+        return writes.select("ord", F.lit("").alias("name"), F.lit("").alias("reason")).limit(0)
+    options = stage(catalog.where("type = 'enumeration'").select("name", F.explode("options.value").alias("member")).distinct())
+    values = writes.select("ord", *[F.col(p).cast("string").alias(p) for p in props]).unpivot(["ord"], props, "name", "value")
+    typed = values.where("value IS NOT NULL").join(rules_of, "name")
+    members = F.when(F.col("fieldType") == MULTI, F.split("value", ";")).otherwise(F.array("value"))
+    listed = typed.where("type = 'enumeration'").select("ord", "name", F.explode(members).alias("member"))
+    illegal = listed.join(options, ["name", "member"], "left_anti").select("ord", "name", F.lit("value not among the options").alias("reason"))
+    readable = F.when(F.col("type") == "number", F.col("value").try_cast("double").isNotNull()).otherwise(F.col("value").try_cast("date").isNotNull())
+    unreadable = typed.where((F.col("type") != "enumeration") & ~readable).select(
+        "ord", "name", F.concat(F.lit("value is no "), "type").alias("reason")
+    )
+    return illegal.unionByName(unreadable)
+
+
+def check_catalog(writes: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Null values the catalogue does not allow, keep the row, list the fields cleared.
+
+    ``writes`` is read twice; a row is known by its ``ord``.
+    """
+    bad = catalog_violations(writes, catalog).groupBy("ord").agg(F.array_sort(F.collect_set("name")).alias("invalid_fields"))
+    flagged = writes.join(bad, "ord", "left")
+    none = F.array().cast("array<string>")
+    return without_fields(flagged.withColumn("invalid_fields", F.coalesce("invalid_fields", none)), "invalid_fields").select(*writes.columns, "invalid_fields")

@@ -1102,6 +1102,79 @@ def review_csv(spark, sf):
 
 
 # --- incremental sync -------------------------------------------------------
+_CHECKED = {
+    "state": "state NOT IN ('S0', 'S1', 'S2')",
+    "city": "city NOT IN (SELECT n_name FROM nation WHERE n_nationkey % 2 = 0)",
+    "market_name": "market_name <> 'Denver'",
+    "assigned_coach": "assigned_coach NOT IN (SELECT 'Coach ' || n_nationkey FROM nation WHERE n_nationkey < 9)",
+    "products_purchased": "len(list_filter(string_split(products_purchased, ';'), lambda m: m NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED'))) > 0",
+    "hs_timezone": "hs_timezone <> 'utc'",
+    "utm_medium": "true",
+    "zip": "false",
+}
+
+
+@query("catalog_checked_updates", f"""
+    SELECT ord, {', '.join(f"CASE WHEN NOT ({bad}) THEN {p} END AS {p}" for p, bad in _CHECKED.items())},
+      array_to_string(list_sort(list_filter([{', '.join(f"CASE WHEN {p} IS NOT NULL AND ({bad}) THEN '{p}' END" for p, bad in _CHECKED.items())}],
+        lambda f: f IS NOT NULL)), ',') AS invalid_fields
+    FROM matched_v""")
+def catalog_checked_updates(spark, sf):
+    """Planned writes after a check against a catalogue of the target's properties, made from the given tables."""
+    nations, regions = table(spark, sf, "nation"), table(spark, sf, "region")
+
+    def listed(name, values, kind="enumeration", field="select"):
+        options = F.collect_list(F.struct("value"))
+        return values.agg(options.alias("options")).select(F.lit(name).alias("name"), F.lit(kind).alias("type"), F.lit(field).alias("fieldType"), "options")
+
+    def fixed(*values):
+        return spark.createDataFrame([(v,) for v in values], "value string")
+
+    catalog = [
+        listed("state", regions.where("r_regionkey < 3").select(F.concat(F.lit("S"), "r_regionkey").alias("value"))),
+        listed("city", nations.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("value"))),
+        listed("market_name", fixed("Denver")),
+        listed("assigned_coach", nations.where("n_nationkey < 9").select(F.concat(F.lit("Coach "), "n_nationkey").alias("value"))),
+        listed("products_purchased", table(spark, sf, "orders").select(F.col("o_orderpriority").alias("value")).distinct().where("value <> '5-LOW'"), field="checkbox"),
+        listed("hs_timezone", fixed("utc")),
+        listed("utm_medium", fixed(), "number", "number"),
+        listed("zip", fixed(), "number", "number"),
+    ]
+    whole = catalog[0]
+    for part in catalog[1:]:
+        whole = whole.unionByName(part)
+    writes = jobs.plan_updates(
+        inputs.contacts(spark, sf), inputs.target(spark, sf), inputs.owner_map(spark, sf), allowlist=None, catalog=stage(whole)
+    )
+    return writes.select("ord", *_CHECKED, F.concat_ws(",", "invalid_fields").alias("invalid_fields"))
+
+
+@query("sync_runs", """
+    WITH d AS (SELECT ord % 2 AS day, count(*) AS n FROM matched_v GROUP BY ALL)
+    SELECT * FROM (VALUES
+      (1, 'dry', true, true, false, 1), (2, 'held', false, false, false, 1), (3, 'replayed', true, false, true, 1),
+      (4, 'empty', true, false, true, 9), (5, 'ok', true, false, true, 0)) AS v(seq, run, ok, dry_run, advanced, day)
+    LEFT JOIN (SELECT day, n AS changed FROM d) USING (day)""".replace("SELECT * FROM (VALUES", "SELECT CAST(seq AS BIGINT) AS seq, run, ok, dry_run, advanced, coalesce(changed, 0) AS changed FROM (VALUES"))
+def sync_runs(spark, sf):
+    """Run history of a dry run, a held one, its replay, an empty window and a plain run."""
+    from contactloom.streaming.state import SyncState
+    from contactloom.streaming.sync import run_once
+
+    state = SyncState(spark, shared_folder(spark))
+    state.publish_base(inputs.target(spark, sf), datetime(2024, 1, 1))
+    changed = F.timestamp_seconds(F.unix_seconds(F.lit(datetime(2024, 1, 1, 12))) + (1 - F.col("ord") % 2) * 86400 * 4)
+    source = stage(inputs.contacts(spark, sf).withColumn("dateUpdated", changed))
+    lookup = stage(inputs.owner_map(spark, sf))
+    runs_ = [("dry", 2, {"dry_run": True}), ("held", 2, {"max_failure_rate": -1.0}), ("replayed", 2, {}), ("empty", 4, {}), ("ok", 6, {})]
+    for _, day, options in runs_:
+        run_once(state, source, datetime(2024, 1, day), lookup, **options)
+    names = F.array(*[F.lit(n) for n, _, _ in runs_])
+    first = F.col("seq") - 1  # the base took the first number
+    return state.runs().where("seq > 1").select(
+        first.alias("seq"), F.get(names, (first - 1).cast("int")).alias("run"), "ok", "dry_run", F.col("advance_to").isNotNull().alias("advanced"), "changed"
+    )
+
+
 @query("incremental_sync", O.snapshot(O.OWNED))
 def incremental_sync(spark, sf):
     """Two nightly runs over contacts changed on two days; returns the final target."""

@@ -35,28 +35,33 @@ def plan_updates(
     allowlist: list[str] | None = None,
     check_enums: bool = True,
     small_delta: bool = False,
+    catalog: DataFrame | None = None,
 ) -> DataFrame:
     """Planned writes (action, target id, properties to write) for raw contacts.
 
-    ``target`` needs ``hs_id, ord`` and the identity columns only.
+    ``target`` needs ``hs_id, ord`` and the identity columns only.  With a ``catalog`` of the target's properties all
+    values are checked against it, else the derived properties against their own options.
     """
     mapped = prepare(contacts, owner_map)
     if small_delta:
         mapped = stage(mapped)
     matched = matching.match_to_target(mapped, target, small_delta=small_delta)
     planned = conflict.plan_writes(matched, allowlist)
+    if catalog is not None:
+        return conflict.check_catalog(stage(planned), catalog)
     return conflict.check_options(planned, conflict.enum_options()) if check_enums else planned
 
 
 def migrate(
-    contacts: DataFrame, target: DataFrame, owner_map: DataFrame | None, stage_path: str, failed_path: str | None = None
+    contacts: DataFrame, target: DataFrame, owner_map: DataFrame | None, stage_path: str, failed_path: str | None = None,
+    catalog: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """One-time migration: (new snapshot, counters).
 
     The plan is written to ``stage_path`` once; snapshot and counters read it back.
     Rows that could not be written as given go to ``failed_path`` with their reasons.
     """
-    writes = stage(plan_updates(contacts, target, owner_map), stage_path)
+    writes = stage(plan_updates(contacts, target, owner_map, catalog=catalog), stage_path)
     if failed_path is not None:
         upsert.failed_records(target, writes).write.mode("overwrite").parquet(failed_path)
     return upsert.upsert(target, writes), upsert.write_counts(target, writes)

@@ -31,14 +31,21 @@ def _write_changes(target: DataFrame, writes: DataFrame, path: str) -> None:
     rows.select("hs_id", "ord", "created", *upsert.PROPS).write.mode("overwrite").parquet(path)
 
 
-def _process(state: SyncState, delta: DataFrame, owner_map: DataFrame | None, seq: int) -> dict:
-    """Write the changes of one delta and return its counters (scalars only)."""
+def _process(
+    state: SyncState, delta: DataFrame, owner_map: DataFrame | None, seq: int, catalog: DataFrame | None = None, dry_run: bool = False
+) -> dict:
+    """Write the changes of one delta and return its counters (scalars only).
+
+    A dry run plans and counts the same way, keeps the plan for a look at it, and writes no change.
+    """
     staged = f"{state.root}/staged/run={seq}"
     target = state.identities()
     planned = jobs.plan_updates(
-        delta, target, owner_map, allowlist=rules.UPDATE_ALLOWLIST, small_delta=True
+        delta, target, owner_map, allowlist=rules.UPDATE_ALLOWLIST, small_delta=True, catalog=catalog
     )
     writes = stage(planned, staged)
+    if dry_run:
+        return runs.judged(upsert.write_counts(target, writes)).first().asDict()
     _write_changes(target, writes, state.change_path(seq))
     upsert.failed_records(target, writes).write.mode("overwrite").parquet(f"{state.root}/failed/run={seq}")
     return runs.judged(upsert.write_counts(target, writes)).first().asDict()
@@ -53,11 +60,14 @@ def run_once(
     dry_run: bool = False,
     max_failure_rate: float = rules.MAX_FAILURE_RATE,
     exclude_tags: list[str] = rules.LOOP_GUARD_TAGS,
+    catalog: DataFrame | None = None,
 ) -> dict:
     """One sync run; the watermark row is the last thing written.
 
     A crash records a failed run and re-raises; a held run keeps the watermark,
     so its window is read again.  Both are safe because writes are keyed.
+    A dry run records what it would update, insert and withhold; target and watermark stay, and
+    ``planned_writes`` shows its plan.
     """
     lower, origin = resolve_window(state, until, since)
     seq = state.head()["seq"] + 1
@@ -67,26 +77,28 @@ def run_once(
     }
     try:
         delta = windows.changed_since(source, lower, until, exclude_tags)
-        if not dry_run:
-            delta = stage(delta, f"{state.root}/staged/delta={seq}")  # the source is scanned once
+        delta = stage(delta, f"{state.root}/staged/delta={seq}")  # the source is scanned once
         changed = delta.count()
         summary |= {"changed": changed, "ok": True, "finished_at": now()}
-        if dry_run:
-            return summary | {"origin": origin}
         if changed == 0:
-            state.record(**summary, advance_to=until)
+            state.record(**summary, advance_to=None if dry_run else until)
             return summary | {"origin": origin}
-        counts = _process(state, delta, owner_map, seq)
+        counts = _process(state, delta, owner_map, seq, catalog, dry_run)
         ok = counts["failed"] <= max_failure_rate * counts["processed"]
         summary |= {k: counts[k] for k in ("updated", "inserted", "failed", "skipped", "withheld", "failure_rate")}
-        summary |= {"ok": ok, "wrote": True, "finished_at": now()}
-        state.record(**summary, advance_to=until if ok else None)
+        summary |= {"ok": ok, "wrote": not dry_run, "finished_at": now()}
+        state.record(**summary, advance_to=until if ok and not dry_run else None)
         return summary | {"origin": origin}
     except Exception as err:
         state.record(**summary | {"finished_at": now(), "ok": False, "error": str(err)})
         raise
 
 
+def planned_writes(state: SyncState, seq: int) -> DataFrame:
+    """What a run planned to write: one row per changed contact with its action, target and properties."""
+    return state.spark.read.parquet(f"{state.root}/staged/run={seq}")
+
+
 def sync_stream(
     state: SyncState,
     changes: DataFrame,
@@ -94,6 +106,7 @@ def sync_stream(
     owner_map: DataFrame | None = None,
     max_failure_rate: float = rules.MAX_FAILURE_RATE,
     exclude_tags: list[str] = rules.LOOP_GUARD_TAGS,
+    catalog: DataFrame | None = None,
 ):
     """Start an ``availableNow`` query over a stream of changed contacts.
 
@@ -116,7 +129,7 @@ def sync_stream(
             state.record(**base, finished_at=now(), ok=True, changed=0, skipped=undated)
             return
         delta = windows.changed_since(batch, bounds["lo"], bounds["hi"], exclude_tags)
-        counts = _process(state, delta, owner_map, seq)
+        counts = _process(state, delta, owner_map, seq, catalog)
         ok = counts["failed"] <= max_failure_rate * counts["processed"]
         counts["skipped"] += undated
         newest = max(bounds["hi"], head["watermark"] or bounds["hi"])  # an older batch does not move it back
