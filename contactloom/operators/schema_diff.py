@@ -11,7 +11,7 @@ from contactloom.operators.rows import number_within
 
 
 def desired_properties(spark: SparkSession) -> DataFrame:
-    """The 53 properties the mapping writes and a target may lack."""
+    """The 53 properties the mapping writes and a target may lack, with their field types and options."""
     numbers = {"integer", "decimal"}
     kinds = {p: ("number" if t in numbers else "date" if t == "date" else "string") for _, p, t in rules.CUSTOM_FIELDS}
     names = ["engager_contact_id", "utm_source", "utm_medium", "eventtag", *enum_options(), *rules.CUSTOM_PROPERTIES]
@@ -19,14 +19,21 @@ def desired_properties(spark: SparkSession) -> DataFrame:
     for n in names:
         kind = "enumeration" if n in enum_options() else kinds.get(n, "string")
         options = [(v, v, i, False) for i, v in enumerate(enum_options().get(n, []))]
-        rows.append((n, n.replace("_", " ").title(), kind, "contactinformation", options))
+        field = rules.FIELD_TYPES.get(n, {"number": "number", "date": "date", "enumeration": "select"}.get(kind, "text"))
+        rows.append((n, n.replace("_", " ").title(), kind, field, "contactinformation", options))
     return spark.createDataFrame(
         rows,
-        "name string, label string, type string, groupName string, "
+        "name string, label string, type string, fieldType string, groupName string, "
         "options array<struct<label:string,value:string,displayOrder:int,hidden:boolean>>",
     )
 
 
+def desired_options(spark: SparkSession) -> DataFrame:
+    """(name, value, ord): options to add to properties the target has already, as ``append_options`` takes them."""
+    rows = [(name, value, i) for name, values in rules.NEW_OPTIONS.items() for i, value in enumerate(values)]
+    return spark.createDataFrame(rows, "name string, value string, ord bigint")
+
+
 def diff_properties(desired: DataFrame, existing: DataFrame) -> DataFrame:
     """Status per desired property: ``created`` (missing) or ``skipped`` (exists)."""
     have = existing.select("name").distinct().withColumn("_have", F.lit(True))

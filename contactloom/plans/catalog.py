@@ -1152,8 +1152,8 @@ def catalog_checked_updates(spark, sf):
 @query("sync_runs", """
     WITH d AS (SELECT ord % 2 AS day, count(*) AS n FROM matched_v GROUP BY ALL)
     SELECT * FROM (VALUES
-      (1, 'dry', true, true, false, 1), (2, 'held', false, false, false, 1), (3, 'replayed', true, false, true, 1),
-      (4, 'empty', true, false, true, 9), (5, 'ok', true, false, true, 0)) AS v(seq, run, ok, dry_run, advanced, day)
+      (1, 'dry', true, true, false, 1), (1, 'held', false, false, false, 1), (2, 'replayed', true, false, true, 1),
+      (3, 'empty', true, false, true, 9), (4, 'ok', true, false, true, 0)) AS v(seq, run, ok, dry_run, advanced, day)
     LEFT JOIN (SELECT day, n AS changed FROM d) USING (day)""".replace("SELECT * FROM (VALUES", "SELECT CAST(seq AS BIGINT) AS seq, run, ok, dry_run, advanced, coalesce(changed, 0) AS changed FROM (VALUES"))
 def sync_runs(spark, sf):
     """Run history of a dry run, a held one, its replay, an empty window and a plain run."""
@@ -1169,9 +1169,10 @@ def sync_runs(spark, sf):
     for _, day, options in runs_:
         run_once(state, source, datetime(2024, 1, day), lookup, **options)
     names = F.array(*[F.lit(n) for n, _, _ in runs_])
-    first = F.col("seq") - 1  # the base took the first number
-    return state.runs().where("seq > 1").select(
-        first.alias("seq"), F.get(names, (first - 1).cast("int")).alias("run"), "ok", "dry_run", F.col("advance_to").isNotNull().alias("advanced"), "changed"
+    number = F.col("seq") - 1  # the base took the first number
+    name = F.get(names, F.when(F.col("dry_run"), 0).otherwise(number.cast("int")))
+    return state.runs().where("seq > 1").unionByName(state.dry_runs()).select(
+        number.alias("seq"), name.alias("run"), "ok", "dry_run", F.col("advance_to").isNotNull().alias("advanced"), "changed"
     )
 
 

@@ -210,6 +210,8 @@ FULFILLMENT_OPTIONS = [
 ]
 
 # --- fixed values: options appended to existing enumerations ----------------
+#: Field type of a property where its type does not say it.
+FIELD_TYPES = {"fulfillment_status": "checkbox"}
 NEW_OPTIONS = {
     "event_type": ["Foundations", "Commercial", "Expo", "Fly Out"],
     "eventtag": ["West Palm Beach", "New York", "Manhasset"],

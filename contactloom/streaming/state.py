@@ -5,6 +5,7 @@ Layout under ``root``::
     base/version=<v>     full target snapshot
     changes/run=<r>      writes of one run (only what changed)
     runs/                one appended row per run; the last thing a run writes
+    dry_runs/            the same for dry runs, which are no part of the history
 
 A reader sees only what a row in ``runs`` has committed.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from contactloom import rules
 from contactloom.operators import runs as R
+from contactloom.sources.staging import exists
 
 RUN_SCHEMA = (
     "seq bigint, started_at timestamp, finished_at timestamp, ok boolean, dry_run boolean, "
@@ -42,11 +44,17 @@ class SyncState:
         self.root = root.rstrip("/")
 
     # -- runs ---------------------------------------------------------------
-    def runs(self) -> DataFrame:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/runs")
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+    def _rows(self, folder: str) -> DataFrame:
+        if not exists(self.spark, f"{self.root}/{folder}"):
             return self.spark.createDataFrame([], RUN_SCHEMA)
-        return self.spark.read.schema(RUN_SCHEMA).parquet(f"{self.root}/runs")
+        return self.spark.read.schema(RUN_SCHEMA).parquet(f"{self.root}/{folder}")
+
+    def runs(self) -> DataFrame:
+        return self._rows("runs")
+
+    def dry_runs(self) -> DataFrame:
+        """What dry runs would have written; ``seq`` is the number the next real run had then."""
+        return self._rows("dry_runs")
 
     def history(self) -> DataFrame:
         """Newest runs first, at most 30."""
@@ -73,7 +81,8 @@ class SyncState:
         aware = {n: v.replace(tzinfo=timezone.utc) for n, v in run.items() if isinstance(v, datetime)}
         row = {n: None for n in names} | run | aware
         one = self.spark.createDataFrame([tuple(row[n] for n in names)], RUN_SCHEMA)
-        one.coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
+        folder = "dry_runs" if row["dry_run"] else "runs"
+        one.coalesce(1).write.mode("append").parquet(f"{self.root}/{folder}")
 
     # -- target versions ----------------------------------------------------
     def base_path(self, version: int) -> str:

@@ -38,7 +38,7 @@ def _process(
 
     A dry run plans and counts the same way, keeps the plan for a look at it, and writes no change.
     """
-    staged = f"{state.root}/staged/run={seq}"
+    staged = f"{state.root}/staged/{'dry' if dry_run else 'run'}={seq}"
     target = state.identities()
     planned = jobs.plan_updates(
         delta, target, owner_map, allowlist=rules.UPDATE_ALLOWLIST, small_delta=True, catalog=catalog
@@ -66,8 +66,8 @@ def run_once(
 
     A crash records a failed run and re-raises; a held run keeps the watermark,
     so its window is read again.  Both are safe because writes are keyed.
-    A dry run records what it would update, insert and withhold; target and watermark stay, and
-    ``planned_writes`` shows its plan.
+    A dry run records in ``dry_runs`` what it would update, insert and withhold; target, history and
+    watermark stay, and ``planned_writes`` shows its plan.
     """
     lower, origin = resolve_window(state, until, since)
     seq = state.head()["seq"] + 1
@@ -77,7 +77,7 @@ def run_once(
     }
     try:
         delta = windows.changed_since(source, lower, until, exclude_tags)
-        delta = stage(delta, f"{state.root}/staged/delta={seq}")  # the source is scanned once
+        delta = stage(delta, f"{state.root}/staged/{'dry_delta' if dry_run else 'delta'}={seq}")  # the source is scanned once
         changed = delta.count()
         summary |= {"changed": changed, "ok": True, "finished_at": now()}
         if changed == 0:
@@ -94,9 +94,9 @@ def run_once(
         raise
 
 
-def planned_writes(state: SyncState, seq: int) -> DataFrame:
+def planned_writes(state: SyncState, seq: int, dry_run: bool = False) -> DataFrame:
     """What a run planned to write: one row per changed contact with its action, target and properties."""
-    return state.spark.read.parquet(f"{state.root}/staged/run={seq}")
+    return state.spark.read.parquet(f"{state.root}/staged/{'dry' if dry_run else 'run'}={seq}")
 
 
 def sync_stream(

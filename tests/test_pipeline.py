@@ -13,7 +13,7 @@ from contactloom.sources import contacts as reader
 from contactloom.sources import sinks
 from contactloom.sources.staging import stage
 from contactloom.streaming.state import SyncState, resolve_window
-from contactloom.streaming.sync import RunHeld, run_once, sync_stream
+from contactloom.streaming.sync import RunHeld, planned_writes, run_once, sync_stream
 
 SF = "/root/testdata/sf0.001"
 
@@ -91,6 +91,29 @@ def test_upsert_invariants(spark):
     }
 
 
+def test_catalog_check(spark):
+    """Unknown options, one of several members, unreadable numbers and dates; limits of properties not written do nothing."""
+    rows = [
+        {"city": "X", "state": "S1", "products_purchased": "a;b", "utm_source": "12", "utm_medium": "2024-02-30", "zip": None},
+        {"city": "Y", "state": None, "products_purchased": "a;c", "utm_source": "1x", "utm_medium": "2024-02-28", "zip": "1"},
+        {"city": "", "products_purchased": ""},
+    ]
+    w = mapped(spark, *rows).withColumn("action", F.lit("insert"))
+    option = "array<struct<value:string,displayOrder:int>>"
+    catalog = spark.createDataFrame(
+        [("city", "enumeration", "select", [("X", 0), ("X", 1)]), ("products_purchased", "enumeration", "checkbox", [("a", 0), ("b", 1)]), ("state", "enumeration", "select", []),
+         ("utm_source", "number", None, None), ("utm_medium", "date", "date", []), ("zip", "string", "text", []), ("no_such_property", "number", "number", [])],
+        f"name string, type string, fieldType string, options {option}",
+    )
+    got = sorted(conflict.check_catalog(w, catalog).collect(), key=lambda r: r["ord"])
+    assert [r["invalid_fields"] for r in got] == [["state", "utm_medium"], ["city", "products_purchased", "utm_source"], ["city", "products_purchased"]]
+    assert [(r["city"], r["state"], r["products_purchased"], r["utm_source"], r["utm_medium"], r["zip"]) for r in got] == [
+        ("X", None, "a;b", "12", None, None), (None, None, None, None, "2024-02-28", "1"), (None, None, None, None, None, None),
+    ]
+    assert conflict.check_catalog(w, catalog.limit(0)).agg(F.max(F.size("invalid_fields"))).first()[0] == 0
+    assert conflict.check_catalog(w.limit(0), catalog).isEmpty()
+
+
 def test_enum_check(spark):
     m = mapped(spark, {"buyer_tier": "Nope", "city": "X"}, {"buyer_tier": "Registrant"}).withColumn("action", F.lit("insert"))
     a, b = sorted(conflict.check_options(m, conflict.enum_options()).collect(), key=lambda r: r["ord"])
@@ -139,6 +162,13 @@ def test_schema_catalog(spark):
     d = schema_diff.desired_properties(spark)
     assert d.count() == 53
     assert {r["type"]: r["count"] for r in d.groupBy("type").count().collect()} == {"string": 29, "date": 12, "number": 9, "enumeration": 3}
+    assert {r["fieldType"]: r["count"] for r in d.groupBy("fieldType").count().collect()} == {"text": 29, "date": 12, "number": 9, "select": 2, "checkbox": 1}
+    have = spark.createDataFrame([("event_type", "Expo", 7), ("eventtag", "New York", 2)], "name string, value string, displayOrder int")
+    added = schema_diff.append_options(have, schema_diff.desired_options(spark)).collect()
+    assert {(r["name"], r["value"], r["displayOrder"]) for r in added} == {
+        ("event_type", "Foundations", 8), ("event_type", "Commercial", 9), ("event_type", "Fly Out", 10),
+        ("eventtag", "West Palm Beach", 3), ("eventtag", "Manhasset", 4),
+    }
     old = spark.createDataFrame([("p", "a", 3), ("p", "b", 1)], "name string, value string, displayOrder int")
     new = spark.createDataFrame([("p", "a", 0), ("p", "c", 1), ("p", "d", 2)], "name string, value string, ord bigint")
     assert {(r["value"], r["displayOrder"]) for r in schema_diff.append_options(old, new).collect()} == {("c", 4), ("d", 5)}
@@ -208,6 +238,13 @@ def test_sync_watermark(spark, tmp_path):
     assert resolve_window(state, datetime(2024, 1, 2)) == (datetime(2024, 1, 1), "lookback")
     dry = run_once(state, source(spark), datetime(2024, 1, 2), dry_run=True)
     assert dry["changed"] == 150 and state.watermark() is None
+    assert state.runs().where("dry_run").isEmpty()
+    row = state.dry_runs().first()
+    assert row["seq"] == dry["seq"] and row["ok"] and not row["wrote"] and row["advance_to"] is None
+    assert dry["updated"] > 0 and dry["inserted"] > 0 and row["updated"] == dry["updated"]
+    plan = planned_writes(state, dry["seq"], dry_run=True)
+    assert plan.count() == 150 and plan.where("action = 'insert'").count() >= dry["inserted"]
+    assert state._changes() is None
     empty = run_once(state, source(spark, day=9), datetime(2024, 1, 2))
     assert empty["ok"] and empty["changed"] == 0 and state.watermark() == datetime(2024, 1, 2)
     before = state.target().count()
