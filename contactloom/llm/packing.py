@@ -18,6 +18,7 @@ gives none.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -57,6 +58,15 @@ def byte_ranks(path: str) -> dict[bytes, int]:
     return {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if all(c in letters for c in t)}
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Tokens beside the vocabulary, which a text is split at before anything else."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens") or []
+    if any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that depend on their surroundings are not supported")
+    return {t["content"]: t["id"] for t in added}
+
+
 class _Places(dict):
     """Piece -> place, asking ``add`` for pieces it has not met."""
 
@@ -73,8 +83,10 @@ class Tokens:
     def __init__(self, path: str, pattern: str):
         import tiktoken
 
-        special = {"<|endoftext|>"}
-        ranks = {t: i for t, i in byte_ranks(path).items() if t.decode("utf-8", "replace") not in special}
+        self.added = added_tokens(path)
+        # the longest of those that begin at one place; without any, nothing matches
+        self.split = re.compile("|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) or r"(?!)")
+        ranks = {t: i for t, i in byte_ranks(path).items() if t.decode("utf-8", "replace") not in self.added}
         self.keep = KEEP_TOKENS
         self.encode = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.forget()
@@ -101,9 +113,16 @@ class Tokens:
         return i
 
     def ids(self, text: str) -> np.ndarray:
-        """Ids of a text with the end id."""
+        """Ids of a text with the end id; added tokens in it are single ids, as the library gives them."""
+        parts, at = [], 0
+        for found in self.split.finditer(text):
+            parts += [self._plain(text[at : found.start()]), np.array([self.added[found.group()]], np.uint16)]
+            at = found.end()
+        return np.concatenate([*parts, self._plain(text[at:] if at else text), np.array([END_ID], np.uint16)])
+
+    def _plain(self, text: str) -> np.ndarray:
         if not text:
-            return np.array([END_ID], np.uint16)
+            return np.zeros(0, np.uint16)
         first, *rest = cut(text)
         if self.used > self.keep:
             self.forget()
@@ -112,7 +131,7 @@ class Tokens:
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         spots = np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(total)
-        return np.concatenate([np.array(self.encode(first), np.uint16), self.flat[spots], np.array([END_ID], np.uint16)])
+        return np.concatenate([np.array(self.encode(first), np.uint16), self.flat[spots]])
 
 
 _TOKENS: dict[tuple[str, str], Tokens] = {}

@@ -29,14 +29,21 @@ def library():
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(JSON)
 
 
 LONG = ["a" * 5000, "ab" * 700 + "c", "the" * 400, "日本" * 300, "xyzzyplugh" * 60, "é" * 400, " " * 900, "1234567890" * 90, "!?" * 500]
 
 
+END = "<|endoftext|>"
+
+
+@pytest.mark.parametrize("text", [f"a {END} b", END, END * 3, f"{END} x", f"x {END}", f"a{END}b  {END}\n\n c", END[:-1], f"<{END}>", f" {END} ", "the <|endoftext |> no"])
+def test_added_tokens_are_single_ids(tokenizer, text):
+    own = packing.Tokens(JSON, P.PATTERN)
+    assert own.ids(text).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+
+
 def test_encoding_is_the_library_s(library):
     own = bpe.Engine(RANKS, P.PATTERN)
     block = [t or "" for t in odd_texts()] + LONG
