@@ -55,7 +55,7 @@ def selected_tag_counts(df: DataFrame, tags: list[str] = rules.CHECKED_TAGS) ->
 
 
 def field_coverage(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Filled rows and rounded percentage per field: one aggregation, then unpivot."""
+    """Filled rows and rounded percentage per field, fullest first: one aggregation, then unpivot."""
     def filled(c: str) -> Column:
         kind = df.schema[c].dataType.simpleString()
         present = F.col(c).isNotNull()
@@ -70,6 +70,7 @@ def field_coverage(df: DataFrame, fields: list[str]) -> DataFrame:
             F.floor(100.0 * F.col("filled") / F.nullif("_rows", F.lit(0)) + F.lit(0.5)).cast("bigint").alias("pct"),
         )
         .where(F.col("filled") > 0)
+        .orderBy(F.desc("filled"), "field")
     )
 
 
@@ -97,6 +98,43 @@ def key_presence(df: DataFrame, json_col: str, fields: list[str], ord_col: str)
     return one.select(F.explode(entries).alias("e")).select("e.*")
 
 
+def discovered_keys(df: DataFrame, variant_col: str, ord_col: str = "ord") -> DataFrame:
+    """(path, type, n, nulls, example): every key found in the documents, at any depth; no key is named beforehand.
+
+    ``type`` is the common type of the key's values, ``n`` the rows that have it, ``nulls`` those where it is only JSON null,
+    ``example`` the first other value in row order as text.  Elements of arrays share the path ``name[]``.  One round per
+    level of nesting, until no value is an object or array; counts are combined before every shuffle.
+    """
+    level = df.where(F.col(variant_col).isNotNull()).select(F.col(ord_col).alias("ord"), F.lit("").alias("path"), F.col(variant_col).alias("v"))
+    found = []
+    kind = F.schema_of_variant("v")
+    nested = F.startswith(kind, F.lit("OBJECT")) | F.startswith(kind, F.lit("ARRAY"))
+    while True:
+        inner = level.where(nested).lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer()).select("key", F.col("value").alias("inner")))
+        key = F.when(F.col("key").isNull(), F.concat("path", F.lit("[]"))).otherwise(
+            F.concat("path", F.when(F.col("path") == "", F.lit("")).otherwise(F.lit(".")), F.col("key"))
+        )
+        level = stage(inner.select("ord", key.alias("path"), F.col("inner").alias("v")))
+        if level.isEmpty():
+            break
+        found.append(level)
+    if not found:
+        return df.sparkSession.createDataFrame([], "path string, type string, n bigint, nulls bigint, example string")
+    whole = found[0]
+    for more in found[1:]:
+        whole = whole.unionByName(more)
+    is_null = F.is_variant_null("v")
+    per_row = whole.groupBy("path", "ord").agg(
+        F.min(is_null).alias("empty"), F.min(F.when(~is_null, F.to_json("v"))).alias("text")
+    )
+    shapes = whole.groupBy("path").agg(F.schema_of_variant_agg("v").alias("type"))
+    counts = per_row.groupBy("path").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("empty").alias("nulls"),
+        F.min_by("text", F.when(F.col("text").isNotNull(), F.col("ord"))).alias("example"),
+    )
+    return shapes.join(counts, "path").select("path", "type", "n", "nulls", "example")
+
+
 def custom_field_population(df: DataFrame) -> DataFrame:
     """Filled values per custom field and percentage of contacts."""
     filled = F.expr("filter(customFields, cf -> coalesce(variant_get(cf.value, '$', 'string'), '') <> '' AND cf.id IS NOT NULL)")

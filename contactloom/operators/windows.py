@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contactloom import rules
 from contactloom.functions import tags as G
 from contactloom.operators.rows import keep_first
+from contactloom.sources.staging import stage
 
 
 def week_start(ts: Column) -> Column:
@@ -110,6 +111,63 @@ def tagged(df: DataFrame, include: list[str] | None = None, exclude: list[str] |
     return out
 
 
+def minute_counts(df: DataFrame, ts_col: str) -> DataFrame:
+    """(minute, n): rows per minute; rows without a time are left out."""
+    return df.where(F.col(ts_col).isNotNull()).groupBy(F.date_trunc("minute", F.col(ts_col)).alias("minute")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def minute_windows(df: DataFrame, ts_col: str, cap: int = rules.WINDOW_CAP) -> DataFrame:
+    """(minute, n, window_start): which window each minute with rows belongs to.
+
+    A minute with more than half the cap is a window of its own; the others are cut wherever their running count
+    passes a multiple of half the cap.  So a window holds at most ``cap`` rows unless it is one minute long.  Running
+    counts are summed inside days and shifted by the days before, a table of one row per day.
+    """
+    half = max(cap // 2, 1)
+    counted = stage(minute_counts(df, ts_col)).select(
+        "minute", "n", F.to_date("minute").alias("day"), (F.col("n") > half).cast("bigint").alias("big"),
+        F.when(F.col("n") > half, 0).otherwise(F.col("n")).alias("small"),
+    )
+    earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = counted.groupBy("day").agg(F.sum("big").alias("b"), F.sum("small").alias("s")).select(
+        "day", F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias("b"), F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("s")
+    )
+    before = Window.partitionBy("day").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumns({
+        "bigs": F.coalesce(F.sum("big").over(before), F.lit(0)), "smalls": F.coalesce(F.sum("small").over(before), F.lit(0)),
+    }).join(days, "day")
+    # a large minute ends the window before it and begins the next one after it
+    part = F.struct(F.col("b") + F.col("bigs"), F.floor((F.col("s") + F.col("smalls")) / half), "big")
+    keyed = placed.select("minute", "n", part.alias("part"))
+    starts = keyed.groupBy("part").agg(F.min("minute").alias("window_start"))
+    return keyed.join(starts, "part").select("minute", "n", "window_start")
+
+
+def adaptive_windows(df: DataFrame, ts_col: str, cap: int = rules.WINDOW_CAP) -> DataFrame:
+    """(window_start, window_end, n): gapless windows of unequal length with at most ``cap`` rows, one minute at least.
+
+    A window ends where the next one with rows begins; the last one after its last minute.
+    """
+    found = minute_windows(df, ts_col, cap).groupBy("window_start").agg(F.sum("n").alias("n"), F.max("minute").alias("last"))
+    found = stage(found.withColumn("day", F.to_date("window_start")))
+    later = Window.orderBy("day").rowsBetween(1, Window.unboundedFollowing)
+    days = found.groupBy("day").agg(F.min("window_start").alias("first")).select("day", F.min("first").over(later).alias("next_day"))
+    inside = F.lead("window_start").over(Window.partitionBy("day").orderBy("window_start"))
+    ended = found.withColumn("following", inside).join(days, "day")
+    end = F.coalesce("following", "next_day", F.col("last") + F.expr("INTERVAL 1 MINUTE"))
+    return ended.select("window_start", end.alias("window_end"), "n")
+
+
+def by_window(df: DataFrame, ts_col: str, cap: int = rules.WINDOW_CAP, partitions: int | None = None) -> DataFrame:
+    """Rows with their ``window_start``, dealt to tasks by time so that a task holds whole neighbouring windows.
+
+    Rows meet their window by the minute, a table of one row per minute; rows without a time come with a null window.
+    """
+    minutes = minute_windows(df, ts_col, cap).select(F.col("minute").alias("_minute"), "window_start")
+    met = df.withColumn("_minute", F.date_trunc("minute", F.col(ts_col))).join(minutes, "_minute", "left").drop("_minute")
+    return met.repartitionByRange(partitions, "window_start") if partitions else met.repartitionByRange("window_start")
+
+
 def pending(df: DataFrame, window: Column, done: DataFrame) -> DataFrame:
     """Rows of windows not yet recorded in ``done(window_start)``."""
     return df.withColumn("window_start", window).join(done, "window_start", "left_anti")

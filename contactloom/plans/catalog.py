@@ -567,6 +567,24 @@ SINCE, UNTIL = "2024-01-10 00:00:00", "2024-01-20 00:00:00"
 GUARD = ["error"]
 
 
+WINDOW_ROWS = 64
+
+
+@query("adaptive_windows", f"""
+    WITH e AS (SELECT CASE WHEN event_id % 3 = 0 THEN date_trunc('hour', ts) ELSE ts END AS ts FROM events),
+    m AS (SELECT date_trunc('minute', ts) AS minute, count(*) AS n FROM e WHERE ts IS NOT NULL GROUP BY 1),
+    p AS (SELECT *, n > {WINDOW_ROWS // 2} AS big,
+        coalesce(sum(CAST(n > {WINDOW_ROWS // 2} AS INT)) OVER w, 0) AS b,
+        coalesce(sum(CASE WHEN n > {WINDOW_ROWS // 2} THEN 0 ELSE n END) OVER w, 0) // {WINDOW_ROWS // 2} AS s
+      FROM m WINDOW w AS (ORDER BY minute ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    g AS (SELECT min(minute) AS window_start, max(minute) AS last, sum(n)::BIGINT AS n FROM p GROUP BY b, s, big)
+    SELECT window_start, coalesce(lead(window_start) OVER (ORDER BY window_start), last + INTERVAL 1 MINUTE) AS window_end, n FROM g""")
+def adaptive_windows(spark, sf):
+    """Windows of unequal length over the event times, a third of them moved to the full hour."""
+    ts = F.when(F.col("event_id") % 3 == 0, F.date_trunc("hour", "ts")).otherwise(F.col("ts"))
+    return windows.adaptive_windows(table(spark, sf, "events").select(ts.alias("ts")), "ts", WINDOW_ROWS)
+
+
 @query("delta_since", f"""
     SELECT id, arg_min(ord, ord) AS ord, arg_min(event_type, ord) AS event_type FROM delta_v
     WHERE dateUpdated BETWEEN TIMESTAMP '{SINCE}' AND TIMESTAMP '{UNTIL}' AND event_type <> 'error' GROUP BY id""")
@@ -746,6 +764,24 @@ def key_presence(spark, sf):
     return profile.key_presence(e, "doc", ["k", "missing"], "event_id")
 
 
+@query("discovered_keys", """
+    WITH d AS (SELECT event_id, TRY_CAST(props ->> '$.k' AS BIGINT) AS k, event_type, user_id FROM events)
+    SELECT 'props' AS path, 'OBJECT<k: BIGINT>' AS type, count(*) AS n, 0::BIGINT AS nulls, '{"k":' || arg_min(k, event_id) || '}' AS example FROM d
+    UNION ALL SELECT 'props.k', 'BIGINT', count(*), 0, CAST(arg_min(k, event_id) AS VARCHAR) FROM d
+    UNION ALL SELECT 'who', 'OBJECT<id: BIGINT, tags: ARRAY<STRING>>', count(*), 0,
+      arg_min('{"id":' || CASE WHEN user_id % 3 = 0 THEN 'null' ELSE CAST(user_id AS VARCHAR) END || ',"tags":["' || event_type || '","x"]}', event_id) FROM d
+    UNION ALL SELECT 'who.id', 'BIGINT', count(*), count(*) FILTER (WHERE user_id % 3 = 0), CAST(arg_min(user_id, event_id) FILTER (WHERE user_id % 3 <> 0) AS VARCHAR) FROM d
+    UNION ALL SELECT 'who.tags', 'ARRAY<STRING>', count(*), 0, arg_min('["' || event_type || '","x"]', event_id) FROM d
+    UNION ALL SELECT 'who.tags[]', 'STRING', count(*), 0, arg_min('"' || least(event_type, 'x') || '"', event_id) FROM d""")
+def discovered_keys(spark, sf):
+    """Keys of the event properties and of a nested document around them, found in the data."""
+    whole = F.concat(
+        F.lit('{"props":'), "props", F.lit(',"who":{"id":'), F.when(F.col("user_id") % 3 == 0, F.lit("null")).otherwise(F.col("user_id").cast("string")),
+        F.lit(',"tags":["'), "event_type", F.lit('","x"]}}'),
+    )
+    return profile.discovered_keys(table(spark, sf, "events").select("event_id", F.try_parse_json(whole).alias("doc")), "doc", "event_id")
+
+
 @query("custom_field_population", f"""
     SELECT field_id, count(*) AS n, CAST(floor(100.0 * count(*) / (SELECT count(*) FROM custom_v) + 0.5) AS BIGINT) AS pct FROM (
       SELECT '{inputs.FIELD_ID['workshop_total']}' AS field_id, total_text AS v FROM custom_v
@@ -1094,6 +1130,25 @@ def csv_roundtrip(spark, sf):
     return reader.read_csv_export(spark, path, ";").select(*FILE_COLS)
 
 
+@query("owner_map_file", "SELECT user_id, owner_id FROM owner_map_v")
+def owner_map_file(spark, sf):
+    """The owner lookup written as one object and read back as rows."""
+    path = f"{shared_folder(spark)}/owner-map"
+    sinks.write_object(inputs.owner_map(spark, sf), path, "user_id", "owner_id")
+    return reader.optional_object(spark, path, "user_id", "owner_id")
+
+
+@query("merge_report_file", f"""
+{_MERGES}
+    SELECT count(*) FILTER (merged) AS merged, count(*) FILTER (NOT merged) AS failed,
+      (SELECT count(*) FROM found_v WHERE classification = 'manual-review') AS skipped FROM s WHERE i > 0""")
+def merge_report_file(spark, sf):
+    """The report of a merge run on disk, read back."""
+    path = f"{shared_folder(spark)}/report"
+    sinks.write_report(elimination.merge_counts(stage(inputs.duplicate_source(spark, sf))), path)
+    return spark.read.schema("merged bigint, failed bigint, skipped bigint").json(path)
+
+
 @query("review_csv", f"SELECT primary_id, nullif(primary_email, '') AS primary_email, trim(primary_name) AS primary_name, duplicate_id, nullif(duplicate_email, '') AS duplicate_email, trim(duplicate_name) AS duplicate_name, reason FROM found_v WHERE classification = 'manual-review'")
 def review_csv(spark, sf):
     path = f"{shared_folder(spark)}/review"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactloom import rules
+from contactloom.sources.staging import exists
 
 ATTRIBUTION = "struct<isFirst:boolean,utmSource:string,sessionSource:string,medium:string>"
 
@@ -163,8 +164,17 @@ def read_months(spark: SparkSession, path: str, since, until) -> DataFrame:
 
 def optional_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A lookup file, or an empty table of the same schema when it is missing."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jpath):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).json(path)
+
+
+def optional_object(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:
+    """A lookup file that is one JSON object, as rows (key, value); empty when it is missing.
+
+    Such files are dimensions (one entry per user), read whole.  What is no object gives no rows.
+    """
+    if not exists(spark, path):
+        return spark.createDataFrame([], f"{key} string, {value} string")
+    entries = F.from_json("value", "map<string,string>")
+    return spark.read.option("wholetext", True).text(path).select(F.explode(entries).alias(key, value))

@@ -35,6 +35,12 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_object(df: DataFrame, path: str, key: str, value: str) -> None:
+    """A small lookup as one JSON object, keys in order."""
+    entries = F.array_sort(F.collect_list(F.struct(F.col(key).alias("key"), F.col(value).alias("value"))))
+    df.agg(F.to_json(F.map_from_entries(entries)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_by_month(df: DataFrame, path: str, ts_col: str = "dateUpdated") -> None:
     """Contacts partitioned by modification month, so a delta scan prunes folders.
 

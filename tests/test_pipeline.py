@@ -213,6 +213,12 @@ def test_readers(spark, tmp_path):
     (tmp_path / "x.csv").write_text("id;name\n a ; Ann \n\nb;\n")
     assert [tuple(r) for r in reader.read_csv_export(spark, str(tmp_path / "x.csv"), ";").collect()] == [("a", "Ann"), ("b", None)]
     assert reader.optional_table(spark, str(tmp_path / "none.json"), "user_id string, owner_id string").count() == 0
+    (tmp_path / "map.json").write_text('{\n  "u1": "7",\n  "u2": "8"\n}')
+    got = reader.optional_object(spark, str(tmp_path / "map.json"), "user_id", "owner_id")
+    assert got.columns == ["user_id", "owner_id"] and {tuple(r) for r in got.collect()} == {("u1", "7"), ("u2", "8")}
+    (tmp_path / "odd.json").write_text("[1, 2]")
+    assert reader.optional_object(spark, str(tmp_path / "odd.json"), "k", "v").isEmpty()
+    assert reader.optional_object(spark, str(tmp_path / "none.json"), "k", "v").isEmpty()
     n = sinks.write_counted(spark.range(7), str(tmp_path / "out"))
     assert n == 7
     df = spark.createDataFrame([("a", datetime(2024, 1, 5)), ("b", datetime(2024, 2, 5))], "id string, dateUpdated timestamp")
