@@ -177,4 +177,4 @@ def optional_object(spark: SparkSession, path: str, key: str, value: str) -> Dat
     if not exists(spark, path):
         return spark.createDataFrame([], f"{key} string, {value} string")
     entries = F.from_json("value", "map<string,string>")
-    return spark.read.option("wholetext", True).text(path).select(F.explode(entries).alias(key, value))
+    return spark.read.text(path, wholetext=True).select(F.explode(entries).alias(key, value))
