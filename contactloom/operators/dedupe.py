@@ -188,15 +188,15 @@ def email_pairs(profs: DataFrame) -> DataFrame:
     found.append(_met(head_a, head_b, ["d1", "d2"], F.lit(True)))
 
     odd = given.where("odd")
-    names = odd.select("name_key").distinct()
-    beside = given.join(names, "name_key", "left_semi")
-    front = F.concat(l, F.lit("@"), d)
+    if not odd.isEmpty():  # read from the staged e-mails; spares two joins where all are well-formed
+        beside = given.join(odd.select("name_key").distinct(), "name_key", "left_semi")
+        front = F.concat(l, F.lit("@"), d)
 
-    def both(make) -> Column:
-        return F.concat(make(F.col("e"), MAX_EDITS, "e"), make(front, SHORT_EDITS, "f"))
+        def both(make) -> Column:
+            return F.concat(make(F.col("e"), MAX_EDITS, "e"), make(front, SHORT_EDITS, "f"))
 
-    for left, right in ((odd, beside), (beside, odd)):
-        found.append(_met(_keyed(left, "a", both(stored_keys)), _keyed(right, "b", both(asked_keys)), [], F.lit(True)))
+        for left, right in ((odd, beside), (beside, odd)):
+            found.append(_met(_keyed(left, "a", both(stored_keys)), _keyed(right, "b", both(asked_keys)), [], F.lit(True)))
     return reduce(DataFrame.unionByName, found).distinct()
 
 
