@@ -1,21 +1,20 @@
 """Jaccard join of n-gram sets with prefix trees.
 
-A text's set is its distinct word n-grams as 64-bit hashes.  Equal sets are one node.  The query uses ``GRAM`` words and
+A text's set is its distinct word n-grams as 63-bit numbers.  Equal sets are one node.  The query uses ``GRAM`` words and
 ``SHARE`` percent; both are arguments.
 
-1. Sets are computed once and staged, ordered by hash.
-2. Sets that link differ in few n-grams: at most ``d`` for their size.  Dealt by hash into ``d + 1`` parts, they agree in
-   one whole part.  So every set gives a signature for each of its parts, within classes of like size.  An empty part
-   says nothing, so there are some more parts than that, and only sets with more empty parts than these give
-   signatures of empty ones.  Sets with a common signature are tied to the smallest of them.  Connected ties are candidate groups:
-   all links lie within groups, and every node is in one group only.  A passage that many texts
-   share ties little, since a part holds n-grams from all over the text: some ten at 90 percent, four at 80.
-3. A group is dealt in blocks of ``BLOCK`` nodes, and every pair of blocks is one piece of work, so a large
-   group spreads over many tasks.  In it the sets of a block stand in a tree of shared beginnings; a probe walks
-   the tree, adds up the overlap once for all sets below, and leaves a branch when the remaining lengths cannot
-   reach the threshold.  Nodes already connected are not compared again; links found are exact, and
-   every link between different texts is found or implied by found ones.
-4. Links become components; all copies of a set follow their node.
+1. One pass counts n-grams in ``BUCKETS`` buckets and names every text's node.  The counts give the global order: an
+   n-gram's number starts with the level of its bucket, so rare ones come first.  Any order gives the same links.
+2. Two sets that link have a common n-gram among the first ``size - ceil(share) + 1`` of both.  Only these n-grams are
+   posted, and first without anything wide: those posted by one node only are dropped.
+3. A posting holds size, place and a parity sketch of its set.  Every n-gram by which two sets differ flips one bit, so
+   pairs with more unlike bits than linked sets can have are out, as are those whose sizes or places rule out a link.
+4. Surviving pairs go to the smallest n-gram they share, and only there their sets travel.  The sets below an n-gram stand
+   in a tree of shared beginnings; a probe walks it, adds up the overlap once for all sets below, and leaves a branch when
+   the remaining lengths cannot reach the threshold.  Links found are exact.
+5. In the first round every node meets the smallest node of its posting only, so a group of near copies costs a line.
+   In the second, all surviving pairs that the first round's links do not connect already are tested.
+6. Components are those of verified links; all copies of a set follow their node.
 
 Defined cases: a null text, or one without a word, has an empty set and links with nothing; with fewer words than an n-gram has the whole
 sequence is the only n-gram; rows repeated with one id are one document each with the same component; a null
@@ -25,16 +24,15 @@ and kept by ``deduplicate``; an empty table gives none.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contactloom.llm.common import free_name, lower_ascii, map_arrow, texts, words
+from contactloom.llm.common import free_name, map_arrow
 from contactloom.llm.components import components
 from contactloom.llm.exact_dedup import filter_bits
 from contactloom.sources.staging import stage
@@ -42,131 +40,164 @@ from contactloom.sources.staging import stage
 #: Links of op9: SHARE_OF * intersection >= SHARE * union, over n-grams of so many words.
 SHARE, SHARE_OF = 90, 100
 GRAM = 3
-#: At most this share of the sets of a class should have more empty parts than their class allows.
-ODD_SETS = 1e-3
+#: Sets of one side that stand in one tree.
 BLOCK = 512
-#: A class spans so many times the ratio of linked sizes.  Wider ones mean fewer signatures, but tie more sets that are
-#: too unlike in size to link.
-CLASS_STEPS = 1
+#: Counters of n-grams, whatever the corpus: the driver holds their levels, one byte each.
+BUCKET_BITS = 18
+BUCKETS = 1 << BUCKET_BITS
+#: Bits of a parity sketch, kept as longs.
+SKETCH_LONGS = 4
+#: Words whose hashes a task keeps.
+KEEP_WORDS = 500_000
 
 
-def _least_larger(size: int, share: int) -> int:
-    """The first size that is too large to link with ``size`` or that follows it."""
-    return max(size + 1, -(-size * SHARE_OF // share))
+class WordHashes(dict):
+    """Hash of a word, remembered."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KEEP_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
 
-def size_classes(largest: int, share: int = SHARE) -> np.ndarray:
-    """Lower bounds of size classes, wide enough that linked sizes are in one class or in neighbouring ones."""
-    bounds = [1]
-    while len(bounds) < 3 or bounds[-2] <= largest:
-        step = bounds[-1]
-        for _ in range(CLASS_STEPS):
-            step = _least_larger(step, share)
-        bounds.append(step)
-    return np.array(bounds, np.int64)
 
+def gram_hashes(text: bytes | None, gram: int, known: WordHashes) -> np.ndarray:
+    """Sorted distinct hashes of the text's n-grams; bytes are lower-cased and split at ASCII white space only."""
+    ws = (text or b"").lower().split()
+    if not ws:
+        return np.empty(0, np.uint64)
+    one = np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
+    width = min(gram, len(ws))
+    many = one[: len(one) - width + 1].copy()
+    for k in range(1, width):
+        many = many * np.uint64(0x9E3779B97F4A7C15) + one[k : len(one) - width + 1 + k]
+    many = (many ^ (many >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.unique(many ^ (many >> np.uint64(29)))
 
-@cache
-def _spare(least: int, parts: int) -> int:
-    """How many more parts than ``parts`` leave few sets of ``least`` n-grams with more empty ones than that."""
-    best = (2.0, 0)
-    for e in range(parts + 1):
-        mean = (parts + e) * math.exp(-least / (parts + e))
-        more = 1 - sum(math.exp(-mean + k * math.log(mean) - math.lgamma(k + 1)) for k in range(e + 1))
-        best = min(best, (more, e))
-        if more < ODD_SETS:
-            break
-    return best[1]
 
+def node_of(hashes: np.ndarray) -> int:
+    """The name of a set."""
+    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
 
-def part_counts(bounds: np.ndarray, share: int = SHARE) -> tuple[np.ndarray, np.ndarray]:
-    """(parts, spare) per class.  Linked sets agree in more than ``spare`` of the parts if the larger is in that class.
 
-    Without ``spare`` the parts are one more than the n-grams by which such sets can differ.
-    """
-    least = 2 * (bounds[1:] - 1) * (SHARE_OF - share) // (SHARE_OF + share) + 1
-    smallest = -(-bounds * share // SHARE_OF)  # sets of the class below take part if they can link into this one
-    spare = np.array([_spare(int(b), int(n)) if n > 1 else 0 for b, n in zip(smallest, least)], np.int64)
-    return least + spare, spare
-
-
-def shingled(docs: DataFrame, gram: int = GRAM) -> DataFrame:
-    """doc_id, row (hash of id and text), n_shingles, node (hash of the set, null if empty), toks (sorted hashes)."""
-    key = F.xxhash64("doc_id", "text").alias("row")
-    one = texts(docs).select("doc_id", key, F.transform(words(lower_ascii(F.coalesce("text", F.lit("")))), lambda w: F.xxhash64(w)).alias("_one"))
-    many = F.transform("_one", lambda x, i: F.xxhash64(x, *[F.get("_one", i + k) for k in range(1, gram)])).alias("_many")
-    two = one.select("doc_id", "row", F.size("_one").alias("_n"), many)
-    kept = F.slice("_many", 1, F.greatest(F.col("_n") - (gram - 1), F.lit(1)))
-    sets = two.select("doc_id", "row", F.sort_array(F.array_distinct(kept)).alias("toks"))
-    return sets.select(
-        "doc_id", "row", F.size("toks").cast("long").alias("n_shingles"),
-        F.when(F.size("toks") > 0, F.xxhash64("toks")).alias("node"), "toks",
-    )
+def ordered(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The n-grams' numbers in the global order: six bits of level, 57 bits of hash."""
+    level = levels[(hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64)
+    return np.sort(((level << np.uint64(57)) | (hashes >> np.uint64(7))).astype(np.int64))
 
 
-def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(flat values, sizes) of a list column."""
-    return column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
+def prefix_length(size: int, share: int) -> int:
+    """How many first n-grams of a set hold one of every set that links with it."""
+    return size - -(-size * share // SHARE_OF) + 1
 
 
-def part_signatures(flat: np.ndarray, sizes: np.ndarray, share: int = SHARE) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) of every part of every set, for the class of its size, and for the next one if it can link into it.
+def parity_sketch(grams: np.ndarray) -> np.ndarray:
+    """Longs whose bits say whether an odd number of n-grams fell on them."""
+    bits = np.bincount(grams & (64 * SKETCH_LONGS - 1), minlength=64 * SKETCH_LONGS) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
-    A class of one part would tie equal sets only, so it gives none.  Empty parts count only in sets that have more of
-    them than their class has spare parts: two linked sets agree in more parts than that, so in one that
-    holds n-grams, or else both have too many empty ones.
-    """
-    bounds = size_classes(int(sizes.max(initial=1)), share)
-    parts, spare = part_counts(bounds, share)
-    own = np.searchsorted(bounds, sizes, side="right") - 1
-    grams = flat.view(np.uint64)
-    mixed = (grams ^ (grams >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    rows, out = [], []
-    for step in (0, 1):
-        takes_part = SHARE_OF * sizes >= share * bounds[own + 1] if step else sizes > 0
-        count = np.where((parts[own + step] > 1) & takes_part, parts[own + step], 0)
-        base = np.cumsum(count) - count
-        used = np.repeat(count > 0, sizes)
-        place = np.repeat(base, sizes)[used] + (grams[used] % np.repeat(count, sizes)[used].astype(np.uint64)).astype(np.int64)
-        sums = np.zeros(int(count.sum()), np.uint64)
-        np.add.at(sums, place, mixed[used])
-        row = np.repeat(np.arange(len(sizes)), count)
-        empty = np.bincount(place, minlength=len(sums)) == 0
-        given = ~empty | (np.bincount(row[empty], minlength=len(sizes)) > spare[own + step])[row]
-        part = (np.arange(len(sums)) - np.repeat(base, count)).astype(np.uint64)
-        kind = (own[row] + step).astype(np.uint64)
-        key = (sums ^ (part * np.uint64(0x9E3779B97F4A7C15) + kind)) * np.uint64(0x94D049BB133111EB)
-        rows.append(row[given])
-        out.append((key ^ (key >> np.uint64(32))).view(np.int64)[given])
-    return np.concatenate(rows), np.concatenate(out)
-
-
-def signatures(sets: DataFrame, share: int = SHARE) -> DataFrame:
-    """(sign, node): the part signatures of every set."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat, sizes = _lists(batch.column(1))
-            if not len(flat):
-                continue
-            rows, signs = part_signatures(flat.astype(np.int64), sizes.astype(np.int64), share)
-            node = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(signs), pa.array(node[rows])], names=["sign", "node"])
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), F.col("text").cast("binary").alias("text"))
 
-    return map_arrow(sets.where("node IS NOT NULL").select("node", "toks"), run, "sign bigint, node bigint")
 
+def profile(docs: DataFrame, gram: int = GRAM) -> tuple[DataFrame, np.ndarray]:
+    """((doc_id, row, n_shingles, node), levels): the texts' nodes (null if empty) and the levels of the order's buckets."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
 
-def groups(signed: DataFrame) -> DataFrame:
-    """(node, root): nodes that may link, by candidate group.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = WordHashes(), np.zeros(BUCKETS, np.int64)
+        schema = None
+        for batch in batches:
+            sets = [gram_hashes(t, gram, known) for t in batch.column(2).to_pylist()]
+            sizes, nodes = [len(h) for h in sets], [node_of(h) if len(h) else None for h in sets]
+            flat = np.concatenate(sets or [np.empty(0, np.uint64)])
+            counts += np.bincount((flat >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=BUCKETS)
+            none = pa.nulls(len(sizes), pa.int64())
+            out = pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none, none],
+                names=["doc_id", "row", "n_shingles", "node", "bucket", "n"],
+            )
+            schema = out.schema
+            yield out
+        if schema is not None:
+            used = np.flatnonzero(counts)
+            blank = [pa.nulls(len(used), f.type) for f in list(schema)[:4]]
+            yield pa.RecordBatch.from_arrays([*blank, pa.array(used), pa.array(counts[used])], schema=schema)
+
+    told = stage(map_arrow(_keyed(docs), run, f"doc_id {id_type}, row bigint, n_shingles bigint, node bigint, bucket bigint, n bigint"))
+    counted = told.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    levels = np.zeros(BUCKETS, np.uint8)
+    levels[counted.column("bucket").to_numpy()] = np.minimum(63, 2 * np.log2(counted.column("n").to_numpy()))
+    return told.where("bucket IS NULL").select("doc_id", "row", "n_shingles", "node"), levels
+
+
+def postings(docs: DataFrame, levels: np.ndarray, gram: int, share: int, wide: bool) -> DataFrame:
+    """(gram, node) of the first n-grams of every set; if ``wide`` also size, place and parity sketch."""
+    names = ["gram", "node"] + (["size", "place"] + [f"p{k}" for k in range(SKETCH_LONGS)] if wide else [])
 
-    Only signatures of two or more nodes matter.  They are found by an aggregation that combines before its
-    shuffle; a broadcast bitmap of them then keeps the other rows from shuffling again.
-    """
-    shared = stage(
-        signed.groupBy("sign").agg(F.min("node").alias("a"), F.max("node").alias("_hi")).where("a <> _hi").select("sign", "a")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            parts: list[list[np.ndarray]] = [[] for _ in names]
+            for t in batch.column(2).to_pylist():
+                h = gram_hashes(t, gram, known)
+                if not len(h):
+                    continue
+                grams, node = ordered(h, levels), node_of(h)
+                p = prefix_length(len(grams), share)
+                row = [grams[:p], np.full(p, node, np.int64)]
+                if wide:
+                    row += [np.full(p, len(grams), np.int64), np.arange(p), *(np.full(p, x, np.int64) for x in parity_sketch(grams))]
+                for part, values in zip(parts, row):
+                    part.append(values)
+            if parts[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in parts], names=names)
+
+    return map_arrow(_keyed(docs), run, ", ".join(f"{n} bigint" for n in names))
+
+
+def shared_postings(docs: DataFrame, levels: np.ndarray, gram: int, share: int) -> DataFrame:
+    """Wide postings of n-grams that two or more nodes post, one per n-gram and node."""
+    slim = postings(docs, levels, gram, share, False).groupBy("gram").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi"))
+    shared = stage(slim.where("_lo <> _hi").select("gram"))
+    near = maybe_member(postings(docs, levels, gram, share, True), shared, "gram", filter_bits(shared.count()), "_near").where("_near").drop("_near")
+    rest = [c for c in near.columns if c not in ("gram", "node")]
+    return stage(near.groupBy("gram", "node").agg(*[F.min(c).alias(c) for c in rest]).join(shared, "gram", "left_semi"))
+
+
+def _may_link(share: int):
+    """Condition on postings ``x`` and ``y`` of one n-gram that all links fulfil where their first common n-gram is this one."""
+    both = F.col("x.size") + F.col("y.size")
+    most = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))  # largest possible overlap
+    unlike = sum((F.bit_count(F.col(f"x.p{k}").bitwiseXOR(F.col(f"y.p{k}"))) for k in range(SKETCH_LONGS)), F.lit(0))
+    enough = (share + SHARE_OF) * most >= share * both
+    # sets that link differ in both - 2 * overlap n-grams, with overlap >= share / (share + SHARE_OF) * both
+    return enough & ((share + SHARE_OF) * unlike <= (SHARE_OF - share) * both)
+
+
+def _owned(pairs: DataFrame) -> DataFrame:
+    """(gram, a, b): every pair once, at the smallest n-gram where it came up."""
+    return pairs.groupBy("a", "b").agg(F.min("gram").alias("gram"))
+
+
+def first_pairs(posted: DataFrame, share: int) -> DataFrame:
+    """Every node with the smallest node of its posting, as far as they may link."""
+    facts = [c for c in posted.columns if c not in ("gram", "node")]
+    least = posted.groupBy("gram").agg(F.min(F.struct("node", *facts)).alias("_y")).select("gram", "_y.*")
+    met = least.alias("x").join(posted.alias("y"), "gram").where((F.col("x.node") < F.col("y.node")) & _may_link(share))
+    return _owned(met.select("gram", F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+
+
+def other_pairs(posted: DataFrame, found: DataFrame, share: int) -> DataFrame:
+    """Pairs that may link and that ``found`` (node, root) does not connect."""
+    named = posted.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = named.groupBy("gram").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("gram")
+    open_ = stage(named.join(mixed, "gram", "left_semi"))
+    met = open_.alias("x").join(open_.alias("y"), "gram").where(
+        (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & _may_link(share)
     )
-    near = maybe_member(signed, shared, "sign", filter_bits(shared.count()), "_near").where("_near")
-    return components(near.join(shared, "sign").select("a", F.col("node").alias("b")))
+    return _owned(met.select("gram", F.col("x.node").alias("a"), F.col("y.node").alias("b")))
 
 
 def maybe_member(df: DataFrame, members: DataFrame, key: str, bits: int, flag: str) -> DataFrame:
@@ -265,8 +296,7 @@ class Tree:
 
 
 def link_block(nodes: list[int], sides: list[int], sets: list[np.ndarray], share: int = SHARE) -> list[tuple[int, int]]:
-    """Links that connect the nodes of a pair of blocks; side 0 is the tree, side 1 probes, side 2 does both."""
-    own = {n: i for i, n in enumerate(nodes)}
+    """Links that connect the nodes of a piece; side 0 is the tree, side 1 probes, a node may be on both."""
     parent = list(range(len(nodes)))
 
     def find(i: int) -> int:
@@ -275,8 +305,8 @@ def link_block(nodes: list[int], sides: list[int], sets: list[np.ndarray], share
             i = parent[i]
         return i
 
-    inner = [i for i, s in enumerate(sides) if s != 1]
-    if not inner or not own:
+    inner = [i for i, s in enumerate(sides) if s == 0]
+    if not inner:
         return []
     tree, out = Tree([sets[i] for i in inner], share), []
     for i, s in enumerate(sides):
@@ -291,71 +321,84 @@ def link_block(nodes: list[int], sides: list[int], sets: list[np.ndarray], share
     return out
 
 
-def links(sets: DataFrame, grouped: DataFrame, share: int = SHARE) -> DataFrame:
-    """(a, b): exact links that connect what links within candidate groups."""
-    sizes = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("_g"))
-    n_blocks = F.ceil(F.col("_g") / BLOCK).cast("int")
-    dealt = grouped.join(sizes, "root").select("node", "root", n_blocks.alias("_nb")).withColumn(
-        "_b", F.pmod(F.xxhash64("node", F.lit(17)), F.col("_nb").cast("long")).cast("int")
-    )
-    one = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    # only the row that stands for its node is fetched, not the node's copies
-    members = stage(dealt.join(one, "node").withColumn("_at", F.xxhash64("node", "doc_id")).drop("doc_id"))
-    given = sets.where("node IS NOT NULL").select("toks", F.xxhash64("node", "doc_id").alias("_at"))
-    near = maybe_member(given, members, "_at", filter_bits(members.count()), "_near").where("_near").drop("_near")
-    held = near.join(members, "_at")
-    work = F.explode(
-        F.transform(
-            F.sequence(F.lit(0), F.col("_nb") - 1),
-            lambda k: F.struct(
-                F.least(k, F.col("_b")).alias("i"), F.greatest(k, F.col("_b")).alias("j"),
-                F.when(k == F.col("_b"), 2).when(F.col("_b") < k, 0).otherwise(1).alias("side"),
-            ),
-        )
-    )
-    rows = held.select("root", "node", "toks", work.alias("w")).select("root", "w.i", "w.j", "w.side", "node", "toks")
-    keyed = rows.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "node")
+def whole_sets(docs: DataFrame, levels: np.ndarray, gram: int, wanted: DataFrame) -> DataFrame:
+    """(node, toks) for the rows whose hashes are in ``wanted`` (row); the other texts only meet a bitmap."""
+    near = maybe_member(_keyed(docs), wanted, "row", filter_bits(wanted.count()), "_near").where("_near").drop("_near")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, nodes, sides, sets_, out = None, [], [], [], []
+        known = WordHashes()
         for batch in batches:
-            flat, sizes = _lists(batch.column(5))
-            ends = np.cumsum(sizes).tolist()
-            keys = list(zip(*(batch.column(c).to_pylist() for c in range(3))))
-            for k, side, node, end, n in zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist(), ends, sizes.tolist()):
+            rows, nodes, sets = [], [], []
+            for row, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                h = gram_hashes(t, gram, known)
+                if len(h):
+                    rows.append(row)
+                    nodes.append(node_of(h))
+                    sets.append(ordered(h, levels).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["row", "node", "toks"]
+            )
+
+    return map_arrow(near, run, "row bigint, node bigint, toks binary").join(wanted, "row", "left_semi").select("node", "toks")
+
+
+def links(docs: DataFrame, own: DataFrame, pairs: DataFrame, levels: np.ndarray, gram: int, share: int) -> DataFrame:
+    """(a, b): exact links among the pairs (gram, a, b), enough to connect what links; ``own`` is (node, row)."""
+    pairs = stage(pairs)
+
+    # pairs of an n-gram are dealt by both of their nodes, so no tree holds more than its share of a hot n-gram
+    count = lambda c: F.ceil(F.approx_count_distinct(c) / BLOCK).cast("long").alias(f"_n{c}")
+    block = lambda c: F.pmod(F.xxhash64(c, F.lit(17)), F.greatest(f"_n{c}", F.lit(1)))
+    cut = pairs.join(pairs.groupBy("gram").agg(count("a"), count("b")), "gram")
+    cut = stage(cut.select("gram", block("a").alias("i"), block("b").alias("j"), "a", "b"))
+    work = cut.select("gram", "i", "j", F.col("a").alias("node"), F.lit(0).alias("side")).unionByName(
+        cut.select("gram", "i", "j", F.col("b").alias("node"), F.lit(1).alias("side"))
+    ).distinct()
+    wanted = stage(own.join(work.select("node").distinct(), "node", "left_semi").select("row"))
+    held = work.join(whole_sets(docs, levels, gram, wanted).groupBy("node").agg(F.first("toks").alias("toks")), "node")
+    keyed = held.select("gram", "i", "j", "side", "node", "toks").repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "side", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, nodes, sides, sets, out = None, [], [], [], []
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in range(3)))
+            for k, side, node, toks in zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist()):
                 if k != key:
-                    out += link_block(nodes, sides, sets_, share)
-                    key, nodes, sides, sets_ = k, [], [], []
-                if nodes and nodes[-1] == node:  # a repeated row
-                    continue
+                    out += link_block(nodes, sides, sets, share)
+                    key, nodes, sides, sets = k, [], [], []
                 nodes.append(node)
                 sides.append(side)
-                sets_.append(flat[end - n : end].astype(np.int64))
-        out += link_block(nodes, sides, sets_, share)
+                sets.append(np.frombuffer(toks, np.int64))
+        out += link_block(nodes, sides, sets, share)
         yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
 
-    return map_arrow(keyed, run, "a bigint, b bigint")
+    return stage(map_arrow(keyed, run, "a bigint, b bigint"))
 
 
-def node_roots(sets: DataFrame, share: int = SHARE) -> DataFrame:
+def node_roots(docs: DataFrame, sets: DataFrame, levels: np.ndarray, gram: int, share: int) -> DataFrame:
     """(node, root) of nodes that link with another."""
-    return components(links(sets, groups(signatures(sets, share)), share))
+    own = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row"))
+    posted = shared_postings(docs, levels, gram, share)
+    first = links(docs, own, first_pairs(posted, share), levels, gram, share)
+    rest = links(docs, own, other_pairs(posted, components(first), share), levels, gram, share)
+    return components(first.unionByName(rest))
 
 
-def _ids(sets: DataFrame, share: int = SHARE) -> DataFrame:
+def _ids(sets: DataFrame, roots: DataFrame) -> DataFrame:
     """(node, component_id): the smallest id among the rows of a node's component."""
     own = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("_least"))
-    named = own.join(node_roots(sets, share), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("_least").alias("component_id"))
     return named.join(least, "root").select("node", "component_id")
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, gram: int = GRAM, share: int = SHARE) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    sets = stage(shingled(docs))
+    sets, levels = profile(docs, gram)
     rows = sets.select("doc_id", "n_shingles", "node")
+    ids = _ids(sets, node_roots(docs, sets, levels, gram, share))
     return (
-        rows.where("node IS NOT NULL").join(_ids(sets), "node").select("doc_id", "n_shingles", "component_id")
+        rows.where("node IS NOT NULL").join(ids, "node").select("doc_id", "n_shingles", "component_id")
         .unionByName(rows.where("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     )
 
@@ -369,10 +412,10 @@ def deduplicate(docs: DataFrame, gram: int = GRAM, share: int = SHARE) -> DataFr
     dropped nor repeated pass without a shuffle: a broadcast bitmap tells them apart.
     """
     row, flag, whole = (free_name(docs, n) for n in ("_row", "_flag", "_whole"))
-    sets = stage(shingled(docs, gram))
+    sets, levels = profile(docs, gram)
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     rows = sets.where("node IS NOT NULL").groupBy("node", "doc_id", "row").agg(F.count(F.lit(1)).alias("n"))
-    named = rows.join(_ids(sets, share), "node")
+    named = rows.join(_ids(sets, node_roots(docs, sets, levels, gram, share)), "node")
     best = named.groupBy("component_id").agg(F.min(rank).alias("best"))
     told = named.alias("r").join(
         best.alias("b"), F.col("r.component_id").eqNullSafe(F.col("b.component_id"))

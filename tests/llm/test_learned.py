@@ -257,27 +257,35 @@ def test_near_stage_takes_five_words_and_four_fifths(spark):
 
 
 @pytest.mark.parametrize("share", [80, 90])
-def test_linked_sets_share_a_signature(share):
-    """Also where parts are empty, and few sets that do not link are tied."""
+def test_linked_sets_meet_in_their_first_ngrams(share):
+    """They have a common n-gram among the first of both, and differ in no fewer n-grams than their sketches tell."""
     rng = np.random.default_rng(7)
-    for size in (5, 8, 20, 60, 200, 900):
-        most = 2 * size * (100 - share) // (200 - (100 - share)) // 2
-        pairs, others = [], []
-        for _ in range(60):
-            a = rng.integers(-(2**62), 2**62, size)
-            b = np.concatenate([a[most:], rng.integers(-(2**62), 2**62, most)])
-            pairs.append((a, b))
-            others.append(a)
-        for a, b in pairs:
-            both, all_ = len(np.intersect1d(a, b)), len(np.union1d(a, b))
-            if 100 * both >= share * all_ and both < all_:
-                _, x = ngram_join.part_signatures(a, np.array([len(a)]), share)
-                _, y = ngram_join.part_signatures(b, np.array([len(b)]), share)
-                assert set(x.tolist()) & set(y.tolist())
-        rows, signs = ngram_join.part_signatures(np.concatenate(others), np.array([size] * 60), share)
-        again = collections.Counter(signs.tolist())
-        tied = {r for r, s in zip(rows.tolist(), signs.tolist()) if again[s] > 1}
-        assert size < 60 or len(tied) <= 2
+    levels = rng.integers(0, 40, ngram_join.BUCKETS).astype(np.uint8)
+    for size in (1, 2, 5, 8, 20, 60, 200, 900):
+        most = size * (100 - share) // 100
+        for k in range(60):
+            a = rng.integers(0, 2**64, size, np.uint64)
+            b = np.concatenate([a[most:], rng.integers(0, 2**64, rng.integers(0, most + 1), np.uint64)])
+            x, y = ngram_join.ordered(a, levels), ngram_join.ordered(b, levels)
+            both, union = len(np.intersect1d(x, y)), len(np.union1d(x, y))
+            flips = (ngram_join.parity_sketch(x) ^ ngram_join.parity_sketch(y)).view(np.uint64)
+            assert sum(int(f).bit_count() for f in flips) <= union - both
+            if 100 * both >= share * union:
+                assert np.intersect1d(x[: ngram_join.prefix_length(len(x), share)], y[: ngram_join.prefix_length(len(y), share)]).size
+
+
+@pytest.mark.parametrize("gram, share", [(3, 90), (5, 80)])
+def test_tested_pairs_grow_with_the_documents(spark, gram, share):
+    """From sf 0.001 to sf 0.01, ten times the documents; copies of near copies cost a line."""
+    tested = []
+    for sf in ("0.001", "0.01"):
+        docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+        sets, levels = ngram_join.profile(docs, gram)
+        posted = ngram_join.shared_postings(docs, levels, gram, share)
+        roots = ngram_join.node_roots(docs, sets, levels, gram, share)
+        tested.append(ngram_join.first_pairs(posted, share).count() + ngram_join.other_pairs(posted, roots, share).count())
+    print(tested)
+    assert tested[1] <= 15 * max(tested[0], 5)
 
 
 def test_secrets_glued_to_names_and_paths(spark):
