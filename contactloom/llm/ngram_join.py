@@ -6,9 +6,10 @@ A text's set is its distinct word n-grams as 63-bit numbers.  Equal sets are one
 1. One pass counts n-grams in ``BUCKETS`` buckets and names every text's node.  The counts give the global order: an
    n-gram's number starts with the level of its bucket, so rare ones come first.  Any order gives the same links.
 2. Two sets that link have a common n-gram among the first ``size - ceil(share) + 1`` of both.  Only these n-grams are
-   posted, and first without anything wide: those posted by one node only are dropped.
-3. A posting holds size, place and a parity sketch of its set.  Every n-gram by which two sets differ flips one bit, so
-   pairs with more unlike bits than linked sets can have are out, as are those whose sizes or places rule out a link.
+   posted, and those posted by one node only are dropped.
+3. A posting holds the size and a parity sketch of its set.  Every n-gram by which two sets differ flips one bit, so
+   pairs with more unlike bits than linked sets can have are out.  So are pairs of unlike sizes, and those with fewer
+   common first n-grams than links have: some 5 percent of the size at 90, 9 at 80.
 4. Surviving pairs go to the smallest n-gram they share, and only there their sets travel.  The sets below an n-gram stand
    in a tree of shared beginnings; a probe walks it, adds up the overlap once for all sets below, and leaves a branch when
    the remaining lengths cannot reach the threshold.  Links found are exact.
@@ -132,61 +133,69 @@ def profile(docs: DataFrame, gram: int = GRAM) -> tuple[DataFrame, np.ndarray]:
     return told.where("bucket IS NULL").select("doc_id", "row", "n_shingles", "node"), levels
 
 
-def postings(docs: DataFrame, levels: np.ndarray, gram: int, share: int, wide: bool) -> DataFrame:
-    """(gram, node) of the first n-grams of every set; if ``wide`` also size, place and parity sketch."""
-    names = ["gram", "node"] + (["size", "place"] + [f"p{k}" for k in range(SKETCH_LONGS)] if wide else [])
+def postings(docs: DataFrame, levels: np.ndarray, gram: int, share: int) -> DataFrame:
+    """(gram, node, size, parity sketch) of the first n-grams of every set."""
+    names = ["gram", "node", "size", *(f"p{k}" for k in range(SKETCH_LONGS))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            parts: list[list[np.ndarray]] = [[] for _ in names]
+            firsts, facts = [], []
             for t in batch.column(2).to_pylist():
                 h = gram_hashes(t, gram, known)
-                if not len(h):
-                    continue
-                grams, node = ordered(h, levels), node_of(h)
-                p = prefix_length(len(grams), share)
-                row = [grams[:p], np.full(p, node, np.int64)]
-                if wide:
-                    row += [np.full(p, len(grams), np.int64), np.arange(p), *(np.full(p, x, np.int64) for x in parity_sketch(grams))]
-                for part, values in zip(parts, row):
-                    part.append(values)
-            if parts[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in parts], names=names)
+                if len(h):
+                    grams = ordered(h, levels)
+                    firsts.append(grams[: prefix_length(len(grams), share)])
+                    facts.append((node_of(h), len(grams), *parity_sketch(grams).tolist()))
+            if firsts:
+                many = np.repeat(np.array(facts, np.int64), [len(f) for f in firsts], axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(firsts)), *(pa.array(many[:, k].copy()) for k in range(many.shape[1]))], names=names)
 
     return map_arrow(_keyed(docs), run, ", ".join(f"{n} bigint" for n in names))
 
 
 def shared_postings(docs: DataFrame, levels: np.ndarray, gram: int, share: int) -> DataFrame:
-    """Wide postings of n-grams that two or more nodes post, one per n-gram and node."""
-    slim = postings(docs, levels, gram, share, False).groupBy("gram").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi"))
-    shared = stage(slim.where("_lo <> _hi").select("gram"))
-    near = maybe_member(postings(docs, levels, gram, share, True), shared, "gram", filter_bits(shared.count()), "_near").where("_near").drop("_near")
+    """Postings of n-grams that two or more nodes post, one per n-gram and node."""
+    all_ = stage(postings(docs, levels, gram, share))
+    shared = stage(all_.groupBy("gram").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).where("_lo <> _hi").select("gram"))
+    near = maybe_member(all_, shared, "gram", filter_bits(shared.count()), "_near").where("_near").drop("_near")
     rest = [c for c in near.columns if c not in ("gram", "node")]
     return stage(near.groupBy("gram", "node").agg(*[F.min(c).alias(c) for c in rest]).join(shared, "gram", "left_semi"))
 
 
 def _may_link(share: int):
-    """Condition on postings ``x`` and ``y`` of one n-gram that all links fulfil where their first common n-gram is this one."""
-    both = F.col("x.size") + F.col("y.size")
-    most = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))  # largest possible overlap
+    """Condition on postings ``x`` and ``y`` of one n-gram that all links fulfil: like sizes and sketches.
+
+    Sets that link differ in size(x) + size(y) - 2 * overlap n-grams, with overlap >= share / (share + SHARE_OF) * (size(x) + size(y)).
+    """
+    x, y = F.col("x.size"), F.col("y.size")
     unlike = sum((F.bit_count(F.col(f"x.p{k}").bitwiseXOR(F.col(f"y.p{k}"))) for k in range(SKETCH_LONGS)), F.lit(0))
-    enough = (share + SHARE_OF) * most >= share * both
-    # sets that link differ in both - 2 * overlap n-grams, with overlap >= share / (share + SHARE_OF) * both
-    return enough & ((share + SHARE_OF) * unlike <= (SHARE_OF - share) * both)
+    return (SHARE_OF * F.least(x, y) >= share * F.greatest(x, y)) & ((share + SHARE_OF) * unlike <= (SHARE_OF - share) * (x + y))
+
 
+def least_common(small: int, large: int, share: int) -> int:
+    """How many n-grams the first ones of two linked sets of these sizes have in common at least."""
+    return -(-share * (small + large) // (share + SHARE_OF)) - -(-share * large // SHARE_OF) + 1
 
-def _owned(pairs: DataFrame) -> DataFrame:
-    """(gram, a, b): every pair once, at the smallest n-gram where it came up."""
-    return pairs.groupBy("a", "b").agg(F.min("gram").alias("gram"))
+
+def _pairs(met: DataFrame, share: int) -> DataFrame:
+    """(gram, a, b): pairs with enough common first n-grams, each at the smallest n-gram where it came up.
+
+    Of the two sets' first n-grams, take those that end earlier in the order: all of them that the other set holds are among
+    its first ones too, and a set lacks at most size - overlap of the other's.
+    """
+    up = lambda top, by: F.expr(f"({top} + {by - 1}) div {by}")
+    least = up(f"{share} * (x.size + y.size)", share + SHARE_OF) - up(f"{share} * greatest(x.size, y.size)", SHARE_OF) + 1
+    told = met.select("gram", F.col("x.node").alias("a"), F.col("y.node").alias("b"), least.alias("_least"))
+    common = told.groupBy("a", "b").agg(F.min("gram").alias("gram"), F.count(F.lit(1)).alias("_n"), F.min("_least").alias("_least"))
+    return common.where("_n >= _least").select("gram", "a", "b")
 
 
 def first_pairs(posted: DataFrame, share: int) -> DataFrame:
-    """Every node with the smallest node of its posting, as far as they may link."""
+    """Nodes with the smallest node of their postings, where they may link."""
     facts = [c for c in posted.columns if c not in ("gram", "node")]
     least = posted.groupBy("gram").agg(F.min(F.struct("node", *facts)).alias("_y")).select("gram", "_y.*")
-    met = least.alias("x").join(posted.alias("y"), "gram").where((F.col("x.node") < F.col("y.node")) & _may_link(share))
-    return _owned(met.select("gram", F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+    return _pairs(least.alias("x").join(posted.alias("y"), "gram").where((F.col("x.node") < F.col("y.node")) & _may_link(share)), share)
 
 
 def other_pairs(posted: DataFrame, found: DataFrame, share: int) -> DataFrame:
@@ -194,10 +203,8 @@ def other_pairs(posted: DataFrame, found: DataFrame, share: int) -> DataFrame:
     named = posted.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = named.groupBy("gram").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("gram")
     open_ = stage(named.join(mixed, "gram", "left_semi"))
-    met = open_.alias("x").join(open_.alias("y"), "gram").where(
-        (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & _may_link(share)
-    )
-    return _owned(met.select("gram", F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
+    return _pairs(open_.alias("x").join(open_.alias("y"), "gram").where(apart & _may_link(share)), share)
 
 
 def maybe_member(df: DataFrame, members: DataFrame, key: str, bits: int, flag: str) -> DataFrame:
