@@ -14,7 +14,8 @@ A text's set is its distinct word n-grams as 63-bit numbers.  Equal sets are one
    in a tree of shared beginnings; a probe walks it, adds up the overlap once for all sets below, and leaves a branch when
    the remaining lengths cannot reach the threshold.  Links found are exact.
 5. In the first round every node meets the smallest node of its posting only, so a group of near copies costs a line.
-   In the second, all surviving pairs that the first round's links do not connect already are tested.
+   Of the surviving pairs not connected by that, every node tests the smallest partner in ``STAR_ROUNDS`` further rounds;
+   then all pairs that are still not connected are tested.
 6. Components are those of verified links; all copies of a set follow their node.
 
 Defined cases: a null text, or one without a word, has an empty set and links with nothing; with fewer words than an n-gram has the whole
@@ -48,6 +49,8 @@ BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 #: Bits of a parity sketch, kept as longs.
 SKETCH_LONGS = 4
+#: Rounds in which every node is tested against the smallest partner it has left, before all pairs left are tested.
+STAR_ROUNDS = 3
 #: Words whose hashes a task keeps.
 KEEP_WORDS = 500_000
 
@@ -386,9 +389,21 @@ def node_roots(docs: DataFrame, sets: DataFrame, levels: np.ndarray, gram: int,
     """(node, root) of nodes that link with another."""
     own = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row"))
     posted = shared_postings(docs, levels, gram, share)
-    first = links(docs, own, first_pairs(posted, share), levels, gram, share)
-    rest = links(docs, own, other_pairs(posted, components(first), share), levels, gram, share)
-    return components(first.unionByName(rest))
+    found = links(docs, own, first_pairs(posted, share), levels, gram, share)
+    left = stage(other_pairs(posted, stage(components(found)), share))
+    for _ in range(STAR_ROUNDS):
+        if left.isEmpty():
+            break
+        star = stage(left.groupBy("b").agg(F.min(F.struct("a", "gram")).alias("_s")).select("_s.gram", "_s.a", "b"))
+        found = stage(found.unionByName(links(docs, own, star, levels, gram, share)))
+        roots = stage(components(found))
+        named = left.join(star.select("a", "b"), ["a", "b"], "left_anti")
+        for side in ("a", "b"):
+            named = named.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"_{side}")), side, "left")
+        left = stage(named.where("NOT coalesce(_a, a) <=> coalesce(_b, b)").select("gram", "a", "b"))
+    if not left.isEmpty():
+        found = stage(found.unionByName(links(docs, own, left, levels, gram, share)))
+    return components(found)
 
 
 def _ids(sets: DataFrame, roots: DataFrame) -> DataFrame:
