@@ -14,8 +14,8 @@ A text's set is its distinct word n-grams as 63-bit numbers.  Equal sets are one
    in a tree of shared beginnings; a probe walks it, adds up the overlap once for all sets below, and leaves a branch when
    the remaining lengths cannot reach the threshold.  Links found are exact.
 5. In the first round every node meets the smallest node of its posting only, so a group of near copies costs a line.
-   Of the surviving pairs not connected by that, every node tests the smallest partner in ``STAR_ROUNDS`` further rounds;
-   then all pairs that are still not connected are tested.
+   Where more than ``STAR_GAIN`` pairs a node are left unconnected, every node tests the smallest partner in up to
+   ``STAR_ROUNDS`` further rounds; then all pairs that are still not connected are tested.  Later links only join roots.
 6. Components are those of verified links; all copies of a set follow their node.
 
 Defined cases: a null text, or one without a word, has an empty set and links with nothing; with fewer words than an n-gram has the whole
@@ -51,6 +51,8 @@ BUCKETS = 1 << BUCKET_BITS
 SKETCH_LONGS = 4
 #: Rounds in which every node is tested against the smallest partner it has left, before all pairs left are tested.
 STAR_ROUNDS = 3
+#: Pairs left a node from which on such a round is worth its jobs.
+STAR_GAIN = 4
 #: Words whose hashes a task keeps.
 KEEP_WORDS = 500_000
 
@@ -385,25 +387,36 @@ def links(docs: DataFrame, own: DataFrame, pairs: DataFrame, levels: np.ndarray,
     return stage(map_arrow(keyed, run, "a bigint, b bigint"))
 
 
+def joined_roots(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after further links (a, b): only the roots that these touch are gone through again."""
+    for side in ("a", "b"):
+        known = roots.select(F.col("node").alias(side), F.col("root").alias("_root"))
+        found = found.join(known, side, "left").withColumn(side, F.coalesce("_root", side)).drop("_root")
+    moved = components(found.select("a", "b"))
+    ends = moved.select(F.col("node").alias("root"), F.col("root").alias("_end"))
+    old = roots.join(ends, "root", "left").select("node", F.coalesce("_end", "root").alias("root"))
+    return stage(old.unionByName(moved.join(roots, "node", "left_anti")))
+
+
 def node_roots(docs: DataFrame, sets: DataFrame, levels: np.ndarray, gram: int, share: int) -> DataFrame:
     """(node, root) of nodes that link with another."""
-    own = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row"))
+    own = stage(sets.where("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row")))
     posted = shared_postings(docs, levels, gram, share)
-    found = links(docs, own, first_pairs(posted, share), levels, gram, share)
-    left = stage(other_pairs(posted, stage(components(found)), share))
-    for _ in range(STAR_ROUNDS):
-        if left.isEmpty():
+    roots = components(links(docs, own, first_pairs(posted, share), levels, gram, share))
+    left = stage(other_pairs(posted, roots, share))
+    for turn in range(STAR_ROUNDS + 1):
+        n, nodes = left.agg(F.count(F.lit(1)), F.approx_count_distinct("b")).first()
+        if not n:
             break
+        if turn == STAR_ROUNDS or n <= STAR_GAIN * nodes:
+            return joined_roots(roots, links(docs, own, left, levels, gram, share))
         star = stage(left.groupBy("b").agg(F.min(F.struct("a", "gram")).alias("_s")).select("_s.gram", "_s.a", "b"))
-        found = stage(found.unionByName(links(docs, own, star, levels, gram, share)))
-        roots = stage(components(found))
+        roots = joined_roots(roots, links(docs, own, star, levels, gram, share))
         named = left.join(star.select("a", "b"), ["a", "b"], "left_anti")
         for side in ("a", "b"):
             named = named.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"_{side}")), side, "left")
         left = stage(named.where("NOT coalesce(_a, a) <=> coalesce(_b, b)").select("gram", "a", "b"))
-    if not left.isEmpty():
-        found = stage(found.unionByName(links(docs, own, left, levels, gram, share)))
-    return components(found)
+    return roots
 
 
 def _ids(sets: DataFrame, roots: DataFrame) -> DataFrame:
