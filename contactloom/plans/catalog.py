@@ -1262,3 +1262,28 @@ def stream_sync(spark, sf):
     stream = spark.readStream.schema(source.schema).parquet(f"{root}/changes")
     sync_stream(state, stream, f"{root}/checkpoint", inputs.owner_map(spark, sf)).awaitTermination()
     return state.target().select(*SNAPSHOT_COLS)
+
+
+@query(
+    "stream_dedup",
+    """SELECT id, count(*) AS n_changes, min(epoch_us(dateUpdated)) AS first_us, max(epoch_us(dateUpdated)) AS last_us
+       FROM (SELECT DISTINCT id, dateUpdated FROM delta_v) GROUP BY id""",
+)
+def stream_dedup(spark, sf):
+    """Change rows that arrive twice in one micro-batch and again after a restart reach the step once."""
+    from contactloom.streaming.repeats import without_repeats
+
+    root = shared_folder(spark)
+    rows = inputs.delta(spark, sf).select("ord", "id", "tags", "dateUpdated")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/seen/batch={batch_id}")
+
+    for wave in (rows.where("ord % 3 <> 0").unionByName(rows.where("ord % 5 = 1")), rows):
+        wave.write.mode("append").parquet(f"{root}/changes")
+        stream = without_repeats(spark.readStream.schema(rows.schema).parquet(f"{root}/changes"))
+        stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    micros = F.unix_micros(F.col("dateUpdated").cast("timestamp"))
+    return spark.read.schema(rows.schema).parquet(f"{root}/seen").groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_changes"), F.min(micros).alias("first_us"), F.max(micros).alias("last_us")
+    )

@@ -15,6 +15,7 @@ from contactloom import rules
 from contactloom.operators import runs, upsert, windows
 from contactloom.plans import jobs
 from contactloom.sources.staging import stage
+from contactloom.streaming.repeats import without_repeats
 from contactloom.streaming.state import SyncState, from_micros, now, resolve_window
 
 
@@ -107,18 +108,25 @@ def sync_stream(
     max_failure_rate: float = rules.MAX_FAILURE_RATE,
     exclude_tags: list[str] = rules.LOOP_GUARD_TAGS,
     catalog: DataFrame | None = None,
+    repeats_within: str | None = None,
 ):
     """Start an ``availableNow`` query over a stream of changed contacts.
 
     A micro-batch above the failure limit raises: its offsets stay uncommitted
     and the same rows are replayed at the next start.
+    With ``repeats_within`` (such as ``"7 days"``) a change that arrived before in that time is left out by a state store;
+    choose it before the first start, as a checkpoint keeps its operators.
     """
+    if repeats_within:
+        changes = without_repeats(changes, repeats_within)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         head = state.head()
         if head["batch_id"] is not None and batch_id <= head["batch_id"]:
             return  # already committed
         seq = head["seq"] + 1
+        if repeats_within:
+            batch = stage(batch, f"{state.root}/staged/batch={batch_id}")  # the state is gone through once
         edge = batch.agg(
             F.unix_micros(F.min("dateUpdated")), F.unix_micros(F.max("dateUpdated")), F.count_if(F.col("dateUpdated").isNull())
         ).first()
