@@ -14,7 +14,7 @@ A text's set is its distinct word n-grams as 63-bit numbers.  Equal sets are one
    in a tree of shared beginnings; a probe walks it, adds up the overlap once for all sets below, and leaves a branch when
    the remaining lengths cannot reach the threshold.  Links found are exact.
 5. In the first round every node meets the smallest node of its posting only, so a group of near copies costs a line.
-   Where more than ``STAR_GAIN`` pairs a node are left unconnected, every node tests the smallest partner in up to
+   Then the nodes of every posting that is still not connected meet ``PIVOTS`` drawn nodes of it.  Where more than ``STAR_GAIN`` pairs a node are left unconnected, every node tests the smallest partner in up to
    ``STAR_ROUNDS`` further rounds; then all pairs that are still not connected are tested.  Later links only join roots.
 6. Components are those of verified links; all copies of a set follow their node.
 
@@ -49,6 +49,8 @@ BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 #: Bits of a parity sketch, kept as longs.
 SKETCH_LONGS = 4
+#: Nodes drawn from every posting, which the others meet before all pairs do.
+PIVOTS = 8
 #: Rounds in which every node is tested against the smallest partner it has left, before all pairs left are tested.
 STAR_ROUNDS = 3
 #: Pairs left a node from which on such a round is worth its jobs.
@@ -203,11 +205,24 @@ def first_pairs(posted: DataFrame, share: int) -> DataFrame:
     return _pairs(least.alias("x").join(posted.alias("y"), "gram").where((F.col("x.node") < F.col("y.node")) & _may_link(share)), share)
 
 
-def other_pairs(posted: DataFrame, found: DataFrame, share: int) -> DataFrame:
-    """Pairs that may link and that ``found`` (node, root) does not connect."""
+def open_postings(posted: DataFrame, found: DataFrame) -> DataFrame:
+    """Postings, with their roots, of n-grams that ``found`` (node, root) does not connect."""
     named = posted.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = named.groupBy("gram").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("gram")
-    open_ = stage(named.join(mixed, "gram", "left_semi"))
+    return stage(named.join(mixed, "gram", "left_semi"))
+
+
+def pivot_pairs(open_: DataFrame, share: int) -> DataFrame:
+    """Nodes with up to ``PIVOTS`` drawn nodes of their postings, where they may link and are not connected."""
+    facts = F.struct(*[c for c in open_.columns if c != "gram"])
+    drawn = [F.min_by(facts, F.struct(F.xxhash64("node", F.lit(k)), "node")) for k in range(PIVOTS)]
+    pivots = open_.groupBy("gram").agg(F.array_distinct(F.array(*drawn)).alias("_p")).select("gram", F.inline("_p"))
+    met = pivots.alias("x").join(open_.alias("y"), "gram").where((F.col("x.root") != F.col("y.root")) & _may_link(share))
+    return _pairs(met, share)
+
+
+def other_pairs(open_: DataFrame, share: int) -> DataFrame:
+    """Pairs that may link and are not connected."""
     apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
     return _pairs(open_.alias("x").join(open_.alias("y"), "gram").where(apart & _may_link(share)), share)
 
@@ -403,7 +418,9 @@ def node_roots(docs: DataFrame, sets: DataFrame, levels: np.ndarray, gram: int,
     own = stage(sets.where("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row")))
     posted = shared_postings(docs, levels, gram, share)
     roots = components(links(docs, own, first_pairs(posted, share), levels, gram, share))
-    left = stage(other_pairs(posted, roots, share))
+    open_ = open_postings(posted, roots)
+    roots = joined_roots(roots, links(docs, own, pivot_pairs(open_, share), levels, gram, share))
+    left = stage(other_pairs(open_postings(posted, roots), share))
     for turn in range(STAR_ROUNDS + 1):
         n, nodes = left.agg(F.count(F.lit(1)), F.approx_count_distinct("b")).first()
         if not n:
