@@ -92,9 +92,14 @@ def clean_contacts(df: DataFrame, keep_issues: bool = True) -> DataFrame:
 
 
 def issue_counts(cleaned: DataFrame) -> DataFrame:
-    """Rows per cleaning rule."""
+    """Rows per cleaning rule.
+
+    A plain ``explode`` makes Spark filter on the size of ``issues`` below the cleaning, where every rule is spelled out
+    again; the outer one leaves it to the codes.
+    """
     return (
-        cleaned.select(F.explode("issues").alias("code"))
+        cleaned.select(F.explode_outer("issues").alias("code"))
+        .where("code IS NOT NULL")
         .groupBy("code")
         .agg(F.count(F.lit(1)).alias("n"))
     )
