@@ -4,7 +4,8 @@ The rules compare e-mails, phones and edit distances of two records with the
 same normalised name.  Records are first reduced to distinct *profiles*
 (name, e-mail, phone): a group of copies is one profile with a member count.
 
-Pairs come from equality joins, whatever the size of a name block:
+A name of few e-mails (``SMALL_BLOCK``) is compared with itself, which costs less than the keys below.  In larger blocks
+pairs come from equality joins, whatever the size:
 
 * profiles with the same usable phone: all of them qualify;
 * e-mails with the same local part of four characters or more;
@@ -20,6 +21,7 @@ name.  E-mail pairs are made distinct before they are expanded to profiles, and
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,7 @@ AUTO, REVIEW = "auto-merge", "manual-review"  # fixed values
 MAX_EDITS = 4  # fixed value: largest e-mail distance any rule accepts
 LOCAL_CHARS = 4  # fixed value: shortest local part that pairs records by itself
 SHORT_EDITS = 2  # fixed value: largest distance of domains, beyond that of local parts, any rule accepts
+SMALL_BLOCK = 48  # e-mails of a name that are all compared; an e-mail of a larger block asks for up to 49 keys in each join
 
 
 def records(target: DataFrame) -> DataFrame:
@@ -156,7 +159,18 @@ def _head_keys(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def email_pairs(profs: DataFrame) -> DataFrame:
     """(name_key, e1, e2): e-mails of one name that a rule accepts without a look at phones."""
-    given = stage(emails(profs))  # several joins read it
+    every = emails(profs)
+    sizes = every.groupBy("name_key").agg((F.count(F.lit(1)) <= SMALL_BLOCK).alias("few"))
+    every = stage(every.join(sizes, "name_key"))  # several joins read it
+    few, one = every.where("few"), F.struct("e", "l", "d", F.lit("").alias("p"))
+    small = few.select("name_key", one.alias("a")).join(few.select("name_key", one.alias("b")), "name_key").where("a.e < b.e")
+    direct = small.where(pair_reason("a", "b").isNotNull()).select("name_key", F.col("a.e").alias("e1"), F.col("b.e").alias("e2"))
+    large = every.where("NOT few").drop("few")
+    return direct if large.isEmpty() else direct.unionByName(_large_block_pairs(large))
+
+
+def _large_block_pairs(given: DataFrame) -> DataFrame:
+    """``email_pairs`` of names with many e-mails, by keys; every join reads ``given``."""
     fine = given.where("NOT odd")
     l, d = F.col("l"), F.col("d")
     shorter = F.length("a.e") <= F.length("b.e")
@@ -237,13 +251,30 @@ def copy_groups(profs: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_profiles(target: DataFrame) -> DataFrame:
+class Search(NamedTuple):
+    """One search, staged, for all results that need it: records, their profiles, qualifying profile pairs and copy groups."""
+
+    recs: DataFrame
+    profs: DataFrame
+    pairs: DataFrame
+
+
+def search(target: DataFrame) -> Search:
+    recs = stage(records(target))
+    profs = stage(profiles(recs))
+    return Search(recs, profs, stage(profile_pairs(profs).unionByName(copy_groups(profs))))
+
+
+def duplicate_profiles(target: DataFrame, found: Search | None = None) -> DataFrame:
     """Compact, lossless result: qualifying profile pairs with member counts.
 
     A group of n copies stays one row here, whereas record pairs grow with n*n.
     """
-    profs = stage(profiles(records(target)))
-    pairs = profile_pairs(profs).unionByName(copy_groups(profs))
+    if found is None:
+        profs = stage(profiles(records(target)))
+        pairs = profile_pairs(profs).unionByName(copy_groups(profs))
+    else:
+        profs, pairs = found.profs, found.pairs
     m = profs.select("name_key", "e", "p", "members")
     m1 = m.toDF("name_key", "e1", "p1", "members1")
     m2 = m.toDF("name_key", "e2", "p2", "members2")
@@ -276,11 +307,14 @@ def first_survives(a: str, b: str) -> Column:
     return F.when(d1 != d2, d1).when(h1 != h2, h1).otherwise(t1 >= t2)
 
 
-def duplicate_pairs(target: DataFrame) -> DataFrame:
+def duplicate_pairs(target: DataFrame, found: Search | None = None) -> DataFrame:
     """Record pairs with survivor choice, reason and classification."""
-    recs = stage(records(target))
-    profs = stage(profiles(recs))
-    pairs = profile_pairs(profs).unionByName(copy_groups(profs))
+    if found is None:
+        recs = stage(records(target))
+        profs = stage(profiles(recs))
+        pairs = profile_pairs(profs).unionByName(copy_groups(profs))
+    else:
+        recs, pairs = found.recs, found.pairs
     side = F.struct(
         "hs_id", "ord", "e", "email", "firstname", "lastname", "createdate", "hs_last_activity_date"
     )

@@ -485,7 +485,7 @@ _MERGES = """WITH RECURSIVE p AS (
     SELECT p, m, reason, CAST(merged AS BIGINT) AS merged FROM s WHERE i > 0""")
 def merge_survivors(spark, sf):
     """Outcome of applying all auto-merge pairs in order."""
-    found = elimination.outcomes(stage(inputs.duplicate_source(spark, sf)))
+    found = elimination.outcomes(inputs.duplicate_source(spark, sf))
     return found.select("p", "m", "reason", flag(F.col("merged")).alias("merged"))
 
 
@@ -502,7 +502,7 @@ def merge_survivors(spark, sf):
     WHERE a.i < f.i OR b.i < f.i""")
 def merge_failures(spark, sf):
     """Automatic pairs that could not be merged any more, with names and reason."""
-    return elimination.failures(stage(inputs.duplicate_source(spark, sf)))
+    return elimination.failures(inputs.duplicate_source(spark, sf))
 
 
 @query("merge_counts", f"""
@@ -510,7 +510,7 @@ def merge_failures(spark, sf):
     SELECT count(*) FILTER (merged) AS merged, count(*) FILTER (NOT merged) AS failed,
       (SELECT count(*) FROM found_v WHERE classification = 'manual-review') AS skipped FROM s WHERE i > 0""")
 def merge_counts(spark, sf):
-    return elimination.merge_counts(stage(inputs.duplicate_source(spark, sf)))
+    return elimination.merge_counts(inputs.duplicate_source(spark, sf))
 
 
 FILL = ["email", "phone", "firstname", "lastname", "company", "website"]
@@ -533,7 +533,7 @@ FILL = ["email", "phone", "firstname", "lastname", "company", "website"]
     FROM dup_v d LEFT JOIN filled ON d.hs_id = filled.root WHERE d.hs_id NOT IN (SELECT m FROM e)""")
 def merged_target(spark, sf):
     """Target after the merges: survivors with blanks filled."""
-    source = stage(inputs.duplicate_source(spark, sf))
+    source = inputs.duplicate_source(spark, sf)
     return merge.merge_duplicates(source, stage(elimination.merges(source))).select("hs_id", "email", "phone", "firstname", "lastname", "company", "website")
 
 
@@ -1145,7 +1145,7 @@ def owner_map_file(spark, sf):
 def merge_report_file(spark, sf):
     """The report of a merge run on disk, read back."""
     path = f"{shared_folder(spark)}/report"
-    sinks.write_report(elimination.merge_counts(stage(inputs.duplicate_source(spark, sf))), path)
+    sinks.write_report(elimination.merge_counts(inputs.duplicate_source(spark, sf)), path)
     return spark.read.schema("merged bigint, failed bigint, skipped bigint").json(path)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from contactloom import rules
 from contactloom.plans.views import table, view
+from contactloom.sources.staging import stage
 
 FIELD_ID = {prop: field_id for field_id, prop, _ in rules.CUSTOM_FIELDS}
 
@@ -103,20 +104,23 @@ def target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicate_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned contacts as target records (for pair detection)."""
+    """Cleaned contacts as target records (for pair detection).
+
+    They are staged: a condition on a cleaned value would otherwise move below the cleaning and repeat it many times over.
+    """
     from contactloom.operators.clean import clean_contacts
 
     needed = ["firstName", "lastName", "email", "phone", "companyName", "website", "ord"]
     cleaned = clean_contacts(plain_contacts(spark, sf_dir).select(*needed), keep_issues=False)
     second = F.lit(1577836800) + F.col("ord") * 86400
     active = F.lit(1609459200) + (F.col("ord") % 9) * 86400
-    return cleaned.select(
+    return stage(cleaned.select(
         F.concat(F.lit("h"), "ord").alias("hs_id"), "ord", "email", "phone",
         F.col("firstName").alias("firstname"), F.col("lastName").alias("lastname"),
         F.timestamp_seconds(second).alias("createdate"),
         F.when(F.col("ord") % 4 != 0, F.timestamp_seconds(active)).alias("hs_last_activity_date"),
         F.col("companyName").alias("company"), F.col("website").alias("website"),
-    )
+    ))
 
 
 def owner_map(spark: SparkSession, sf_dir: str) -> DataFrame:
