@@ -157,22 +157,23 @@ def _settle_group(key: tuple, recs: pa.Table, edges: pa.Table) -> pa.Table:
     })
 
 
-def merges(target: DataFrame) -> DataFrame:
+def merges(target: DataFrame, found=None) -> DataFrame:
     """(p, m, pos, reason, merged): the automatic merges that succeed, one row per record merged away.
 
     ``pos`` is the pair's place in the sequence.  Pairs that fail are those of ``dedupe.duplicate_pairs`` not listed here.
+    ``found`` is a ``dedupe.Search`` of the target made before.
     """
     from contactloom.operators import dedupe
 
     node = F.md5(F.concat_ws("\u0000", "name_key", "e", "p"))
-    recs = stage(dedupe.records(target))
-    profs = stage(dedupe.profiles(recs))
-    pairs = dedupe.profile_pairs(profs).where(dedupe.pair_class(F.col("reason")) == dedupe.AUTO)
+    found = found or dedupe.search(target)
+    recs = found.recs
+    pairs = found.pairs.where(dedupe.pair_class(F.col("reason")) == dedupe.AUTO)
 
     def end(i: int) -> Column:
         return F.md5(F.concat_ws("\u0000", F.col("name_key"), F.col(f"e{i}"), F.col(f"p{i}")))
 
-    edges = stage(pairs.unionByName(dedupe.copy_groups(profs)).select(end(1).alias("a"), end(2).alias("b"), "reason"))
+    edges = stage(pairs.select(end(1).alias("a"), end(2).alias("b"), "reason"))
     roots = components(edges)
     within = recs.select(
         "name_key", "ord", "hs_id", node.alias("node"), seen().alias("at"), (F.col("e") != "").alias("mail"),
@@ -194,8 +195,9 @@ def outcomes(target: DataFrame) -> DataFrame:
     """Every automatic pair with ``merged``, in the columns of ``merge.ordered_pairs``."""
     from contactloom.operators import dedupe, merge
 
-    done = merges(target).select(F.col("p"), F.col("m"), F.col("pos"), "merged")
-    pairs = merge.ordered_pairs(dedupe.duplicate_pairs(target))
+    found = dedupe.search(target)
+    done = merges(target, found).select(F.col("p"), F.col("m"), F.col("pos"), "merged")
+    pairs = merge.ordered_pairs(dedupe.duplicate_pairs(target, found))
     return pairs.join(done, ["p", "m", "pos"], "left").withColumn("merged", F.coalesce("merged", F.lit(False))).select("p", "m", "pos", "reason", "merged")
 
 
@@ -206,9 +208,10 @@ def failures(target: DataFrame) -> DataFrame:
     """
     from contactloom.operators import dedupe
 
-    done = stage(merges(target))
+    found = dedupe.search(target)
+    done = stage(merges(target, found))
     name = lambda s: F.trim(F.concat_ws(" ", F.coalesce(f"{s}.firstname", F.lit("")), F.coalesce(f"{s}.lastname", F.lit(""))))
-    pairs = dedupe.duplicate_pairs(target).where(F.col("classification") == dedupe.AUTO).select(
+    pairs = dedupe.duplicate_pairs(target, found).where(F.col("classification") == dedupe.AUTO).select(
         "reason", F.col("primary.hs_id").alias("primary_id"), F.coalesce("primary.email", F.lit("")).alias("primary_email"), name("primary").alias("primary_name"),
         F.col("to_merge.hs_id").alias("duplicate_id"), F.coalesce("to_merge.email", F.lit("")).alias("duplicate_email"), name("to_merge").alias("duplicate_name"),
         F.struct("ord_a", "ord_b").alias("at"),
@@ -227,9 +230,10 @@ def merge_counts(target: DataFrame) -> DataFrame:
     """merged, failed and skipped (manual review) pairs, without listing one."""
     from contactloom.operators import dedupe
 
-    every = dedupe.duplicate_profiles(target).agg(
+    found = dedupe.search(target)
+    every = dedupe.duplicate_profiles(target, found).agg(
         F.coalesce(F.sum(F.when(F.col("classification") == dedupe.AUTO, F.col("n_pairs"))), F.lit(0)).alias("auto"),
         F.coalesce(F.sum(F.when(F.col("classification") == dedupe.REVIEW, F.col("n_pairs"))), F.lit(0)).alias("skipped"),
     )
-    merged = merges(target).agg(F.count(F.lit(1)).alias("merged"))
+    merged = merges(target, found).agg(F.count(F.lit(1)).alias("merged"))
     return every.crossJoin(merged).select("merged", (F.col("auto") - F.col("merged")).cast("bigint").alias("failed"), F.col("skipped").cast("bigint").alias("skipped"))

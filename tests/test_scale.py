@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contactloom.operators import dedupe, elimination
 from contactloom.operators.clean import clean_contacts, issue_counts
 from contactloom.plans import inputs
 from contactloom.plans.views import view
@@ -20,3 +21,39 @@ def test_contacts_of_one_row_group_are_dealt_to_tasks(spark):
 def test_issue_counts_do_not_clean_twice(spark):
     plan = optimized(issue_counts(clean_contacts(inputs.plain_contacts(spark, SF))))
     assert not [line for line in plan.splitlines() if " Filter " in line and "size(" in line]
+
+
+def test_conditions_on_target_records_do_not_repeat_the_cleaning(spark):
+    plan = optimized(dedupe.records(inputs.duplicate_source(spark, SF)))
+    assert "phone_as_name" not in plan and "regexp_replace(regexp_replace" not in plan and "customer" not in plan
+
+
+def pairs_of(spark) -> list[tuple[str, str, str]]:
+    profs = dedupe.profiles(dedupe.records(inputs.duplicate_source(spark, SF)))
+    return sorted(tuple(r) for r in dedupe.email_pairs(profs).collect())
+
+
+def test_small_and_large_name_blocks_find_the_same_pairs(spark, monkeypatch):
+    direct = pairs_of(spark)
+    monkeypatch.setattr(dedupe, "SMALL_BLOCK", 6)  # the names have up to twelve records
+    mixed = pairs_of(spark)
+    monkeypatch.setattr(dedupe, "SMALL_BLOCK", 0)
+    assert direct and direct == mixed == pairs_of(spark)
+
+
+def test_small_name_blocks_need_no_keys(spark, monkeypatch):
+    def none(*args):
+        raise AssertionError("keys are made for small blocks")
+
+    monkeypatch.setattr(dedupe, "asked_keys", none)
+    assert pairs_of(spark)
+
+
+def test_merge_results_search_once(spark, monkeypatch):
+    calls, real = [], dedupe.profile_pairs
+    monkeypatch.setattr(dedupe, "profile_pairs", lambda profs: calls.append(1) or real(profs))
+    target = inputs.duplicate_source(spark, SF)
+    for result in (elimination.merge_counts, elimination.outcomes, elimination.failures):
+        calls.clear()
+        assert not result(target).isEmpty()
+        assert len(calls) == 1
