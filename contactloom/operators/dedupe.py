@@ -170,20 +170,26 @@ def email_pairs(profs: DataFrame) -> DataFrame:
 
 
 def _large_block_pairs(given: DataFrame) -> DataFrame:
-    """``email_pairs`` of names with many e-mails, by keys; every join reads ``given``."""
+    """``email_pairs`` of names with many e-mails, by keys; every join reads ``given``.
+
+    Each join is a job of its own: in one plan Spark would gather the sides it broadcasts on the driver all at once.
+    """
     fine = given.where("NOT odd")
     l, d = F.col("l"), F.col("d")
     shorter = F.length("a.e") <= F.length("b.e")
     any_order = F.col("a.e") < F.col("b.e")
     found = []
 
+    def add(*join) -> None:
+        found.append(stage(_met(*join).distinct()))
+
     own_local = F.array(F.concat(F.lit("l|"), l))
     long = given.where(F.length("l") >= LOCAL_CHARS)
-    found.append(_met(_keyed(long, "a", own_local), _keyed(long, "b", own_local), [], any_order))
+    add(_keyed(long, "a", own_local), _keyed(long, "b", own_local), [], any_order)
 
-    found.append(_met(
+    add(
         _keyed(fine, "a", stored_keys(l, MAX_EDITS, "l"), d), _keyed(fine, "b", asked_keys(l, MAX_EDITS, "l"), d), ["d"], shorter,
-    ))
+    )
 
     domains = stage(domain_pairs(fine))
     one = F.struct("e", "l", "d", F.lit("").alias("p"))
@@ -191,15 +197,15 @@ def _large_block_pairs(given: DataFrame) -> DataFrame:
     second = fine.select("name_key", F.col("d").alias("d2"), one.alias("b"))
     near = domains.where("edits IS NOT NULL").select("name_key", "d1", "d2")  # different domains cost an edit, locals have the rest
     rest = MAX_EDITS - 1
-    found.append(_met(
+    add(
         near.join(first, ["name_key", "d1"]).select("name_key", "d1", "d2", "a", F.explode(stored_keys(F.col("a.l"), rest, "l")).alias("k")),
         near.join(second, ["name_key", "d2"]).select("name_key", "d1", "d2", "b", F.explode(asked_keys(F.col("b.l"), rest, "l")).alias("k")),
         ["d1", "d2"], F.length("a.l") <= F.length("b.l"),
-    ))
+    )
     moved = domains.where("moved").select("name_key", "d1", "d2")
     head_a, _ = _head_keys(moved.join(first, ["name_key", "d1"]).withColumn("b", F.col("a")))
     _, head_b = _head_keys(moved.join(second, ["name_key", "d2"]).withColumn("a", F.col("b")))
-    found.append(_met(head_a, head_b, ["d1", "d2"], F.lit(True)))
+    add(head_a, head_b, ["d1", "d2"], F.lit(True))
 
     odd = given.where("odd")
     if not odd.isEmpty():  # read from the staged e-mails; spares two joins where all are well-formed
@@ -210,7 +216,7 @@ def _large_block_pairs(given: DataFrame) -> DataFrame:
             return F.concat(make(F.col("e"), MAX_EDITS, "e"), make(front, SHORT_EDITS, "f"))
 
         for left, right in ((odd, beside), (beside, odd)):
-            found.append(_met(_keyed(left, "a", both(stored_keys)), _keyed(right, "b", both(asked_keys)), [], F.lit(True)))
+            add(_keyed(left, "a", both(stored_keys)), _keyed(right, "b", both(asked_keys)), [], F.lit(True))
     return reduce(DataFrame.unionByName, found).distinct()
 
 

@@ -57,3 +57,9 @@ def test_merge_results_search_once(spark, monkeypatch):
         calls.clear()
         assert not result(target).isEmpty()
         assert len(calls) == 1
+
+
+def test_joins_of_large_name_blocks_are_jobs_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(dedupe, "SMALL_BLOCK", 0)
+    profs = dedupe.profiles(dedupe.records(inputs.duplicate_source(spark, SF)))
+    assert optimized(dedupe.email_pairs(profs)).count("Join ") == 1  # that of the small blocks
