@@ -41,6 +41,15 @@ def scalar_text(x: str) -> Column:
     return F.expr(_scalar(x))
 
 
+def is_text(x: str) -> Column:
+    return F.expr(f"schema_of_variant({x}) = 'STRING'")
+
+
+def plain_text(x: str) -> Column:
+    """A text value as it is; other values as the variant's own cast gives them."""
+    return F.expr(f"variant_get({x}, '$', 'string')")
+
+
 def list_members(x: str) -> Column:
     """Members of a list as text, without nulls, empty text, the number 0 and the boolean false."""
     kept = (

@@ -24,15 +24,18 @@ def _clean_custom_fields(fields: Column) -> Column:
     return F.transform(fields, one)
 
 
-def clean_contacts(df: DataFrame, keep_issues: bool = True) -> DataFrame:
-    """Add cleaned values and an ``issues`` array of codes, in rule order."""
+def clean_contacts(df: DataFrame, keep_issues: bool = True, keep_fields: bool = False) -> DataFrame:
+    """Add cleaned values and an ``issues`` array of codes, in rule order.
+
+    ``keep_fields`` leaves the custom fields as they are, for a mapping that strips the values it looks up.
+    """
     columns = df.columns
     present = [c for c in rules.CONTACT_STRING_FIELDS if c in columns]
     others = [c for c in columns if c not in present and c != "customFields"]
     fields = (
         [_clean_custom_fields(F.col("customFields")).alias("customFields")]
-        if "customFields" in columns
-        else []
+        if "customFields" in columns and not keep_fields
+        else [F.col(c) for c in columns if c == "customFields"]
     )
     # each stage names its results, so no later rule repeats an earlier expression
     bare = df.select(

@@ -15,25 +15,6 @@ from contactloom.functions import text as T
 from contactloom.functions import values as V
 
 
-def field_values(fields: Column) -> Column:
-    """Map custom-field id -> value; of repeated ids the last one counts."""
-    last_only = F.filter(
-        fields,
-        lambda cf, i: cf["id"].isNotNull()
-        & (
-            F.coalesce(
-                F.array_position(
-                    F.transform(F.slice(fields, i + F.lit(2), F.size(fields)), lambda x: x["id"]),
-                    cf["id"],
-                ),
-                F.lit(0),
-            )
-            == 0
-        ),
-    )
-    return F.map_from_entries(last_only)
-
-
 def transform_value(name: str, text: str, kind: str, items: str) -> Column:
     """Apply a named transform; arguments are the columns with text, kind and list members."""
     if name == "integer":
@@ -47,20 +28,33 @@ def transform_value(name: str, text: str, kind: str, items: str) -> Column:
     return F.col(text)
 
 
-def custom_properties(df: DataFrame, fields_col: str = "customFields") -> DataFrame:
-    """Decode custom fields into property columns; keeps all other columns."""
+def custom_properties(df: DataFrame, fields_col: str = "customFields", strip: bool = False) -> DataFrame:
+    """Decode custom fields into property columns; keeps all other columns.
+
+    ``strip`` removes placeholders and outer white space from text values first, as ``clean_contacts`` does.
+    Known ids differ in their hashes and others are left out before, so long numbers are compared instead of text; the
+    lists run backwards, so the last one of repeated ids is found first.
+    """
     keep = [F.col(c) for c in df.columns if c != fields_col]
-    looked_up = df.select(*keep, field_values(F.col(fields_col)).alias("_cf"))
+    ids = [i for i, _, _ in rules.CUSTOM_FIELDS]
+    known = F.reverse(F.filter(F.col(fields_col), lambda cf: cf["id"].isin(*ids)))
+    listed = df.select(*keep, known.alias("_known"))
+    hashed = listed.select(
+        *keep, F.transform("_known", lambda cf: F.xxhash64(cf["id"])).alias("_ids"), F.col("_known.value").alias("_values")
+    )
 
     # value, text and kind are named columns, so nothing is looked up or parsed twice
-    found = looked_up.select(
-        *keep, *[F.expr(f"try_element_at(_cf, '{i}') AS _v_{p}") for i, p, _ in rules.CUSTOM_FIELDS]
+    found = hashed.select(
+        *keep, *[F.expr(f"get(_values, CAST(array_position(_ids, xxhash64('{i}')) AS INT) - 1) AS _v_{p}") for i, p, _ in rules.CUSTOM_FIELDS]
     )
     typed = [p for _, p, t in rules.CUSTOM_FIELDS if t in ("date", "multi_select")]
     lists = [p for _, p, t in rules.CUSTOM_FIELDS if t == "multi_select"]
+    texts = {p: V.scalar_text(f"_v_{p}") for _, p, _ in rules.CUSTOM_FIELDS}
+    if strip:
+        texts = {p: F.when(V.is_text(f"_v_{p}"), T.strip_placeholder(V.plain_text(f"_v_{p}"))).otherwise(t) for p, t in texts.items()}
     parsed = found.select(
         *keep,
-        *[V.scalar_text(f"_v_{p}").alias(f"_t_{p}") for _, p, _ in rules.CUSTOM_FIELDS],
+        *[t.alias(f"_t_{p}") for p, t in texts.items()],
         *[V.value_kind(f"_v_{p}").alias(f"_k_{p}") for p in typed],
         *[V.list_members(f"_v_{p}").alias(f"_a_{p}") for p in lists],
     )
@@ -92,9 +86,9 @@ def standard_properties(df: DataFrame) -> list[Column]:
     return cols
 
 
-def map_contacts(cleaned: DataFrame) -> DataFrame:
-    """Cleaned contacts -> wide mapped records."""
-    decoded = custom_properties(cleaned)
+def map_contacts(cleaned: DataFrame, strip: bool = False) -> DataFrame:
+    """Cleaned contacts -> wide mapped records; ``strip`` if their custom fields are not cleaned yet."""
+    decoded = custom_properties(cleaned, strip=strip)
     tags = F.col("tags")
     props = {c: F.col(c) for c in rules.CUSTOM_PROPERTIES}
     props["market_name"] = V.alias_market(F.col("market_name"), rules.MARKET_ALIASES)

@@ -24,7 +24,7 @@ def prepare(contacts: DataFrame, owner_map: DataFrame | None = None) -> DataFram
         raise ValueError("contacts need a column ord, their place in the input; the file readers make one")
     told = F.raise_error(F.lit("a contact has no ord; read files with contactloom.sources.contacts")).cast("bigint")
     placed = contacts.withColumn("ord", F.coalesce("ord", told))
-    mapped = map_contacts(clean_contacts(placed, keep_issues=False))
+    mapped = map_contacts(clean_contacts(placed, keep_issues=False, keep_fields=True), strip=True)
     return mapped if owner_map is None else assign_owners(mapped, owner_map)
 
 
@@ -44,11 +44,11 @@ def plan_updates(
     """
     mapped = prepare(contacts, owner_map)
     if small_delta:
-        mapped = stage(mapped)
+        mapped = stage(mapped, wide=True)
     matched = matching.match_to_target(mapped, target, small_delta=small_delta)
     planned = conflict.plan_writes(matched, allowlist)
     if catalog is not None:
-        return conflict.check_catalog(stage(planned), catalog)
+        return conflict.check_catalog(stage(planned, wide=True), catalog)
     return conflict.check_options(planned, conflict.enum_options()) if check_enums else planned
 
 
@@ -61,7 +61,7 @@ def migrate(
     The plan is written to ``stage_path`` once; snapshot and counters read it back.
     Rows that could not be written as given go to ``failed_path`` with their reasons.
     """
-    writes = stage(plan_updates(contacts, target, owner_map, catalog=catalog), stage_path)
+    writes = stage(plan_updates(contacts, target, owner_map, catalog=catalog), stage_path, wide=True)
     if failed_path is not None:
         upsert.failed_records(target, writes).write.mode("overwrite").parquet(failed_path)
     return upsert.upsert(target, writes), upsert.write_counts(target, writes)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from contactloom.operators import upsert, windows
 from contactloom.plans import jobs
-from contactloom.sources.staging import exists
+from contactloom.sources.staging import exists, stage
 
 _CORRUPT = "_corrupt"
 MANIFEST = f"window_start date, step string, rows bigint, finished_at timestamp, {_CORRUPT} string, gen bigint"
@@ -106,8 +106,7 @@ class WindowedMigration:
             step = uuid.uuid4().hex
             rows = self._rows_of(contacts, batch, after)
             path = f"{self.root}/planned/step={step}"
-            planned = jobs.plan_updates(rows, target, owner_map, **plan)
-            planned.write.mode("overwrite").parquet(path)
+            stage(jobs.plan_updates(rows, target, owner_map, **plan), path, wide=True)
             counted = rows.groupBy(self._start().alias("window_start")).agg(F.count(F.lit(1)).alias("rows"))
             self.manifest.commit(counted, step)
         return True

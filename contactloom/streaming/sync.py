@@ -29,7 +29,7 @@ def _write_changes(target: DataFrame, writes: DataFrame, path: str) -> None:
     rows = updates.withColumn("created", F.lit(False)).unionByName(
         upsert.fold_inserts(writes).withColumn("created", F.lit(True)), allowMissingColumns=True
     )
-    rows.select("hs_id", "ord", "created", *upsert.PROPS).write.mode("overwrite").parquet(path)
+    stage(rows.select("hs_id", "ord", "created", *upsert.PROPS), path, wide=True)
 
 
 def _process(
@@ -44,7 +44,7 @@ def _process(
     planned = jobs.plan_updates(
         delta, target, owner_map, allowlist=rules.UPDATE_ALLOWLIST, small_delta=True, catalog=catalog
     )
-    writes = stage(planned, staged)
+    writes = stage(planned, staged, wide=True)
     if dry_run:
         return runs.judged(upsert.write_counts(target, writes)).first().asDict()
     _write_changes(target, writes, state.change_path(seq))

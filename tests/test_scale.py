@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from contactloom import rules
 from contactloom.operators import dedupe, elimination
 from contactloom.operators.clean import clean_contacts, issue_counts
-from contactloom.plans import inputs
+from contactloom.operators.mapping import map_contacts
+from contactloom.plans import inputs, jobs
 from contactloom.plans.views import view
+from contactloom.sources import staging
 
 SF = "/root/testdata/sf0.001"
 
@@ -63,3 +68,30 @@ def test_joins_of_large_name_blocks_are_jobs_of_their_own(spark, monkeypatch):
     monkeypatch.setattr(dedupe, "SMALL_BLOCK", 0)
     profs = dedupe.profiles(dedupe.records(inputs.duplicate_source(spark, SF)))
     assert optimized(dedupe.email_pairs(profs)).count("Join ") == 1  # that of the small blocks
+
+
+def test_custom_fields_are_looked_up_by_number_and_cleaned_once(spark):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "2000")
+    try:
+        plan = optimized(jobs.prepare(inputs.contacts(spark, SF)))
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert "map_from_entries" not in plan and plan.count("array_position") >= len(rules.CUSTOM_FIELDS)
+    named = [F.xxhash64(F.lit(i)).alias(p) for i, p, _ in rules.CUSTOM_FIELDS]
+    assert len(set(spark.range(1).select(*named).first())) == len(named)
+    contacts = inputs.contacts(spark, SF)
+    one, two = jobs.prepare(contacts), map_contacts(clean_contacts(contacts))
+    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+
+
+def test_wide_rows_are_staged_with_methods_that_the_jvm_compiles(spark):
+    name = staging.METHOD_LIMIT[0]
+    with staging.small_methods(spark):
+        assert spark.conf.get(name) == "8000"
+    assert spark.conf.get(name) == "65535"
+    spark.conf.set(name, "20000")
+    try:
+        with staging.small_methods(spark):
+            assert spark.conf.get(name) == "20000"
+    finally:
+        spark.conf.unset(name)
