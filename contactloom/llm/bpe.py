@@ -138,6 +138,8 @@ class Engine:
         self.ids: list[str] = []
         self.counts: list[int] = []
         self.decoded: list[bytes] = []
+        #: What follows a blank -> (token count, comma-joined ids, decoded bytes).
+        self.pieces: dict[str, tuple[int, str, bytes]] = {}
 
     def learn(self, words: list[str]) -> None:
         """Encode words that are not kept yet."""
@@ -167,34 +169,36 @@ class Engine:
             self.counts.append(n)
             self.decoded.append(bytes.fromhex(decoded))
 
+    def _joined(self, ws: list[str]) -> tuple[int, str, bytes]:
+        at = [self.place[w] for w in ws]
+        if len(at) == 1:
+            return self.counts[at[0]], self.ids[at[0]], self.decoded[at[0]]
+        return sum([self.counts[i] for i in at]), ",".join([self.ids[i] for i in at]), b"".join([self.decoded[i] for i in at])
+
     def encode(self, block: list[str]) -> Iterator[tuple[int, list[str], list[bytes]]]:
-        """Per text: token count, pieces of comma-joined ids, pieces of decoded bytes."""
+        """Per text: token count, pieces of comma-joined ids, pieces of decoded bytes.
+
+        Pieces met in earlier blocks are kept, so a block only works on new ones.
+        """
         if len(self.place) > KEEP_WORDS:
             self.forget()
-        pieces: dict[str, tuple[int, str, bytes]] = {}
+        if len(self.pieces) > KEEP_WORDS:
+            self.pieces.clear()
         cuts = [cut(t) if t else [] for t in block]
-        firsts = {c[0] for c in cuts if c}
-        rest = set()
+        split = {c[0]: self.find(c[0]) for c in cuts if c}
+        rest: set[str] = set()
         for c in cuts:
             rest.update(c[1:])
-        split = {p: self.find(p) for p in firsts}
-        later = {p: [" " + p] if p.isalpha() else self.find(" " + p) for p in rest}
-        new = {w for parts in (split, later) for ws in parts.values() for w in ws if w not in self.place}
-        self.learn(list(new))
-        place, ids, counts, decoded = self.place, self.ids, self.counts, self.decoded
-        for given, parts in (("", split), (" ", later)):
-            for p, ws in parts.items():
-                at = [place[w] for w in ws]
-                pieces[given + "\0" + p] = (
-                    (counts[at[0]], ids[at[0]], decoded[at[0]]) if len(at) == 1
-                    else (sum(counts[i] for i in at), ",".join([ids[i] for i in at]), b"".join([decoded[i] for i in at]))
-                )
-        own = {p: pieces[" \0" + p] for p in later}
+        later = {p: [" " + p] if p.isalpha() else self.find(" " + p) for p in rest.difference(self.pieces)}
+        self.learn(list({w for parts in (split, later) for ws in parts.values() for w in ws if w not in self.place}))
+        firsts = {p: self._joined(ws) for p, ws in split.items()}
+        self.pieces.update((p, self._joined(ws)) for p, ws in later.items())
+        known = self.pieces
         for c in cuts:
             if not c:
                 yield 0, [], []
                 continue
-            got = [pieces["\0" + c[0]], *map(own.__getitem__, c[1:])]
+            got = [firsts[c[0]], *map(known.__getitem__, c[1:])]
             yield sum([g[0] for g in got]), [g[1] for g in got], [g[2] for g in got]
 
 
