@@ -9,13 +9,16 @@ A text's set is its distinct word n-grams as 63-bit numbers.  Equal sets are one
    posted, and those posted by one node only are dropped.
 3. A posting holds the size and a parity sketch of its set.  Every n-gram by which two sets differ flips one bit, so
    pairs with more unlike bits than linked sets can have are out.  So are pairs of unlike sizes, and those with fewer
-   common first n-grams than links have: some 5 percent of the size at 90, 9 at 80.
+   common first n-grams than links have: some 5 percent of the size at 90, 9 at 80.  Postings without any partner that
+   sizes and sketches allow are dropped before anything is paired.
 4. Surviving pairs go to the smallest n-gram they share, and only there their sets travel.  The sets below an n-gram stand
    in a tree of shared beginnings; a probe walks it, adds up the overlap once for all sets below, and leaves a branch when
    the remaining lengths cannot reach the threshold.  Links found are exact.
 5. In the first round every node meets the smallest node of its posting only, so a group of near copies costs a line.
    Then the nodes of every posting that is still not connected meet ``PIVOTS`` drawn nodes of it.  Where more than ``STAR_GAIN`` pairs a node are left unconnected, every node tests the smallest partner in up to
    ``STAR_ROUNDS`` further rounds; then all pairs that are still not connected are tested.  Later links only join roots.
+   Such a pair is met at its smallest common n-gram and not again while one of the last ``BEFORE`` n-grams of both is the same;
+   a second sketch, of the n-grams a node still posts, drops pairs that have too few of them in common.
 6. Components are those of verified links; all copies of a set follow their node.
 
 Defined cases: a null text, or one without a word, has an empty set and links with nothing; with fewer words than an n-gram has the whole
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactloom.llm.common import free_name, map_arrow
@@ -49,6 +52,8 @@ BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 #: Bits of a parity sketch, kept as longs.
 SKETCH_LONGS = 4
+#: A posting's preceding n-grams of its node that tell whether two nodes have met already.
+BEFORE = 4
 #: Nodes drawn from every posting, which the others meet before all pairs do.
 PIVOTS = 8
 #: Rounds in which every node is tested against the smallest partner it has left, before all pairs left are tested.
@@ -162,12 +167,19 @@ def postings(docs: DataFrame, levels: np.ndarray, gram: int, share: int) -> Data
 
 
 def shared_postings(docs: DataFrame, levels: np.ndarray, gram: int, share: int) -> DataFrame:
-    """Postings of n-grams that two or more nodes post, one per n-gram and node."""
+    """Postings, one per n-gram and node, that have another node with which theirs may link."""
     all_ = stage(postings(docs, levels, gram, share))
     shared = stage(all_.groupBy("gram").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).where("_lo <> _hi").select("gram"))
     near = maybe_member(all_, shared, "gram", filter_bits(shared.count()), "_near").where("_near").drop("_near")
     rest = [c for c in near.columns if c not in ("gram", "node")]
-    return stage(near.groupBy("gram", "node").agg(*[F.min(c).alias(c) for c in rest]).join(shared, "gram", "left_semi"))
+    once = near.groupBy("gram", "node").agg(*[F.min(c).alias(c) for c in rest])
+    partner = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.node") != F.col("y.node")) & _may_link(share)
+    return stage(once.alias("x").join(once.alias("y"), partner, "left_semi"))
+
+
+def _unlike(sketch: str):
+    """How many bits of a sketch differ between postings ``x`` and ``y``."""
+    return sum((F.bit_count(F.col(f"x.{sketch}{k}").bitwiseXOR(F.col(f"y.{sketch}{k}"))) for k in range(SKETCH_LONGS)), F.lit(0))
 
 
 def _may_link(share: int):
@@ -176,8 +188,7 @@ def _may_link(share: int):
     Sets that link differ in size(x) + size(y) - 2 * overlap n-grams, with overlap >= share / (share + SHARE_OF) * (size(x) + size(y)).
     """
     x, y = F.col("x.size"), F.col("y.size")
-    unlike = sum((F.bit_count(F.col(f"x.p{k}").bitwiseXOR(F.col(f"y.p{k}"))) for k in range(SKETCH_LONGS)), F.lit(0))
-    return (SHARE_OF * F.least(x, y) >= share * F.greatest(x, y)) & ((share + SHARE_OF) * unlike <= (SHARE_OF - share) * (x + y))
+    return (SHARE_OF * F.least(x, y) >= share * F.greatest(x, y)) & ((share + SHARE_OF) * _unlike("p") <= (SHARE_OF - share) * (x + y))
 
 
 def least_common(small: int, large: int, share: int) -> int:
@@ -185,15 +196,19 @@ def least_common(small: int, large: int, share: int) -> int:
     return -(-share * (small + large) // (share + SHARE_OF)) - -(-share * large // SHARE_OF) + 1
 
 
-def _pairs(met: DataFrame, share: int) -> DataFrame:
-    """(gram, a, b): pairs with enough common first n-grams, each at the smallest n-gram where it came up.
+def _least(share: int):
+    """``least_common`` of postings ``x`` and ``y``.
 
     Of the two sets' first n-grams, take those that end earlier in the order: all of them that the other set holds are among
     its first ones too, and a set lacks at most size - overlap of the other's.
     """
     up = lambda top, by: F.expr(f"({top} + {by - 1}) div {by}")
-    least = up(f"{share} * (x.size + y.size)", share + SHARE_OF) - up(f"{share} * greatest(x.size, y.size)", SHARE_OF) + 1
-    told = met.select("gram", F.col("x.node").alias("a"), F.col("y.node").alias("b"), least.alias("_least"))
+    return up(f"{share} * (x.size + y.size)", share + SHARE_OF) - up(f"{share} * greatest(x.size, y.size)", SHARE_OF) + 1
+
+
+def _pairs(met: DataFrame, share: int) -> DataFrame:
+    """(gram, a, b): pairs with enough common first n-grams, each at the smallest n-gram where it came up."""
+    told = met.select("gram", F.col("x.node").alias("a"), F.col("y.node").alias("b"), _least(share).alias("_least"))
     common = told.groupBy("a", "b").agg(F.min("gram").alias("gram"), F.count(F.lit(1)).alias("_n"), F.min("_least").alias("_least"))
     return common.where("_n >= _least").select("gram", "a", "b")
 
@@ -201,6 +216,7 @@ def _pairs(met: DataFrame, share: int) -> DataFrame:
 def first_pairs(posted: DataFrame, share: int) -> DataFrame:
     """Nodes with the smallest node of their postings, where they may link."""
     facts = [c for c in posted.columns if c not in ("gram", "node")]
+    posted = posted.repartition("gram")
     least = posted.groupBy("gram").agg(F.min(F.struct("node", *facts)).alias("_y")).select("gram", "_y.*")
     return _pairs(least.alias("x").join(posted.alias("y"), "gram").where((F.col("x.node") < F.col("y.node")) & _may_link(share)), share)
 
@@ -214,6 +230,7 @@ def open_postings(posted: DataFrame, found: DataFrame) -> DataFrame:
 
 def pivot_pairs(open_: DataFrame, share: int) -> DataFrame:
     """Nodes with up to ``PIVOTS`` drawn nodes of their postings, where they may link and are not connected."""
+    open_ = open_.repartition("gram")
     facts = F.struct(*[c for c in open_.columns if c != "gram"])
     drawn = [F.min_by(facts, F.struct(F.xxhash64("node", F.lit(k)), "node")) for k in range(PIVOTS)]
     pivots = open_.groupBy("gram").agg(F.array_distinct(F.array(*drawn)).alias("_p")).select("gram", F.inline("_p"))
@@ -221,10 +238,33 @@ def pivot_pairs(open_: DataFrame, share: int) -> DataFrame:
     return _pairs(met, share)
 
 
-def other_pairs(open_: DataFrame, share: int) -> DataFrame:
-    """Pairs that may link and are not connected."""
+def preceded(open_: DataFrame) -> DataFrame:
+    """Postings with what their node still posts: how many n-grams, their parity sketch, and the last ``BEFORE`` before this one."""
+    node = Window.partitionBy("node")
+    flip = "CASE WHEN (shiftright(gram, 6) & {}) = {} THEN shiftleft(1L, CAST(gram & 63 AS INT)) ELSE 0L END"
+    sketch = [F.bit_xor(F.expr(flip.format(SKETCH_LONGS - 1, k))).over(node).alias(f"q{k}") for k in range(SKETCH_LONGS)]
+    before = F.collect_list("gram").over(node.orderBy("gram").rowsBetween(-BEFORE, -1)).alias("before")
+    return open_.select("*", F.count(F.lit(1)).over(node).alias("n"), *sketch, before)
+
+
+def met_pairs(open_: DataFrame, share: int) -> DataFrame:
+    """Postings ``x`` and ``y`` of pairs that may link and are not connected, at their smallest common n-gram and few further ones.
+
+    Nodes that are not connected find all their common n-grams in ``open_``.  There, the n-grams in which they differ are
+    n(x) + n(y) - 2 * common ones, which is at least the number of unlike bits; and where both have a common n-gram
+    before this one, they met at the first such n-gram.
+    """
+    own, least = preceded(open_), _least(share)
     apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
-    return _pairs(open_.alias("x").join(open_.alias("y"), "gram").where(apart & _may_link(share)), share)
+    enough = (F.least("x.n", "y.n") >= least) & (_unlike("q") <= F.col("x.n") + F.col("y.n") - 2 * least)
+    first = ~F.arrays_overlap("x.before", "y.before")
+    return own.alias("x").join(own.alias("y"), "gram").where(apart & _may_link(share) & enough & first)
+
+
+def other_pairs(open_: DataFrame, share: int) -> DataFrame:
+    """(gram, a, b): pairs that may link and are not connected, each at its smallest common n-gram."""
+    told = met_pairs(open_, share).select("gram", F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    return told.groupBy("a", "b").agg(F.min("gram").alias("gram")).select("gram", "a", "b")
 
 
 def maybe_member(df: DataFrame, members: DataFrame, key: str, bits: int, flag: str) -> DataFrame:
