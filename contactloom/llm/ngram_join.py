@@ -11,6 +11,7 @@ A text's set is its distinct word n-grams as 63-bit numbers.  Equal sets are one
    pairs with more unlike bits than linked sets can have are out.  So are pairs of unlike sizes, and those with fewer
    common first n-grams than links have: some 5 percent of the size at 90, 9 at 80.  Postings without any partner that
    sizes and sketches allow are dropped before anything is paired.
+   Pairs of long sets are then compared by wide sketches, one per node, before any set travels.
 4. Surviving pairs go to the smallest n-gram they share, and only there their sets travel.  The sets below an n-gram stand
    in a tree of shared beginnings; a probe walks it, adds up the overlap once for all sets below, and leaves a branch when
    the remaining lengths cannot reach the threshold.  Links found are exact.
@@ -52,6 +53,8 @@ BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 #: Bits of a parity sketch, kept as longs.
 SKETCH_LONGS = 4
+#: Longs of the wide sketch of a set from so many n-grams on; shorter ones have none.
+WIDE_LONGS = [(6000, 256), (400, 32)]
 #: A posting's preceding n-grams of its node that tell whether two nodes have met already.
 BEFORE = 4
 #: Nodes drawn from every posting, which the others meet before all pairs do.
@@ -110,12 +113,21 @@ def parity_sketch(grams: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def wide_sketch(hashes: np.ndarray) -> list[int] | None:
+    """A parity sketch that is long enough for long sets."""
+    longs = next((w for least, w in WIDE_LONGS if len(hashes) >= least), None)
+    if longs is None:
+        return None
+    bits = np.bincount((hashes & np.uint64(64 * longs - 1)).astype(np.int64), minlength=64 * longs) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), F.col("text").cast("binary").alias("text"))
 
 
 def profile(docs: DataFrame, gram: int = GRAM) -> tuple[DataFrame, np.ndarray]:
-    """((doc_id, row, n_shingles, node), levels): the texts' nodes (null if empty) and the levels of the order's buckets."""
+    """((doc_id, row, n_shingles, node, wide), levels): the texts' nodes (null if empty) and wide sketches, the levels of the order's buckets."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,23 +138,25 @@ def profile(docs: DataFrame, gram: int = GRAM) -> tuple[DataFrame, np.ndarray]:
             sizes, nodes = [len(h) for h in sets], [node_of(h) if len(h) else None for h in sets]
             flat = np.concatenate(sets or [np.empty(0, np.uint64)])
             counts += np.bincount((flat >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=BUCKETS)
-            none = pa.nulls(len(sizes), pa.int64())
+            none, wide = pa.nulls(len(sizes), pa.int64()), pa.array([wide_sketch(h) for h in sets], pa.list_(pa.int64()))
             out = pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none, none],
-                names=["doc_id", "row", "n_shingles", "node", "bucket", "n"],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), wide, none, none],
+                names=["doc_id", "row", "n_shingles", "node", "wide", "bucket", "n"],
             )
             schema = out.schema
             yield out
         if schema is not None:
             used = np.flatnonzero(counts)
-            blank = [pa.nulls(len(used), f.type) for f in list(schema)[:4]]
+            blank = [pa.nulls(len(used), f.type) for f in list(schema)[:5]]
             yield pa.RecordBatch.from_arrays([*blank, pa.array(used), pa.array(counts[used])], schema=schema)
 
-    told = stage(map_arrow(_keyed(docs), run, f"doc_id {id_type}, row bigint, n_shingles bigint, node bigint, bucket bigint, n bigint"))
+    told = stage(
+        map_arrow(_keyed(docs), run, f"doc_id {id_type}, row bigint, n_shingles bigint, node bigint, wide array<bigint>, bucket bigint, n bigint")
+    )
     counted = told.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     levels = np.zeros(BUCKETS, np.uint8)
     levels[counted.column("bucket").to_numpy()] = np.minimum(63, 2 * np.log2(counted.column("n").to_numpy()))
-    return told.where("bucket IS NULL").select("doc_id", "row", "n_shingles", "node"), levels
+    return told.where("bucket IS NULL").select("doc_id", "row", "n_shingles", "node", "wide"), levels
 
 
 def postings(docs: DataFrame, levels: np.ndarray, gram: int, share: int) -> DataFrame:
@@ -267,6 +281,19 @@ def other_pairs(open_: DataFrame, share: int) -> DataFrame:
     return told.groupBy("a", "b").agg(F.min("gram").alias("gram")).select("gram", "a", "b")
 
 
+def wide_pairs(pairs: DataFrame, own: DataFrame, share: int) -> DataFrame:
+    """``pairs`` (gram, a, b) without those whose wide sketches differ in more bits than linked sets do.
+
+    Sketches that are missing or of another length tell nothing.  ``own`` is (node, size, wide).
+    """
+    long_ = own.where("wide IS NOT NULL")
+    for side in ("a", "b"):
+        pairs = pairs.join(long_.select(F.col("node").alias(side), F.col("size").alias(f"_n{side}"), F.col("wide").alias(f"_w{side}")), side, "left")
+    unlike = F.aggregate(F.zip_with("_wa", "_wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
+    far = (F.size("_wa") == F.size("_wb")) & ((share + SHARE_OF) * unlike > (SHARE_OF - share) * (F.col("_na") + F.col("_nb")))
+    return pairs.where(~F.coalesce(far, F.lit(False))).select("gram", "a", "b")
+
+
 def maybe_member(df: DataFrame, members: DataFrame, key: str, bits: int, flag: str) -> DataFrame:
     """``df`` with a boolean ``flag``: false is certain, true means that ``key`` may be among ``members``.
 
@@ -455,12 +482,15 @@ def joined_roots(roots: DataFrame, found: DataFrame) -> DataFrame:
 
 def node_roots(docs: DataFrame, sets: DataFrame, levels: np.ndarray, gram: int, share: int) -> DataFrame:
     """(node, root) of nodes that link with another."""
-    own = stage(sets.where("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row")))
+    # nodes have their size and wide sketch from any of their copies
+    first = [F.first("n_shingles").alias("size"), F.first("wide").alias("wide")]
+    own = stage(sets.where("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row"), *first))
+    near = lambda pairs: wide_pairs(pairs, own, share)
     posted = shared_postings(docs, levels, gram, share)
-    roots = components(links(docs, own, first_pairs(posted, share), levels, gram, share))
+    roots = components(links(docs, own, near(first_pairs(posted, share)), levels, gram, share))
     open_ = open_postings(posted, roots)
-    roots = joined_roots(roots, links(docs, own, pivot_pairs(open_, share), levels, gram, share))
-    left = stage(other_pairs(open_postings(posted, roots), share))
+    roots = joined_roots(roots, links(docs, own, near(pivot_pairs(open_, share)), levels, gram, share))
+    left = stage(near(other_pairs(open_postings(posted, roots), share)))
     for turn in range(STAR_ROUNDS + 1):
         n, nodes = left.agg(F.count(F.lit(1)), F.approx_count_distinct("b")).first()
         if not n:

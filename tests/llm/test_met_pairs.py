@@ -52,3 +52,15 @@ def test_postings_without_a_possible_partner_are_dropped(spark):
     strangers = [" ".join([f"s{k}w{i}" for i in range(60)] + ["one", "line", "of", "all"]) for k in range(30)]
     posted, _ = joined(spark, strangers + family(rng, 3, 130, 1, "near"), 3, 90)
     assert posted.select("node").distinct().count() == 3
+
+
+@pytest.mark.parametrize("gram, share", [(3, 90), (5, 80)])
+def test_wide_sketches_drop_unlike_long_sets_only(spark, gram, share):
+    rng = np.random.default_rng(5)
+    texts = family(rng, 2, 700, 5, "near") + family(rng, 2, 7000, 40, "long") + family(rng, 2, 700, 90, "far") + family(rng, 2, 7000, 900, "wide")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sets, _ = ngram_join.profile(docs, gram)
+    own = sets.selectExpr("node", "n_shingles AS size", "wide")
+    node = {r["doc_id"]: r["node"] for r in sets.collect()}
+    pairs = spark.createDataFrame([(i, node[i], node[i + 1]) for i in (0, 2, 4, 6)] + [(9, node[0], node[2])], "gram bigint, a bigint, b bigint")
+    assert {r["gram"] for r in ngram_join.wide_pairs(pairs, own, share).collect()} == {0, 2, 9}  # 9: lengths of sketches differ
