@@ -140,7 +140,7 @@ def hot_name_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer as a target record of one and the same name (for pair detection).
 
     Two customers share a stem of 8 to 30 characters; the second one's e-mail has an edit, another domain, or the
-    @ sign moved.  Some share a phone, some have no e-mail, some domains are near others.
+    @ sign moved.  Some share a phone, some have no e-mail, some domains are near others.  They are dealt to tasks by key.
     """
     stem = F.md5(F.floor(F.col("c_custkey") / 2).cast("bigint").cast("string"))
     g = F.floor(F.col("c_custkey") / 2).cast("bigint")
@@ -150,7 +150,7 @@ def hot_name_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN 2 THEN concat(l, 'g@', 'mail.com') WHEN 3 THEN concat(l, '@corp.example') WHEN 4 THEN concat('ab', substring(l, 3), 'c@', d) ELSE concat('zz', l, 'zz@', d) END""")
     phone = F.expr("CASE WHEN g % 11 = 0 THEN concat('+1555', 1000000 + g % 40) END")
     return (
-        spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", g.alias("g"), stem.alias("h"))
+        spark.read.parquet(f"{sf_dir}/customer.parquet").repartition("c_custkey").select("c_custkey", g.alias("g"), stem.alias("h"))
         .select("c_custkey", "g", local.alias("l"), domain.alias("d"))
         .select(
             F.concat(F.lit("h"), "c_custkey").alias("hs_id"), F.col("c_custkey").alias("ord"),
